@@ -50,7 +50,13 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/termtide/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows and their partitioning survive lost executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate table to the shared folder once and read it back.
+
+    Later uses read columns of the written table instead of computing it again,
+    its true size is known to the join planner, and lost executors cost nothing.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

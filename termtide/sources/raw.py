@@ -11,12 +11,11 @@ from ..schemas import ENVELOPE, empty
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """All logged envelopes under a path; blank lines drop out, a missing path is empty."""
     try:
-        rows = spark.read.schema(ENVELOPE).option("recursiveFileLookup", "true").json(path)
+        return spark.read.schema(ENVELOPE).option("recursiveFileLookup", "true").json(path)
     except AnalysisException as exc:
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise
         return empty(spark, ENVELOPE)
-    return rows.where(F.coalesce(*[F.col(c).isNotNull() for c in ENVELOPE.fieldNames()]))
 
 
 def parse_raw(lines: DataFrame, column: str = "value") -> DataFrame:
