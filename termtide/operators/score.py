@@ -33,7 +33,7 @@ def passes_filters(dropped: Column, cfg: ScoringConfig = DEFAULT_SCORING) -> Col
     return enough & open_field & ~dropped
 
 
-def rank_order(best: bool = True) -> list[Column]:
+def rank_order() -> list[Column]:
     """Passing rows first, then by opportunity; ties in merge order."""
     ties = [F.col(c).asc_nulls_last() for c in ("keyword_normalized", "location_code", "language_code")]
     return [F.col("passes_filters").desc_nulls_last(), F.col("opportunity_score").desc_nulls_last(), *ties]

@@ -1,0 +1,49 @@
+"""The stages end to end: corpus to candidates, discoveries to ranked opportunities."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..config import DEFAULT_SCORING, ScoringConfig
+from ..operators import cluster, merge, report, terms
+from ..operators.score import rank_order, score
+from ..session import stage
+
+
+def candidate_terms(pages: DataFrame | None, entities: DataFrame | None, page_order: str = "url", entity_order: str = "entity_id") -> DataFrame:
+    """Candidates of the sources at hand; pages come before entities."""
+    families = []
+    if pages is not None:
+        families.append(terms.mine_pages(pages, page_order))
+    if entities is not None:
+        families.append(terms.mine_entities(entities, entity_order))
+    if not families:
+        raise ValueError("no sources: neither pages nor entities")
+    return terms.union_candidates(*families)
+
+
+def keyword_opportunities(
+    discovered: DataFrame,
+    metrics: DataFrame | None = None,
+    candidates: DataFrame | None = None,
+    cfg: ScoringConfig = DEFAULT_SCORING,
+    order: str = "collected_at",
+) -> DataFrame:
+    """Merge, score and rank; the merged master is written once and read from there."""
+    master = stage(merge.merge_keywords(discovered, metrics, order), "master")
+    scored = score(master, candidates, cfg)
+    if cfg.clustering == "semantic":
+        from ..operators.containment import entity_set
+
+        entities = None if candidates is None else entity_set(candidates)
+        scored = cluster.semantic_labels(stage(scored, "scored"), entities, "keyword_normalized", max_clusters=cfg.max_clusters)
+    return scored.orderBy(*rank_order())
+
+
+def opportunities_by_cluster(spark: SparkSession, sf: str) -> DataFrame:
+    """The flagship run on the given tables."""
+    from ..catalog import fixtures as fx
+
+    mined = stage(candidate_terms(None, fx.entities(spark, sf), entity_order="doc_id"), "candidates")
+    ranked = keyword_opportunities(fx.disc(spark, sf), fx.with_trends(fx.metrics(spark, sf)), mined, order="ord")
+    return report.cluster_summary(ranked)
