@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..config import ACTION_RULES, DEFAULT_SCORING, LANGUAGES, NEGATIVE_CATEGORIES
+from ..config import LANGUAGES, NEGATIVE_CATEGORIES
 from ..functions import scoring
 from ..functions.text import normalize_keyword
 from ..operators import cluster, containment, enrich, merge, report, score as sc, terms
@@ -213,7 +213,6 @@ def recommend_action(spark, sf):
         F.coalesce("trend_3m", zero).alias("question_intent_score"), (F.col("competition_level") == "HIGH").alias("content_available"),
         F.coalesce((F.col("competition_level") == "LOW") & (F.col("search_volume") > 900), F.lit(False)).alias("dropped"),
     )
-    assert DEFAULT_SCORING.actions == ACTION_RULES
     return sc.recommend_action(rows, "dropped").select(*KEY, "recommended_action")
 
 
@@ -328,11 +327,10 @@ def trend_matrix(spark, sf):
 
 
 @query("cluster_summary", f"""WITH {sql.SCORED} SELECT cluster_label, count(keyword) AS keywords, coalesce(sum(search_volume), 0) AS total_volume,
-    round(avg(competition), 6) AS avg_competition, round(avg(opportunity_score), 6) AS avg_opportunity, arg_min(keyword, rank) AS best_keyword FROM scored GROUP BY 1""")
+    sum(competition::DECIMAL(26, 12))::DOUBLE / nullif(count(competition), 0) AS avg_competition,
+    sum(opportunity_score::DECIMAL(26, 12))::DOUBLE / count(opportunity_score) AS avg_opportunity, arg_min(keyword, rank) AS best_keyword FROM scored GROUP BY 1""")
 def cluster_summary(spark, sf):
-    return report.cluster_summary(scored(spark, sf)).withColumns(
-        {c: F.round(c, 6) for c in ("avg_competition", "avg_opportunity")}
-    )
+    return report.cluster_summary(scored(spark, sf))
 
 
 @query("top_markets", f"""WITH {sql.SCORED} SELECT location_code, language_code, count(*) AS keywords, NULL::VARCHAR AS name FROM scored GROUP BY 1, 2""")

@@ -52,7 +52,7 @@ def discovery_log(spark, sf):
     # one call returns a bounded page of items: at most 1000 orders' worth here
     chunk = F.floor(F.col("l_orderkey") / 1000)
     calls = rows.groupBy("source_term", "source_endpoint", "location_code", "language_code", chunk.alias("chunk")).agg(
-        F.collect_list(item).alias("items"), F.max("collected_at").alias("collected_at")
+        F.collect_list(item).alias("items"), F.date_trunc("quarter", F.max("collected_at")).alias("collected_at")
     )
     g = F.col("chunk") * 7 + F.col("location_code") * 3 + F.substring("source_term", 7, 3).cast("int")
     endpoint = F.col("source_endpoint")
@@ -79,7 +79,7 @@ def discovery_raw(spark, sf):
 
 
 CALLS = f"""{sql.DISC}, numbered AS (SELECT *, l_orderkey // 1000 AS chunk, (l_orderkey // 1000) * 7 + location_code * 3 + substr(source_term, 7)::INT AS g FROM disc),
-  calls AS (SELECT source_term, source_endpoint, location_code, language_code, chunk, g, count(*) AS n_items, max(collected_at) AS collected_at FROM numbered GROUP BY ALL)"""
+  calls AS (SELECT source_term, source_endpoint, location_code, language_code, chunk, g, count(*) AS n_items, date_trunc('quarter', max(collected_at)) AS collected_at FROM numbered GROUP BY ALL)"""
 ALIVE = "g % 15 <> 7 AND g % 10 <> 0 AND g % 20 <> 3"
 
 

@@ -6,8 +6,8 @@ without ``(?U)`` and includes combining marks with it, and neither is the contra
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+import re
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -91,10 +91,9 @@ def first_long_token(c: Column | str, longer_than: int = 3) -> Column:
 
 def contains_any(c: Column | str, words: Sequence[str]) -> Column:
     """True when any of a fixed list of words occurs as a substring."""
-    col = as_column(c)
     if not words:
         return F.lit(False)
-    return reduce(lambda a, b: a | b, [col.contains(w) for w in words])
+    return as_column(c).rlike("|".join(re.escape(w) for w in words))
 
 
 def null_if_nan(c: Column | str) -> Column:
@@ -108,31 +107,40 @@ def to_number(c: Column | str) -> Column:
     return F.when(~F.isnan(num), num)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often ``body`` uses it.
+
+    Without it a value used n times is n copies in the expression tree, and nested
+    uses multiply.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def unescape(c: Column | str) -> Column:
-    """Resolve named and numeric character references, ``&amp;`` last."""
-    out = as_column(c)
-    for name, char in NAMED_ENTITIES.items():
-        out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
-    out = F.when(out.contains("&#"), _numeric_references(out)).otherwise(out)
-    return F.replace(out, F.lit("&amp;"), F.lit("&"))
-
-
-def _numeric_references(c: Column) -> Column:
-    pieces = F.split(c, "&#")
-
-    def piece(p: Column) -> Column:
-        digits = F.regexp_extract(p, r"^([0-9]{1,7});", 1)
-        hexes = F.regexp_extract(p, r"^[xX]([0-9a-fA-F]{1,6});", 1)
-        code = F.when(digits != "", digits.cast("int")).when(hexes != "", F.conv(hexes, 16, 10).cast("int"))
-        usable = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        rest = F.regexp_replace(p, r"^[xX]?[0-9a-fA-F]+;", "")
-        return F.when(usable, F.concat(char, rest)).otherwise(F.concat(F.lit("&#"), p))
-
-    return F.concat(
-        F.get(pieces, F.lit(0)),
-        F.array_join(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), piece), ""),
-    )
+    """Resolve named and numeric character references, each once, from left to right."""
+
+    def resolved(t: Column) -> Column:
+        pieces = F.split(t, "&")
+        tail = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), _reference)
+        return F.concat(F.get(pieces, F.lit(0)), F.array_join(tail, ""))
+
+    return let(as_column(c), lambda t: F.when(t.contains("&"), resolved(t)).otherwise(t))
+
+
+def _reference(piece: Column) -> Column:
+    """Text that follows an ampersand, with the reference it may start resolved."""
+    names = ", ".join(f"'{name}', r\"{char}\"" if char != '"' else f"'{name}', '\"'" for name, char in NAMED_ENTITIES.items())
+    named = F.element_at(F.expr(f"map('amp', '&', {names})"), F.regexp_extract(piece, r"^([a-zA-Z]+);", 1))
+    digits = F.regexp_extract(piece, r"^#([0-9]{1,7});", 1).try_cast("int")
+    hexes = F.regexp_extract(piece, r"^#[xX]([0-9a-fA-F]{1,6});", 1)
+    code = F.coalesce(digits, F.conv(F.nullif(hexes, F.lit("")), 16, 10).try_cast("int"))
+
+    def char(n: Column) -> Column:
+        usable = n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+        return F.when(usable, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+
+    rest = F.regexp_replace(piece, r"^#?[a-zA-Z0-9]+;", "")
+    return F.coalesce(F.concat(F.coalesce(named, let(code, char)), rest), F.concat(F.lit("&"), piece))
 
 
 def joined_unique(values: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .text import as_column, clean, strip, unescape
+from .text import as_column, clean, let, strip, unescape
 
 # Elements whose text is not main text.
 NON_TEXT_TAGS = ("script", "style", "nav", "footer", "header")
@@ -56,8 +56,7 @@ def canonical_url(url: Column | str, html: Column | str) -> Column:
     tag = F.regexp_extract(
         as_column(html), r"(?is)<link\b[^>]*?\srel\s*=\s*[\"']?[^\"'>]*?\bcanonical\b[^>]*>", 0
     )
-    href = _attribute(tag, "href")
-    return F.when(href != "", strip(href)).otherwise(as_column(url))
+    return F.coalesce(F.nullif(strip(_attribute(tag, "href")), F.lit("")), as_column(url))
 
 
 def page_headings(html: Column | str, level: int) -> Column:
@@ -108,63 +107,76 @@ def page_ids(url: Column | str) -> dict[str, Column]:
     return {name: F.when(kind == wanted, found).otherwise("") for name, wanted in routes.items()}
 
 
-def _merged_path(base_path: Column, path: Column) -> Column:
-    """Path of a reference against a base path, dot segments resolved."""
-    base = F.split(base_path, "/")
-    directory = F.when(
-        F.element_at(base, -1) != "", F.slice(base, F.lit(1), F.size(base) - 1)
-    ).otherwise(base)
-    own = F.split(path, "/")
-    parts = F.when(path.startswith("/"), own).otherwise(F.concat(directory, own))
-    last = F.element_at(parts, -1)
-    middle = F.filter(
-        F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 2, F.lit(0))), lambda s: s != ""
+def _directory(segments: Column) -> Column:
+    """Path segments without the part after the last slash."""
+    cut = F.slice(segments, F.lit(1), F.size(segments) - 1)
+    return F.when(F.element_at(segments, -1) != "", cut).otherwise(segments)
+
+
+def _without_empty_middle(segments: Column) -> Column:
+    middle = F.slice(segments, F.lit(2), F.greatest(F.size(segments) - 2, F.lit(0)))
+    kept = F.filter(middle, lambda s: s != "")
+    ends = F.slice(segments, F.lit(1), F.lit(1)), F.array(F.element_at(segments, -1))
+    return F.when(F.size(segments) > 1, F.concat(ends[0], kept, ends[1])).otherwise(segments)
+
+
+def _step(done: Column, segment: Column) -> Column:
+    parent = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+    return (
+        F.when(segment == "..", parent).when(segment == ".", done).otherwise(F.concat(done, F.array(segment)))
     )
-    segments = F.when(
-        F.size(parts) > 1, F.concat(F.slice(parts, F.lit(1), F.lit(1)), middle, F.array(last))
-    ).otherwise(parts)
-
-    def step(done: Column, segment: Column) -> Column:
-        parent = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
-        return (
-            F.when(segment == "..", parent)
-            .when(segment == ".", done)
-            .otherwise(F.concat(done, F.array(segment)))
-        )
-
-    resolved = F.aggregate(segments, F.array().cast("array<string>"), step)
-    closed = F.when(last.isin(".", ".."), F.concat(resolved, F.array(F.lit("")))).otherwise(resolved)
-    joined = F.array_join(closed, "/")
-    return F.when(joined == "", "/").otherwise(joined)
-
-
-def resolve_url(base: dict[str, Column], href: Column) -> Column:
-    """Absolute url of ``href`` seen from a page, fragment cut.
-
-    ``base`` holds the page url's scheme, host, path and query.
-    """
-    ref = F.regexp_replace(F.regexp_replace(href, r"[\r\n\t]", ""), r"^[\x{00}-\x{20}]+|[\x{00}-\x{20}]+$", "")
-    scheme, host, path, query = (url_part(ref, p) for p in ("scheme", "host", "path", "query"))
-    site = F.concat(base["scheme"], F.lit("://"), base["host"])
-    base_query = F.when(base["query"] != "", F.concat(F.lit("?"), base["query"])).otherwise("")
-    own_query = F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")
-    foreign = (scheme != "") & (F.lower(scheme) != base["scheme"])
+
+
+def _joined(segments: Column) -> Column:
+    """Segments to a path, dot segments resolved."""
+    walked = F.aggregate(segments, F.array().cast("array<string>"), _step)
+    dotted = F.element_at(segments, -1).isin(".", "..")
+    return F.array_join(F.when(dotted, F.concat(walked, F.array(F.lit("")))).otherwise(walked), "/")
+
+
+def _merged_path(base_path: Column, path: Column) -> Column:
+    """Path of a reference against a base path."""
+    from_base = F.concat(let(F.split(base_path, "/"), _directory), F.split(path, "/"))
+    parts = F.when(path.startswith("/"), F.split(path, "/")).otherwise(from_base)
+    joined = let(let(parts, _without_empty_middle), _joined)
+    return F.coalesce(F.nullif(joined, F.lit("")), F.lit("/"))
+
+
+def url_parts(url: Column | str) -> Column:
+    """Struct of scheme, host, path and query; null url parts count as ''."""
+    return F.struct(*[url_part(url, p).alias(p) for p in ("scheme", "host", "path", "query")])
+
+
+def _query_of(parts: Column) -> Column:
+    return F.when(parts["query"] != "", F.concat(F.lit("?"), parts["query"])).otherwise("")
+
+
+def _resolved(base: Column, ref: Column, own: Column) -> Column:
+    scheme = F.lower(base["scheme"])
+    site = F.concat(scheme, F.lit("://"), base["host"])
+    foreign = (own["scheme"] != "") & (F.lower(own["scheme"]) != scheme)
+    same_page = F.concat(site, base["path"], F.when(own["query"] != "", _query_of(own)).otherwise(_query_of(base)))
     return (
         F.when(foreign, F.regexp_replace(ref, r"#.*$", ""))
-        .when(host != "", F.concat(base["scheme"], F.lit("://"), host, path, own_query))
-        .when(
-            path == "",
-            F.concat(site, base["path"], F.when(query != "", own_query).otherwise(base_query)),
-        )
-        .otherwise(F.concat(site, _merged_path(base["path"], path), own_query))
+        .when(own["host"] != "", F.concat(scheme, F.lit("://"), own["host"], own["path"], _query_of(own)))
+        .when(own["path"] == "", same_page)
+        .otherwise(F.concat(site, _merged_path(base["path"], own["path"]), _query_of(own)))
     )
 
 
+def resolve_url(base: Column, href: Column) -> Column:
+    """Absolute url of ``href`` seen from a page with the given ``url_parts``, fragment cut."""
+    bare = F.regexp_replace(F.regexp_replace(href, r"[\r\n\t]", ""), r"^[\x{00}-\x{20}]+|[\x{00}-\x{20}]+$", "")
+    return let(bare, lambda ref: let(url_parts(ref), lambda own: _resolved(base, ref, own)))
+
+
 def internal_links(url: Column | str, html: Column | str) -> Column:
     """Distinct sorted links of a page that stay on its host."""
-    base = {p: url_part(url, p) for p in ("scheme", "host", "path", "query")}
-    base["scheme"] = F.lower(base["scheme"])
     tags = F.regexp_extract_all(as_column(html), F.lit(r"(?is)<a\s[^>]*>"), F.lit(0))
     with_href = F.filter(tags, lambda t: t.rlike(r"(?is)\shref(?:\s*=|[\s/>])"))
-    links = F.transform(with_href, lambda t: resolve_url(base, _attribute(t, "href")))
-    return F.array_sort(F.array_distinct(F.filter(links, lambda link: url_part(link, "host") == base["host"])))
+
+    def on_host(base: Column) -> Column:
+        links = F.transform(with_href, lambda t: resolve_url(base, _attribute(t, "href")))
+        return F.filter(links, lambda link: url_part(link, "host") == base["host"])
+
+    return F.array_sort(F.array_distinct(let(url_parts(url), on_host)))

@@ -56,9 +56,9 @@ def seed_urls(sites: DataFrame, patterns: Sequence[str]) -> DataFrame:
     ids = chunks.withColumn(
         "_id", F.explode(F.sequence("_from", F.least(F.col("_from") + (ID_CHUNK - 1), F.col("id_end"))))
     )
-    base = {part: web.url_part("base_url", part) for part in ("scheme", "host", "path", "query")}
-    urls = F.array(
-        *[web.resolve_url(base, F.replace(F.lit(p), F.lit("{id}"), F.col("_id").cast("string"))) for p in patterns]
+    urls = F.transform(
+        F.array(*[F.lit(p) for p in patterns]),
+        lambda p: web.resolve_url(web.url_parts("base_url"), F.replace(p, F.lit("{id}"), F.col("_id").cast("string"))),
     )
     generated = ids.select("base_url", F.explode(urls).alias("url"))
     return sites.select("base_url", F.col("base_url").alias("url")).unionByName(generated)

@@ -31,8 +31,12 @@ def log_name(endpoint: Column | str) -> Column:
 
 
 def append_raw(raw: DataFrame, path: str) -> None:
-    """Append envelopes, foldered by log name and date stamp."""
+    """Append envelopes, foldered by log name and date stamp.
+
+    Rebalancing gathers small folders into few files and splits a folder that
+    most rows go to over several tasks.
+    """
     stamped = raw.withColumns(
         {"log": log_name("endpoint"), "dt": F.date_format("collected_at", "yyyyMMdd")}
     )
-    stamped.write.mode("append").partitionBy("log", "dt").json(path)
+    stamped.hint("rebalance", "log", "dt").write.mode("append").partitionBy("log", "dt").json(path)

@@ -13,10 +13,12 @@ MARKET_COLUMNS = ("location_code", "language_code")
 
 def write_table(df: DataFrame, path: str, by_market: bool = False) -> None:
     """Replace a stage table; by market only the markets present are replaced."""
-    writer = df.write.mode("overwrite")
-    if by_market:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*MARKET_COLUMNS)
-    writer.parquet(path)
+    if not by_market:
+        df.write.mode("overwrite").parquet(path)
+        return
+    balanced = df.hint("rebalance", *MARKET_COLUMNS)
+    writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*MARKET_COLUMNS).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
