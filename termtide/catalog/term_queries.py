@@ -107,12 +107,19 @@ def term_type_counts(spark, sf):
     return op.term_type_counts(fx.candidates(spark, sf))
 
 
-@query("repeated_phrases", f"""WITH w AS (SELECT doc_id, list_filter(string_split(regexp_replace(lower(text), '[^{sql.W}''’]+', ' ', 'g'), ' '), lambda x: x <> '') AS w
+STOPS = sql.texts(sql.LANGUAGES["en"].stopwords)
+
+
+@query("repeated_phrases", f"""WITH l AS (SELECT doc_id, list_filter(string_split(regexp_replace(lower(text), '[^{sql.W}''’]+', ' ', 'g'), ' '), lambda x: x <> '') AS w
       FROM documents),
-    g AS (SELECT doc_id, w[i+1:i+n] AS g, n FROM (SELECT doc_id, w, n, unnest(range(len(w) - n + 1)) AS i FROM w, (SELECT unnest([2, 3, 4]) AS n)) ),
-    k AS (SELECT DISTINCT doc_id, array_to_string(g, ' ') AS term FROM g WHERE NOT list_contains({sql.texts(sql.LANGUAGES['en'].stopwords)}, g[1])
-      AND NOT list_contains({sql.texts(sql.LANGUAGES['en'].stopwords)}, g[n]))
-    SELECT term, 'noun_phrase' AS term_type, count(*) AS doc_count, 'repeated_phrase' AS extraction_method FROM k GROUP BY term HAVING count(*) >= 2""")
+    w AS (SELECT doc_id, unnest(w) AS w1, unnest(range(len(w))) AS i FROM l),
+    n AS (SELECT doc_id, w1, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3, lead(w1, 3) OVER o AS w4 FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+    k AS (SELECT DISTINCT doc_id, unnest([
+        CASE WHEN w2 IS NOT NULL AND NOT list_contains({STOPS}, w2) THEN w1 || ' ' || w2 END,
+        CASE WHEN w3 IS NOT NULL AND NOT list_contains({STOPS}, w3) THEN w1 || ' ' || w2 || ' ' || w3 END,
+        CASE WHEN w4 IS NOT NULL AND NOT list_contains({STOPS}, w4) THEN w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 END]) AS term
+      FROM n WHERE NOT list_contains({STOPS}, w1))
+    SELECT term, 'noun_phrase' AS term_type, count(*) AS doc_count, 'repeated_phrase' AS extraction_method FROM k WHERE term IS NOT NULL GROUP BY term HAVING count(*) >= 2""")
 def repeated_phrases(spark, sf):
     return op.repeated_phrases(fx.table(spark, sf, "documents"), "text", "lang")
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import ENTITY_TYPES
 from ..functions.text import text_key
+from ..session import stage
 from .spread import lookup_join
 
 PREFIX = 3
@@ -29,7 +30,10 @@ def entity_set(candidates: DataFrame) -> DataFrame:
 def entity_containment(keywords: DataFrame, entities: DataFrame, column: str = "keyword") -> DataFrame:
     """Distinct pairs (lower-cased keyword, contained entity)."""
     texts = keywords.select(F.lower(column).alias("keyword")).where(F.length("keyword") >= PREFIX).distinct()
-    known = entities.where(F.length("entity") >= PREFIX)
+    # Written once: mined entities are used twice here, and a written table has a
+    # size the planner knows, so a small set is broadcast and the many positions
+    # below are not shuffled; a large set is shuffled.
+    known = stage(entities.where(F.length("entity") >= PREFIX).select("entity").distinct(), "entities")
     beginnings = known.groupBy(F.substring("entity", 1, PREFIX).alias("_begin")).agg(
         F.collect_set(F.length("entity")).alias("_lengths")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..schemas import SERP_INTENT, TREND_TABLE
 from .score import rank_order
+from .spread import lookup_join
 
 
 def shortlist(master: DataFrame, n: int) -> DataFrame:
@@ -22,7 +23,8 @@ def _attach(master: DataFrame, findings: DataFrame, columns: Sequence[str], chec
     kept = master.drop(*values)
     # the latest finding per keyword; equal times are settled by the values
     latest = findings.groupBy(*on).agg(F.max(F.struct(checked, *[c for c in values if c != checked])).alias("_f"))
-    return kept.join(latest, list(on), "left").select(
+    spread: list[Column | str] = [c for c in ("location_code", "language_code", "keyword_normalized") if c in kept.columns]
+    return lookup_join(kept, latest, on=on, spread_by=spread or on).select(
         *kept.columns, *[F.col(f"_f.{c}").alias(c) for c in values]
     )
 

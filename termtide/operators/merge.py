@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import joined_unique, normalize_keyword, null_if_nan, strip, text_key
 from ..schemas import MONTHS
+from .spread import lookup_join
 
 KEY = ("keyword_normalized", "location_code", "language_code")
 METRIC_EXTRAS = {
@@ -139,4 +140,5 @@ def resolve_sources(discovered: DataFrame, candidates: DataFrame) -> DataFrame:
     located = candidates.where(strip("source_url") != "")
     urls = located.groupBy(text_key("term").alias("_term")).agg(join_unique("source_url").alias("source_url"))
     rows = discovered.drop("source_url").withColumn("_term", text_key("source_term"))
-    return rows.join(urls, "_term", "left").withColumn("source_url", F.coalesce("source_url", F.lit(""))).drop("_term")
+    found = lookup_join(rows, urls, on=["_term"], spread_by=["keyword", "location_code", "language_code"])
+    return found.withColumn("source_url", F.coalesce("source_url", F.lit(""))).drop("_term")
