@@ -7,14 +7,20 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.text import normalize_keyword
 from ..operators import merge, terms
 from ..operators.pages import parse_pages
+from ..sources.tables import spread_few_files
 
 # How lineitem rows become keywords.
 PREFIXES = ("", "why ", "how ", "buy ", "explain ", "free pdf ")
 SUFFIXES = ("", " quiz", " summary", " chat", " facts", " analysis")
 
 
+# Tables whose rows carry work: texts, pages and line items.
+WORKED = ("documents", "pages", "conversations", "lineitem", "events")
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread_few_files(df) if name in WORKED else df
 
 
 def pick(values: tuple[str, ...], index: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, functions as F
 from ..functions import series
 from ..operators import enrich, responses as op
 from ..schemas import DISCOVERED
-from ..session import new_folder
+from ..session import new_folder, stage
 from ..sources import raw as raw_io
 from ..streaming import intake
 from . import fixtures as fx, sql
@@ -102,11 +102,7 @@ def raw_scan(spark, sf):
 
 @query("raw_roundtrip", f"WITH {CALLS} SELECT source_endpoint, strftime(collected_at, '%Y%m%d') AS stamp, 2 * count(*) AS n, 2 * sum(CASE WHEN g % 20 <> 3 THEN n_items ELSE 0 END)::BIGINT AS n_items FROM calls GROUP BY 1, 2")
 def raw_roundtrip(spark, sf):
-    folder = new_folder(spark, "log")
-    raw = discovery_raw(spark, sf)
-    raw_io.append_raw(raw, folder)
-    raw_io.append_raw(raw, folder)
-    rows = raw_io.read_raw(spark, folder)
+    rows = raw_io.read_raw(spark, _logged(spark, sf, times=2))
     items = F.aggregate(F.flatten(F.filter(F.transform("response.tasks", lambda t: t["result"]), lambda r: r.isNotNull())),
                         F.lit(0).cast("bigint"), lambda a, r: a + F.size(r["items"]))
     return rows.groupBy(raw_io.log_name("endpoint").alias("source_endpoint"), F.date_format("collected_at", "yyyyMMdd").alias("stamp")).agg(
@@ -325,7 +321,7 @@ def attach_trends(spark, sf):
 
 def _logged(spark, sf, times=1):
     folder = new_folder(spark, "log")
-    raw = discovery_raw(spark, sf)
+    raw = raw_io.parse_raw(stage(discovery_log(spark, sf), "lines"))
     for _ in range(times):
         raw_io.append_raw(raw, folder)
     return folder

@@ -136,10 +136,10 @@ def _joined(segments: Column) -> Column:
 
 def _merged_path(base_path: Column, path: Column) -> Column:
     """Path of a reference against a base path."""
-    from_base = F.concat(let(F.split(base_path, "/"), _directory), F.split(path, "/"))
-    parts = F.when(path.startswith("/"), F.split(path, "/")).otherwise(from_base)
-    joined = let(let(parts, _without_empty_middle), _joined)
-    return F.coalesce(F.nullif(joined, F.lit("")), F.lit("/"))
+    from_base = let(F.concat(let(F.split(base_path, "/"), _directory), F.split(path, "/")), _without_empty_middle)
+    joined = let(F.when(path.startswith("/"), F.split(path, "/")).otherwise(from_base), _joined)
+    # too many '..' eat the leading slash
+    return F.regexp_replace(joined, r"^/?", "/")
 
 
 def url_parts(url: Column | str) -> Column:

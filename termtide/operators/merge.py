@@ -8,18 +8,14 @@ partitioning of the group-by serves the join without another shuffle.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DataType
 
 from ..functions.text import joined_unique, normalize_keyword, null_if_nan, strip, text_key
-from ..schemas import MONTHS
+from ..schemas import DOUBLE, MONTHS
 from .spread import lookup_join
 
 KEY = ("keyword_normalized", "location_code", "language_code")
-METRIC_EXTRAS = {
-    "trend_3m": "double",
-    "trend_12m": "double",
-    "monthly_searches": MONTHS,
-    "competition_index": "double",
-}
+METRIC_EXTRAS = {"trend_3m": DOUBLE, "trend_12m": DOUBLE, "monthly_searches": MONTHS, "competition_index": DOUBLE}
 PREFERRED = ("search_volume", "cpc", "competition")
 
 
@@ -108,10 +104,10 @@ def _attached(merged: DataFrame, metrics: DataFrame | None) -> DataFrame:
     present = set(metrics.schema["_m"].dataType.fieldNames())
     joined = merged.join(metrics, "_k", "left")
 
-    def metric(name: str, dtype: str) -> Column:
+    def metric(name: str, dtype: DataType) -> Column:
         return (F.col(f"_m.{name}") if name in present else F.lit(None)).cast(dtype)
 
-    preferred = [F.coalesce(null_if_nan(metric(c, "double")), F.col(c).cast("double")).alias(c) for c in PREFERRED]
+    preferred = [F.coalesce(null_if_nan(metric(c, DOUBLE)), F.col(c).cast("double")).alias(c) for c in PREFERRED]
     extras = [metric(c, t).alias(c) for c, t in METRIC_EXTRAS.items()]
     return joined.select(*kept, *preferred, *extras)
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import NGram
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import FALLBACK_LANGUAGE, LANGUAGES, LanguageSignals
@@ -226,27 +228,22 @@ def repeated_phrases(
 
     A document yields each phrase once, so counting rows counts documents.
     """
-    code = F.substring(F.coalesce(F.col(lang), F.lit("")), 1, 2)
-    stopwords = F.array(*[F.lit(w) for w in languages[FALLBACK_LANGUAGE].stopwords])
+    words = F.regexp_extract_all(F.lower(as_column(text)), F.lit(r"[\p{L}\p{N}_'’]+"), F.lit(0))
+    rows = df.select(F.substring(F.coalesce(F.col(lang), F.lit("")), 1, 2).alias("_lang"), words.alias("_words"))
+    for n in sizes:
+        rows = NGram(n=n, inputCol="_words", outputCol=f"_grams{n}").transform(rows)
+    grams = F.array_distinct(F.concat(*[F.col(f"_grams{n}") for n in sizes]))
+    phrases = rows.select("_lang", F.explode(grams).alias("term"))
+
+    def at_an_end(stopwords: Sequence[str]) -> Column:
+        either = "|".join(re.escape(w) for w in stopwords)
+        return F.col("term").rlike(f"^(?:{either}) | (?:{either})$")
+
+    stopped = at_an_end(languages[FALLBACK_LANGUAGE].stopwords)
     for name, signals in languages.items():
         if name != FALLBACK_LANGUAGE:
-            stopwords = F.when(code == name, F.array(*[F.lit(w) for w in signals.stopwords])).otherwise(stopwords)
-    words = F.regexp_extract_all(F.lower(as_column(text)), F.lit(r"[\p{L}\p{N}_'’]+"), F.lit(0))
-    prepared = df.select(words.alias("_w"), stopwords.alias("_stop"))
-    w, stop = F.col("_w"), F.col("_stop")
-
-    def grams(n: int) -> Column:
-        spans = F.transform(w, lambda _, i: F.slice(w, i + 1, F.lit(n)))
-        whole = F.filter(
-            spans,
-            lambda s: (F.size(s) == n)
-            & ~F.array_contains(stop, F.element_at(s, 1))
-            & ~F.array_contains(stop, F.element_at(s, -1)),
-        )
-        return F.transform(whole, lambda s: F.array_join(s, " "))
-
-    phrases = prepared.select(F.explode(F.array_distinct(F.concat(*[grams(n) for n in sizes]))).alias("term"))
-    counted = phrases.groupBy("term").agg(F.count("*").alias("doc_count")).where(F.col("doc_count") >= min_docs)
-    return counted.select(
+            stopped = F.when(F.col("_lang") == name, at_an_end(signals.stopwords)).otherwise(stopped)
+    counted = phrases.where(~stopped).groupBy("term").agg(F.count("*").alias("doc_count"))
+    return counted.where(F.col("doc_count") >= min_docs).select(
         "term", F.lit("noun_phrase").alias("term_type"), "doc_count", F.lit("repeated_phrase").alias("extraction_method")
     )

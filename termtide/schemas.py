@@ -5,78 +5,115 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+STRING, INT, BIGINT, DOUBLE = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
+BOOLEAN, TIME = T.BooleanType(), T.TimestampType()
 
 
-MONTHS = "array<struct<year:int,month:int,search_volume:bigint>>"
+def _fields(names: str, dtype: T.DataType) -> list[T.StructField]:
+    return [T.StructField(name, dtype) for name in names.split()]
+
+
+def _struct(*groups: list[T.StructField]) -> T.StructType:
+    return T.StructType([field for group in groups for field in group])
+
+
+MONTHS = T.ArrayType(_struct(_fields("year month", INT), _fields("search_volume", BIGINT)))
 
 PAGES = _struct(
-    "url string, lang string, title string, meta_description string, h1 string, h2 string, h3 string,"
-    "body_text string, content_type string, course_id string, reading_id string, echo_id string,"
-    "internal_links array<string>, created_at timestamp"
+    _fields("url lang title meta_description h1 h2 h3 body_text content_type course_id reading_id echo_id", STRING),
+    _fields("internal_links", T.ArrayType(STRING)),
+    _fields("created_at", TIME),
 )
 
 ENTITIES = _struct(
-    "entity_type string, entity_id string, lang string, title string, description string,"
-    "base_text_title string, base_text_author string, contest_title string, public_url string, created_at string"
+    _fields(
+        "entity_type entity_id lang title description base_text_title base_text_author contest_title public_url created_at",
+        STRING,
+    )
 )
 
 CANDIDATES = _struct(
-    "term string, source_url string, source_entity_type string, source_entity_id string, lang string,"
-    "term_type string, term_count bigint, source_title string, extraction_method string"
+    _fields("term source_url source_entity_type source_entity_id lang term_type", STRING),
+    _fields("term_count", BIGINT),
+    _fields("source_title extraction_method", STRING),
 )
 
 DISCOVERED = _struct(
-    "keyword string, source_term string, source_endpoint string, location_code int, language_code string,"
-    "search_volume bigint, cpc double, competition double, competition_level string,"
-    "keyword_difficulty double, categories string, collected_at timestamp"
+    _fields("keyword source_term source_endpoint", STRING),
+    _fields("location_code", INT),
+    _fields("language_code", STRING),
+    _fields("search_volume", BIGINT),
+    _fields("cpc competition", DOUBLE),
+    _fields("competition_level", STRING),
+    _fields("keyword_difficulty", DOUBLE),
+    _fields("categories", STRING),
+    _fields("collected_at", TIME),
 )
 
 METRICS = _struct(
-    "keyword string, location_code int, language_code string, search_volume bigint,"
-    f"monthly_searches {MONTHS}, latest_month_searches bigint, trend_3m double, trend_12m double,"
-    "cpc double, competition double, competition_index double, low_top_of_page_bid double,"
-    "high_top_of_page_bid double, collected_at timestamp"
+    _fields("keyword", STRING),
+    _fields("location_code", INT),
+    _fields("language_code", STRING),
+    _fields("search_volume", BIGINT),
+    _fields("monthly_searches", MONTHS),
+    _fields("latest_month_searches", BIGINT),
+    _fields("trend_3m trend_12m cpc competition competition_index low_top_of_page_bid high_top_of_page_bid", DOUBLE),
+    _fields("collected_at", TIME),
 )
 
-SERP_INTENT = _struct(
-    "keyword string, serp_intent string, serp_features string, serp_top_domains string, serp_checked_at timestamp"
-)
+SERP_INTENT = _struct(_fields("keyword serp_intent serp_features serp_top_domains", STRING), _fields("serp_checked_at", TIME))
 
 TREND_TABLE = _struct(
-    "keyword string, trend_interest_latest double, trend_interest_avg double,"
-    "trend_direction string, trend_slope double, trend_checked_at timestamp"
+    _fields("keyword", STRING),
+    _fields("trend_interest_latest trend_interest_avg", DOUBLE),
+    _fields("trend_direction", STRING),
+    _fields("trend_slope", DOUBLE),
+    _fields("trend_checked_at", TIME),
 )
 
-URL_RULES = _struct("host string, agent string, path_prefix string, allow boolean")
-
 # One logged call: every response shape the flatteners read, in one nested type.
 # ``competition`` is text because one endpoint reports a level there, not a number.
-_INFO = (
-    "search_volume:bigint,cpc:double,competition:string,competition_level:string,categories:array<string>"
+_INFO_FIELDS = (
+    _fields("search_volume", BIGINT), _fields("cpc", DOUBLE), _fields("competition competition_level", STRING),
+    _fields("categories", T.ArrayType(STRING)),
+)
+_INFO = _struct(*_INFO_FIELDS)
+_PROPERTIES = _struct(_fields("keyword_difficulty", DOUBLE))
+_VOLUME_FIELDS = (
+    _fields("monthly_searches", MONTHS), _fields("competition_index low_top_of_page_bid high_top_of_page_bid", DOUBLE),
 )
-_ITEM = (
-    "struct<keyword:string,"
-    f"keyword_data:struct<keyword:string,keyword_info:struct<{_INFO}>,"
-    "keyword_properties:struct<keyword_difficulty:double>>,"
-    f"keyword_info:struct<{_INFO}>,keyword_properties:struct<keyword_difficulty:double>,{_INFO},"
-    f"monthly_searches:{MONTHS},competition_index:double,low_top_of_page_bid:double,high_top_of_page_bid:double,"
-    "type:string,domain:string,keywords:array<string>,data:array<struct<values:array<double>>>>"
+_ITEM = _struct(
+    _fields("keyword", STRING),
+    _fields("keyword_data", _struct(_fields("keyword", STRING), _fields("keyword_info", _INFO), _fields("keyword_properties", _PROPERTIES))),
+    _fields("keyword_info", _INFO),
+    _fields("keyword_properties", _PROPERTIES),
+    *_INFO_FIELDS,
+    *_VOLUME_FIELDS,
+    _fields("type domain", STRING),
+    _fields("keywords", T.ArrayType(STRING)),
+    _fields("data", T.ArrayType(_struct(_fields("values", T.ArrayType(DOUBLE))))),
 )
-_RESULT = (
-    f"struct<items:array<{_ITEM}>,keyword:string,search_volume:bigint,cpc:double,competition:string,"
-    f"monthly_searches:{MONTHS},competition_index:double,low_top_of_page_bid:double,high_top_of_page_bid:double>"
+_RESULT = _struct(
+    _fields("items", T.ArrayType(_ITEM)),
+    _fields("keyword", STRING),
+    _fields("search_volume", BIGINT),
+    _fields("cpc", DOUBLE),
+    _fields("competition", STRING),
+    *_VOLUME_FIELDS,
 )
-_REQUEST = (
-    "struct<keyword:string,keywords:array<string>,target:string,location_code:int,language_code:string,"
-    "depth:int,limit:int,time_range:string>"
+_REQUEST = _struct(
+    _fields("keyword", STRING),
+    _fields("keywords", T.ArrayType(STRING)),
+    _fields("target", STRING),
+    _fields("location_code", INT),
+    _fields("language_code", STRING),
+    _fields("depth limit", INT),
+    _fields("time_range", STRING),
 )
+_TASK = _struct(_fields("status_code", INT), _fields("status_message", STRING), _fields("result", T.ArrayType(_RESULT)))
+_RESPONSE = _struct(_fields("status_code", INT), _fields("status_message", STRING), _fields("tasks", T.ArrayType(_TASK)))
 ENVELOPE = _struct(
-    f"endpoint string, request array<{_REQUEST}>,"
-    "response struct<status_code:int,status_message:string,"
-    f"tasks:array<struct<status_code:int,status_message:string,result:array<{_RESULT}>>>>,"
-    "collected_at timestamp"
+    _fields("endpoint", STRING), _fields("request", T.ArrayType(_REQUEST)), _fields("response", _RESPONSE), _fields("collected_at", TIME)
 )
 
 # The export's columns in order.
@@ -98,14 +135,11 @@ EXPORT_COLUMNS = (
     "recommended_action",
 )
 
-EXPORT = _struct(
-    "keyword string, language_code string, location_code int, search_volume double, trend_3m double,"
-    "trend_12m double, competition double, cpc double, source_terms string, source_urls string,"
-    "intent_label string, cluster_label string, relevance_score double, opportunity_score double,"
-    "recommended_action string"
-)
-
-assert tuple(EXPORT.fieldNames()) == EXPORT_COLUMNS
+_EXPORT_TYPES = {"language_code": STRING, "location_code": INT} | {
+    name: DOUBLE
+    for name in ("search_volume", "trend_3m", "trend_12m", "competition", "cpc", "relevance_score", "opportunity_score")
+}
+EXPORT = _struct(*[_fields(name, _EXPORT_TYPES.get(name, STRING)) for name in EXPORT_COLUMNS])
 
 
 def ensure_columns(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -26,6 +26,16 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
+def spread_few_files(df: DataFrame) -> DataFrame:
+    """Rows of a table with fewer files than cores, dealt out to all cores.
+
+    A file may be one unsplittable piece, and text work on it would keep one core
+    busy. Tables of many files, which large ones are, stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def read_optional_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     try:
         return read_table(spark, path, schema)
