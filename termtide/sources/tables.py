@@ -52,10 +52,9 @@ def read_entities(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV that ``read_entities`` reads back unchanged: a quote is doubled."""
+    """CSV that ``read_entities`` reads back, quotes doubled; '' and null are the same there."""
     writer = df.write.mode("overwrite").option("header", True)
-    options = {"quote": '"', "escape": '"', "emptyValue": '""', "ignoreLeadingWhiteSpace": False,
-               "ignoreTrailingWhiteSpace": False}
+    options = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     writer.options(**options).csv(path)
 
 
