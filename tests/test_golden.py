@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from termtide.config import ActionRule, ScoringConfig
 from termtide.operators import containment, merge, report, score as sc, terms
-from termtide.plans.pipeline import keyword_opportunities
+from termtide.plans.stages import keyword_opportunities
 from termtide.schemas import EXPORT_COLUMNS, PAGES
 from termtide.sources.tables import export_opportunities
 
