@@ -199,7 +199,7 @@ def serp_raw(spark, sf):
     item = F.struct("event_id", kind.alias("type"), domain.alias("domain"))
     # a run of event ids bounds the page
     pages = events.groupBy("user_id", "p_name", F.floor(F.col("event_id") / 1000).alias("run")).agg(
-        F.array_sort(F.collect_list(item)).alias("items"), F.max(F.date_trunc("second", "ts")).alias("collected_at")
+        F.sort_array(F.collect_list(item)).alias("items"), F.max(F.date_trunc("second", "ts")).alias("collected_at")
     )
     task = F.struct(F.lit(20000).alias("status_code"), F.array(F.struct("items")).alias("result"))
     envelope = F.struct(
@@ -262,7 +262,7 @@ def interest_raw(spark, sf):
     )
     point = F.struct("day", F.struct(F.array(*KINDS).alias("values")).alias("point"))
     # one point per calendar day
-    graphs = days.groupBy("g").agg(F.transform(F.array_sort(F.collect_list(point)), lambda p: p["point"]).alias("data"))
+    graphs = days.groupBy("g").agg(F.transform(F.sort_array(F.collect_list(point)), lambda p: p["point"]).alias("data"))
     suffix = F.concat(F.lit(" g"), F.col("g").cast("string"))
     shown = F.array(*[F.concat(F.lit(k.upper()), suffix) for k in KINDS])
     asked = F.array(*[F.concat(F.lit(k), suffix) for k in (*KINDS, "other")])

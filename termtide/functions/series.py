@@ -17,7 +17,7 @@ def sort_monthly(c: Column | str) -> Column:
     keyed = F.transform(
         F.filter(col, lambda m: m.isNotNull()), lambda m, i: F.struct((-stamp(m)).alias("k"), i.alias("i"), m.alias("m"))
     )
-    return F.transform(F.array_sort(keyed), lambda x: x["m"])
+    return F.transform(F.sort_array(keyed), lambda x: x["m"])
 
 
 def latest_month(sorted_months: Column | str) -> Column:

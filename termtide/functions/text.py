@@ -147,4 +147,4 @@ def joined_unique(values: Column) -> Column:
     """Array of strings to one '|'-joined string: trimmed, non-empty, distinct, sorted."""
     trimmed = F.transform(F.filter(values, lambda v: v.isNotNull()), strip)
     kept = F.filter(trimmed, lambda v: v != "")
-    return F.array_join(F.array_sort(F.array_distinct(kept)), "|")
+    return F.array_join(F.sort_array(F.array_distinct(kept)), "|")

@@ -179,4 +179,4 @@ def internal_links(url: Column | str, html: Column | str) -> Column:
         links = F.transform(with_href, lambda t: resolve_url(base, _attribute(t, "href")))
         return F.filter(links, lambda link: url_part(link, "host") == base["host"])
 
-    return F.array_sort(F.array_distinct(let(url_parts(url), on_host)))
+    return F.sort_array(F.array_distinct(let(url_parts(url), on_host)))

@@ -37,7 +37,7 @@ def first_entry(c: str, order: str) -> Column:
 def join_unique(c: Column | str) -> Column:
     """Aggregate: distinct trimmed non-empty values, sorted and joined by '|'."""
     col = F.col(c) if isinstance(c, str) else c
-    return joined_unique(F.collect_set(F.nullif(strip(col), F.lit(""))))
+    return F.array_join(F.sort_array(F.collect_set(F.nullif(strip(col), F.lit("")))), "|")
 
 
 def _merged(discovered: DataFrame, order: str) -> DataFrame:

@@ -135,8 +135,8 @@ def apply_url_policy(urls: DataFrame, rules: DataFrame, agent: str = "*") -> Dat
     )
     # one host's rules are one small file; urls only look them up
     per_host = per_prefix.groupBy("host").agg(
-        F.array_sort(F.collect_list(F.when(F.col("own"), entry))).alias("_own"),
-        F.array_sort(F.collect_list(F.when(~F.col("own"), entry))).alias("_any"),
+        F.sort_array(F.collect_list(F.when(F.col("own"), entry))).alias("_own"),
+        F.sort_array(F.collect_list(F.when(~F.col("own"), entry))).alias("_any"),
     )
     lists = per_host.select("host", F.when(F.size("_own") > 0, F.col("_own")).otherwise(F.col("_any")).alias("_rules"))
     query = web.url_part("url", "query")

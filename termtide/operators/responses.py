@@ -173,7 +173,7 @@ def flatten_serp(raw: DataFrame, *endpoints: str) -> DataFrame:
     organic = F.filter("_items", lambda i: (i["type"] == ORGANIC) & (i["domain"] != ""))
     parts = rows.select(
         "keyword", "collected_at",
-        F.array_sort(F.array_distinct(F.transform(typed, lambda i: i["type"]))).alias("_features"),
+        F.sort_array(F.array_distinct(F.transform(typed, lambda i: i["type"]))).alias("_features"),
         F.slice(F.transform(organic, lambda i: i["domain"]), 1, TOP_DOMAINS).alias("_domains"),
     )
     return parts.select(
