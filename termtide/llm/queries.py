@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .ngram_lm import score_texts
 from .shipping import ship
 from .suffix_dedup import remove_repeats
 
@@ -59,3 +60,11 @@ FROM sized s LEFT JOIN kept k USING (doc_id)
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs, length=50).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@_query("op4_log_frequency_bloom_lm")
+def op4_log_frequency_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    scored = score_texts(docs, ~F.col("held_out"))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
