@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .ngram_lm import score_texts
+from . import ngram_lm, toxicity
 from .shipping import ship
 from .suffix_dedup import remove_repeats
 
@@ -66,5 +66,13 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_log_frequency_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
-    scored = score_texts(docs, ~F.col("held_out"))
+    scored = ngram_lm.score_texts(docs, ~F.col("held_out"))
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@_query("op1_factorization_machine_toxicity")
+def op1_factorization_machine_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out"))
+    labels = _table(spark, sf_dir, "labels").where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
+    machine = toxicity.learn(docs, labels)
+    return toxicity.score_texts(docs.select("doc_id", "held_out", "text"), machine).select("doc_id", "held_out", "score", "predicted")

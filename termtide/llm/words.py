@@ -17,6 +17,9 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _GAP = np.zeros(256, bool)
 _GAP[[9, 10, 11, 12, 13, 32]] = True
+# letters, digits and all bytes of other scripts make words; everything else parts them
+LETTERS_ONLY = np.ones(256, bool)
+LETTERS_ONLY[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 # each byte value stands for a fixed odd 64-bit number, so that nearby letters are unrelated
 _LETTER = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE)) | np.uint64(1)
 
@@ -36,9 +39,9 @@ _FORWARD = _powers(BASE, CHUNK)
 _BACK = _powers(pow(BASE, -1, 1 << 64), CHUNK)
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = _GAP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Begin and end of every word, and for each text the number of its first word (length texts + 1)."""
-    gap = _GAP[data]
+    gap = gaps[data]
     inside = ~gap
     first = inside.copy()
     if len(data):
