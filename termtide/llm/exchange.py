@@ -87,3 +87,66 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def packed(arrays: Sequence[np.ndarray]) -> list[bytes]:
     return [np.ascontiguousarray(a).tobytes() for a in arrays]
+
+
+def address(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket of each hash, and the half of it that is told apart within the bucket."""
+    return ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64), (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+
+
+def ask_shared(block: int, hashes: np.ndarray, row: np.ndarray, buckets: int) -> pa.Table:
+    """One block's question to the buckets: its distinct hashes and how many of its rows have each (65,535 at most)."""
+    bucket, low = address(hashes, buckets)
+    order = np.lexsort((row, low, bucket))
+    bucket, low, row = bucket[order], low[order], row[order]
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (bucket[1:] != bucket[:-1]) | (low[1:] != low[:-1])
+    distinct = fresh.copy()
+    distinct[1:] |= row[1:] != row[:-1]
+    heads = np.flatnonzero(fresh)
+    counts = np.add.reduceat(distinct, heads, dtype=np.int64) if len(heads) else np.zeros(0, np.int64)
+    return by_bucket(block, bucket[heads], buckets, ["lows", "counts"], [low[heads], np.minimum(counts, 65535).astype(np.uint16)])
+
+
+def by_bucket(block: int, owner: np.ndarray, buckets: int, names: Sequence[str], columns: Sequence[np.ndarray]) -> pa.Table:
+    """Rows (block, bucket, one packed slice of each column) for the buckets that have any."""
+    order, edges = split_sorted(owner, buckets)
+    used = np.flatnonzero(np.diff(edges))
+    slices = [order[edges[b] : edges[b + 1]] for b in used]
+    arrays = [pa.array(packed([column[s] for s in slices]), pa.binary()) for column in columns]
+    return pa.table([pa.array(np.full(len(used), block, np.int32)), pa.array(used.astype(np.int32)), *arrays], names=["block", "bucket", *names])
+
+
+def tell_shared(rows: pa.Table, often: int) -> pa.Table:
+    """One bucket's answer to each block: which of its hashes more than one row has, and which more than ``often``."""
+    bucket = rows.column("bucket")[0].as_py()
+    blocks = rows.column("block").to_pylist()
+    lows = [np.frombuffer(x, np.uint32) for x in rows.column("lows").to_pylist()]
+    counts = [np.frombuffer(x, np.uint16) for x in rows.column("counts").to_pylist()]
+    values, which = np.unique(np.concatenate(lows), return_inverse=True)
+    total = np.bincount(which, np.concatenate(counts).astype(np.float64), len(values))
+    edges = np.cumsum([0, *map(len, lows)])
+    out = []
+    for block, own, a, b in zip(blocks, lows, edges, edges[1:]):
+        known = total[which[a:b]]
+        shared = known > 1
+        if shared.any():
+            out.append((block, bucket, own[shared].tobytes(), (known[shared] > often).astype(np.uint8).tobytes()))
+    return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=["block", "bucket", "lows", "often"])
+
+
+def known_shared(told: pa.Table, hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """A block's hashes by the answers: 0 in one row only, 1 shared, 2 shared by very many."""
+    keys, flags = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint8)]
+    for bucket, lows, often in zip(told.column("bucket").to_pylist(), told.column("lows").to_pylist(), told.column("often").to_pylist()):
+        keys.append(np.frombuffer(lows, np.uint32).astype(np.uint64) | np.uint64(bucket << 32))
+        flags.append(np.frombuffer(often, np.uint8))
+    known, flag = np.concatenate(keys), np.concatenate(flags)
+    if not len(known):
+        return np.zeros(len(hashes), np.int8)
+    order = np.argsort(known)
+    known, flag = known[order], flag[order]
+    bucket, low = address(hashes, buckets)
+    own = (bucket.astype(np.uint64) << np.uint64(32)) | low
+    place = np.minimum(np.searchsorted(known, own), len(known) - 1)
+    return np.where(known[place] == own, 1 + flag[place], 0).astype(np.int8)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ngram_lm, toxicity
+from . import ngram_join, ngram_lm, toxicity
 from .shipping import ship
 from .suffix_dedup import remove_repeats
 
@@ -76,3 +76,9 @@ def op1_factorization_machine_toxicity(spark: SparkSession, sf_dir: str) -> Data
     labels = _table(spark, sf_dir, "labels").where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
     machine = toxicity.learn(docs, labels)
     return toxicity.score_texts(docs.select("doc_id", "held_out", "text"), machine).select("doc_id", "held_out", "score", "predicted")
+
+
+@_query("op10_token_combination_join")
+def op10_token_combination_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.link_documents(docs, size=4, percent=85).select("doc_id", "n_shingles", "component_id")
