@@ -21,9 +21,10 @@ shingles of each. So the prefix is extended to there, and adjacent pairs are its
 a number linear in n, where all combinations would be quadratic, and each pair is far
 rarer than its shingles.
 
-Verification. A text is first compared with the smallest text that shares most keys
-with it, then, round after round, with one text of another group under each key, chosen
-differently each time. What links forms groups. Last, every two texts of one key that
+Verification. Under each key the text with the fewest shingles of its own is the centre,
+mostly the one that the others were made from. A text is first compared with the centre
+with which it shares most keys, then, in further rounds, with a centre of another group,
+drawn anew for each key and round. What links forms groups. Last, every two texts of one key that
 are still in different groups are compared, unless they have been. So a group of copies
 costs about its size, and no pair that could link is left out.
 
@@ -43,13 +44,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .components import components
-from .exchange import ask_shared, block_count, block_of, flat_text, known_shared, mix64, staged, tell_shared
+from .exchange import ask_shared, block_count, block_of, flat_text, known_shared, mix64, numbers, staged, tell_shared
+from .suffix_sort import ranges
 from .words import BASE, shingle_sets, word_hashes, word_spans
 
 FREQUENT = 64
-ROUNDS = 3
+ROUNDS = 2
+PARITY_WORDS = 16
+CHUNK = 4096
+SLICE = 1 << 20
 
-_SETS = T.StructType().add("node", "long").add("n", "long").add("shingles", T.ArrayType(T.LongType())).add("keys", T.ArrayType(T.LongType()))
+_SETS = T.StructType().add("node", "long").add("n", "long").add("own", "long").add("shingles", T.ArrayType(T.LongType())).add("keys", T.ArrayType(T.LongType())).add("parity", T.ArrayType(T.LongType()))
 
 
 def prefix_keys(hashes: np.ndarray, classes: np.ndarray, percent: int) -> np.ndarray:
@@ -72,6 +77,16 @@ def prefix_keys(hashes: np.ndarray, classes: np.ndarray, percent: int) -> np.nda
     return keys
 
 
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """For each of 1,024 classes of hashes, whether the set has an odd number of them, as 16 whole numbers.
+
+    Where two sets differ in parity they differ in a shingle, so the number of
+    places is at most the number of shingles that the two have apart.
+    """
+    odd = np.bincount((hashes >> np.uint64(20)).astype(np.int64) & (64 * PARITY_WORDS - 1), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def _shingles(rows: pa.Table, size: int) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = flat_text(rows.column("text"))
     begins, ends, firsts = word_spans(data, offsets)
@@ -83,6 +98,43 @@ def _linked(percent: int) -> Column:
     return common * 100 >= (F.size("a_set") + F.size("b_set") - common) * percent
 
 
+def possible_pairs(rows: pa.Table, percent: int) -> pa.Table:
+    """Pairs under one key that upper bounds of what is common leave over; the rows may be of many keys.
+
+    Not common are the shingles that one text has alone, and those that make two
+    sets differ in parity. Pairs are formed and dropped in slices. If the task is
+    for two chunks of a key, pairs are formed between them, else among its rows.
+    """
+    key, node, label, chunk, n, own = (numbers(rows.column(c)) for c in ("key", "node", "label", "chunk", "n", "own"))
+    order = np.lexsort((node, chunk, key))
+    key, node, label, chunk, n, own = (x[order] for x in (key, node, label, chunk, n, own))
+    bits = rows.column("parity").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(node), PARITY_WORDS)[order]
+    place = np.arange(len(node))
+    end = np.searchsorted(key, key, side="right")
+    first, second = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
+    if first == second:
+        begin = place + 1
+    else:
+        _, which = np.unique(key, return_inverse=True)
+        begin = np.where(chunk == first, end - np.bincount(which, chunk == second)[which].astype(np.int64), end)
+    counts = end - begin
+    edges = np.searchsorted(np.cumsum(counts), np.arange(0, int(counts.sum()) + SLICE, SLICE), side="right")
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for low, high in zip(np.unique(edges)[:-1].tolist(), np.unique(edges)[1:].tolist()):
+        x, y = np.repeat(place[low:high], counts[low:high]), ranges(begin[low:high], counts[low:high])
+        total, most = n[x] + n[y], np.minimum(n[x] - own[x], n[y] - own[y])
+        good = (most * 100 >= (total - most) * percent) & (label[x] != label[y])
+        x, y, total = x[good], y[good], total[good]
+        differ = np.zeros(len(x), np.int64)
+        for word in range(PARITY_WORDS):
+            differ += np.bitwise_count(bits[x, word] ^ bits[y, word])
+        most = (total - differ) // 2
+        good = most * 100 >= (total - most) * percent
+        found.append((node[x[good]], node[y[good]]))
+    a, b = (np.concatenate([np.zeros(0, np.int64), *[f[i] for f in found]]) for i in (0, 1))
+    return pa.table([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets link."""
     close = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
@@ -94,7 +146,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _labelled(keys: DataFrame, labels: DataFrame) -> DataFrame:
     """Keys with each node's group; a node without links is its own group. Keys of one group alone are left out."""
-    named = keys.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    named = keys.join(labels, "node", "left").select("key", "node", "n", "own", F.coalesce("label", "node").alias("label"))
     split = named.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least != most").select("key")
     return named.join(split, "key")
 
@@ -114,22 +166,25 @@ def link_classes(texts: DataFrame, size: int = 4, percent: int = 85, frequent: i
     def keys_of(part: pa.Table, told: pa.Table) -> pa.Table:
         values, edges = _shingles(part, size)
         classes = known_shared(told, values, blocks)
-        sets, keys = [], []
+        sets, keys, apart, odd = [], [], [], []
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
             own = prefix_keys(values[a:b], classes[a:b], percent) if b > a else values[:0]
             sets.append(values[a:b].view(np.int64) if len(own) else None)
             keys.append(own.view(np.int64))
-        return pa.table([part.column("node"), pa.array(np.diff(edges).astype(np.int64)), pa.array(sets, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))], names=["node", "n", "shingles", "keys"])
+            odd.append(parity(values[a:b]) if len(own) else None)
+            apart.append(int((classes[a:b] == 0).sum()))
+        return pa.table([part.column("node"), pa.array(np.diff(edges).astype(np.int64)), pa.array(apart, pa.int64()), pa.array(sets, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64())), pa.array(odd, pa.list_(pa.int64()))], names=["node", "n", "own", "shingles", "keys", "parity"])
 
     told = rows.groupBy("block").applyInArrow(ask, "block int, bucket int, lows binary, counts binary").groupBy("bucket").applyInArrow(tell, "block int, bucket int, lows binary, often binary")
     # the exchange names its columns block and bucket, too
     sets = staged(rows.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(keys_of, _SETS), "join-sets")
     indexed = sets.where("shingles is not null")
-    every = indexed.select("node", F.explode(F.array_distinct("keys")).alias("key"))
+    every = indexed.select("node", "n", "own", F.explode(F.array_distinct("keys")).alias("key"))
     # a key that one text has alone joins nothing
     keys = staged(every.join(every.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "key"), "join-keys")
 
-    centres = keys.groupBy("key").agg(F.min("node").alias("b"))
+    # the text with the fewest shingles of its own is what the others of a family were made from
+    centres = keys.groupBy("key").agg(F.min_by("node", F.struct(F.col("own") / F.col("n"), "node")).alias("b"))
     shared = keys.withColumnRenamed("node", "a").join(centres, "key").where("a != b").groupBy("a", "b").agg(F.count("*").alias("c"))
     tried = shared.groupBy("a").agg(F.max(F.struct("c", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
     tried = staged(tried, "join-tried")
@@ -150,8 +205,19 @@ def link_classes(texts: DataFrame, size: int = 4, percent: int = 85, frequent: i
         links = links.union(found)
         labels = components(links)
     open_ = staged(_labelled(keys, labels), "join-open")
-    other = open_.select("key", F.col("node").alias("b"), F.col("label").alias("b_label"))
-    rest = open_.withColumnRenamed("node", "a").join(other, "key").where("a < b and label != b_label").select("a", "b").distinct()
+    # a key with very many texts is cut into chunks, and each task gets one chunk or two
+    parts = open_.groupBy("key").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("parts"))
+    chunk = F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts")).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(F.least("chunk", j).alias("i"), F.greatest("chunk", j).alias("j")))
+    dealt = open_.join(parts, "key").withColumn("chunk", chunk).join(indexed.select("node", "parity"), "node").withColumn("to", F.explode(pairs))
+    # small keys share a task
+    task = F.when(F.col("parts") == 1, F.pmod("key", F.lit(blocks))).otherwise(F.col("key"))
+    dealt = dealt.select(task.alias("task"), "key", "to.i", "to.j", "node", "label", "chunk", "n", "own", "parity")
+
+    def possible(rows: pa.Table) -> pa.Table:
+        return possible_pairs(rows, percent)
+
+    rest = dealt.groupBy("task", "i", "j").applyInArrow(possible, "a long, b long").distinct()
     seen = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = staged(rest.join(seen, ["a", "b"], "left_anti"), "join-rest")
     links = links.union(staged(_verified(rest, indexed, percent), "join-links"))
