@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ngram_join, ngram_lm, toxicity
+from . import language_id, ngram_join, ngram_lm, toxicity
 from .shipping import ship
 from .suffix_dedup import remove_repeats
 
@@ -82,3 +82,11 @@ def op1_factorization_machine_toxicity(spark: SparkSession, sf_dir: str) -> Data
 def op10_token_combination_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return ngram_join.link_documents(docs, size=4, percent=85).select("doc_id", "n_shingles", "component_id")
+
+
+@_query("op6_kneser_ney_language_id")
+def op6_kneser_ney_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out.alias("held_out"))
+    models = language_id.learn(docs, ~F.col("held_out"))
+    return language_id.identify(docs.select("doc_id", "held_out", "text"), models).select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
