@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_id, ngram_join, ngram_lm, toxicity
+from . import html_region, language_id, ngram_join, ngram_lm, toxicity, warc
 from .shipping import ship
 from .suffix_dedup import remove_repeats
 
@@ -90,3 +90,16 @@ def op6_kneser_ney_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out.alias("held_out"))
     models = language_id.learn(docs, ~F.col("held_out"))
     return language_id.identify(docs.select("doc_id", "held_out", "text"), models).select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
+
+
+@_query("op7_warc_derivatives")
+def op7_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.derive(warc.responses(pages, date="2026-01-01T00:00:00Z"))
+
+
+@_query("op9_maximum_region_html")
+def op9_maximum_region_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    weights = html_region.learn(pages)
+    return html_region.main_text(pages, weights).select("page_id", "url", "text", "n_chars")
