@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import html_region, language_id, ngram_join, ngram_lm, toxicity, warc
+from . import fingerprint, html_region, language_id, ngram_join, ngram_lm, toxicity, warc
 from .shipping import ship
 from .suffix_dedup import remove_repeats
 
@@ -103,3 +103,9 @@ def op9_maximum_region_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
     weights = html_region.learn(pages)
     return html_region.main_text(pages, weights).select("page_id", "url", "text", "n_chars")
+
+
+@_query("op8_one_permutation_minhash")
+def op8_one_permutation_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fingerprint.fingerprints(docs).drop("text")
