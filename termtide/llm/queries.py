@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprint, html_region, language_id, ngram_join, ngram_lm, toxicity, warc
+from . import decontaminate, fingerprint, html_region, language_id, ngram_join, ngram_lm, pieces, toxicity, warc
 from .shipping import ship
 from .suffix_dedup import remove_repeats
 
@@ -109,3 +109,15 @@ def op9_maximum_region_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_one_permutation_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return fingerprint.fingerprints(docs).drop("text")
+
+
+@_query("op3_shared_prefix_viterbi")
+def op3_shared_prefix_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode(docs, pieces.load()).select("doc_id", "n_pieces", "ids", "decoded_sha256", "round_trip")
+
+
+@_query("op5_pigeonhole_decontamination")
+def op5_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.find_leaks(docs, _table(spark, sf_dir, "benchmark").select("item_id", "text"))
