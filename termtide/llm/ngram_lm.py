@@ -130,6 +130,8 @@ def _context_bin(counts: np.ndarray) -> np.ndarray:
 
 def score_tokens(tokens: np.ndarray, edges: np.ndarray, counts: np.ndarray, model: Filter, fitted: Fitted, order: int, leave_one_out: bool = False):
     """Probability of each token; or, leaving out one occurrence, the log-likelihood of each share, order and bin."""
+    if not len(tokens):
+        return np.zeros((order - 1, BINS, len(SHARES))) if leave_one_out else np.zeros(0)
     one = 1.0 if leave_one_out else 0.0
     starts = np.zeros(len(tokens), bool)
     starts[edges[:-1]] = True
