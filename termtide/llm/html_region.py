@@ -31,7 +31,7 @@ from .markup import BLOCKS, CLOSED_BY, SPACED, VOID, attributes_of, tidy, tokens
 SAMPLE_ROWS = 2_000
 MAX_KINDS = 500
 TAG_WORDS = 5.0
-ASIDE_SCORE = -1.0
+ASIDE_SCORE = -0.1
 # fixed values: elements, roles and name parts that are never main text
 NEVER = frozenset("nav footer aside form menu dialog button select textarea script style noscript template iframe svg math title".split())
 NEVER_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alertdialog alert form".split())
@@ -56,10 +56,10 @@ def _never(name: str, more: str, inside: bool) -> bool:
     return any(NEVER_NAMES.search(attributes.get(key, "")) for key in ("class", "id"))
 
 
-def scan(html: str) -> list[tuple[str, str, bool, bool]]:
-    """The page as (kind, value, aside, content): kind is tag, break or the kind of a text; aside: never main text;
-    content: inside an article element."""
-    out: list[tuple[str, str, bool, bool]] = []
+def scan(html: str) -> list[tuple[str, str, bool, bool, bool]]:
+    """The page as (kind, value, aside, content, main): kind is tag, break, space or the kind of a text; aside: never
+    main text; content: inside an article element; main: inside an article or main element."""
+    out: list[tuple[str, str, bool, bool, bool]] = []
     stack: list[tuple[str, bool]] = []
     asides = articles = mains = 0
 
@@ -74,10 +74,10 @@ def scan(html: str) -> list[tuple[str, str, bool, bool]]:
         if kind == "text":
             around = stack[-1][0] if stack else ""
             link = any(n == "a" for n, _ in stack[-3:])
-            out.append((f"in {around}{' a' if link else ''}", unescape(name), asides > 0, articles > 0))
+            out.append((f"in {around}{' a' if link else ''}", unescape(name), asides > 0, articles > 0, mains > 0))
             continue
         if kind == "raw":
-            out.append(("tag", name, True, articles > 0))
+            out.append(("tag", name, True, articles > 0, mains > 0))
             continue
         if kind == "open":
             while stack and name in CLOSED_BY.get(stack[-1][0], ()):
@@ -91,16 +91,16 @@ def scan(html: str) -> list[tuple[str, str, bool, bool]]:
         elif any(n == name for n, _ in stack):
             while stack[-1][0] != name:
                 pop()
-            out.append(("tag", f"/{name}", asides > 0, articles > 0))
+            out.append(("tag", f"/{name}", asides > 0, articles > 0, mains > 0))
             pop()
             if name in BLOCKS:
-                out.append(("break", "", False, False))
+                out.append(("break", "", False, False, False))
             continue
-        out.append(("tag", name if kind == "open" else f"/{name}", asides > 0, articles > 0))
+        out.append(("tag", name if kind == "open" else f"/{name}", asides > 0, articles > 0, mains > 0))
         if name in BLOCKS:
-            out.append(("break", "", False, False))
+            out.append(("break", "", False, False, False))
         elif name in SPACED:
-            out.append(("space", "", False, False))
+            out.append(("space", "", False, False, False))
     return out
 
 
@@ -111,8 +111,9 @@ def extract(html: str | None, weights: dict[str, float], any_word: float, any_ta
     items = scan(html)
     best = score = 0.0
     begin, found = 0, (0, 0)
-    for i, (kind, value, aside, _) in enumerate(items):
-        if kind in ("break", "space"):
+    for i, (kind, value, aside, _, main) in enumerate(items):
+        # what is put in between within the marked content neither adds nor parts
+        if kind in ("break", "space") or (aside and main):
             continue
         if kind == "tag":
             step = weights.get(f"<{value}>", any_tag)
@@ -125,7 +126,7 @@ def extract(html: str | None, weights: dict[str, float], any_word: float, any_ta
         if score > best:
             best, found = score, (begin, i + 1)
     blocks, parts = [], []
-    for kind, value, aside, _ in items[found[0] : found[1]]:
+    for kind, value, aside, _, _ in items[found[0] : found[1]]:
         if kind == "break":
             blocks.append(tidy(parts))
             parts = []
@@ -148,9 +149,9 @@ def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sam
         for batch in batches:
             for html in batch.column(0).to_pylist():
                 items = scan(html)
-                if sum(kind == "tag" and value == "article" for kind, value, _, _ in items) != 1:
+                if sum(kind == "tag" and value == "article" for kind, value, *_ in items) != 1:
                     continue
-                for kind, value, aside, content in items:
+                for kind, value, aside, content, _ in items:
                     if kind == "tag":
                         seen[f"<{value}>", content and not aside] += 1
                     elif kind not in ("break", "space") and not aside:
