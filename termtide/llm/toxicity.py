@@ -33,7 +33,8 @@ MAX_TERMS = 1 << 14
 MIN_ROWS = 4
 CHI_SQUARED = 6.63
 FACTORS = 8
-EPOCHS = 30
+EPOCHS = 25
+LEAST_STEPS = 1_000
 BATCH = 256
 RATE = 0.1
 SHRINK = 2e-4
@@ -100,7 +101,8 @@ def fit_machine(text: np.ndarray, terms: np.ndarray, labels: np.ndarray, min_row
     size = len(known)
     parts = np.concatenate([np.zeros((size, 1)), rng.normal(0, 0.01, (size, FACTORS))], axis=1)
     past, past_bias = np.full(parts.shape, 1e-6), 1e-6
-    for epoch in range(EPOCHS):
+    batches = -(-len(labels) // BATCH)
+    for _ in range(max(EPOCHS, -(-LEAST_STEPS // batches))):
         order = rng.permutation(len(labels))
         for at in range(0, len(order), BATCH):
             rows = order[at : at + BATCH]

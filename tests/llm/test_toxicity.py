@@ -11,7 +11,7 @@ def test_held_out_quality(spark):
     rows = QUERIES["op1_factorization_machine_toxicity"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
     held = [r for r in rows if r.held_out]
     good, bad = [r.score for r in held if r.toxic == 0], [r.score for r in held if r.toxic == 1]
-    assert np.mean([[b > g for g in good] for b in bad]) > 0.85
+    assert np.mean([[(b > g) + (b == g) / 2 for g in good] for b in bad]) > 0.88
     assert sum(r.predicted for r in held if r.toxic == 0) <= 0.02 * len(good)
 
 
@@ -32,7 +32,7 @@ def test_odd_rows(spark):
     docs = spark.createDataFrame(texts, "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)] + [(None, 1), (5, None)], "doc_id long, toxic int")
     machine = toxicity.learn(docs, labels, sample_rows=150)
-    odd = spark.createDataFrame([(None, None, 1), (1, "", 2), (1, "an IDIOT!", 3), (1, "words " * 50_000, 4), (1, "words " * 50_000, 5)], "doc_id long, text string, Score int")
+    odd = spark.createDataFrame([(None, None, 1), (1, "", 2), (1, "you IDIOT!", 3), (1, "words " * 50_000, 4), (1, "words " * 50_000, 5)], "doc_id long, text string, Score int")
     out = toxicity.score_texts(odd.withColumnRenamed("Score", "score"), machine)
     assert out.columns == ["doc_id", "text", "score", "predicted"]
     got = [(r.score, r.predicted) for r in out.collect()]
