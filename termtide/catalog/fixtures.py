@@ -58,6 +58,11 @@ def pages_plus(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages").select("page_id", "url", html.alias("html"))
 
 
+def parts(spark: SparkSession, sf: str) -> Column:
+    """Number of parts; part keys go from 0 to one less."""
+    return table(spark, sf, "part").agg(F.count("*")).scalar()
+
+
 def corpus(spark: SparkSession, sf: str) -> DataFrame:
     """Parsed pages as the page contract, with ``page_id`` as reading order."""
     return parse_pages(table(spark, sf, "pages"))
@@ -67,14 +72,14 @@ def entities(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as entity rows; the other titles come from parts."""
     docs = table(spark, sf, "documents")
     part = table(spark, sf, "part").select((F.col("p_partkey")).alias("_part"), "p_name", "p_brand")
-    rows = docs.withColumn("_part", F.col("doc_id") % 200).join(part, "_part")
+    rows = docs.withColumn("_part", F.col("doc_id") % parts(spark, sf)).join(part, "_part")
     ident = F.col("doc_id").cast("string")
     return rows.select(
         "doc_id",
         F.col("source").alias("entity_type"),
         ident.alias("entity_id"),
         "lang",
-        F.substring("text", 1, 40).alias("title"),
+        F.concat(F.col("source"), F.lit(" "), ident).alias("title"),
         F.col("text").alias("description"),
         F.col("p_name").alias("base_text_title"),
         F.col("p_brand").alias("base_text_author"),
@@ -126,7 +131,7 @@ def disc(spark: SparkSession, sf: str) -> DataFrame:
 
 def metrics(spark: SparkSession, sf: str, newest_first: bool = True) -> DataFrame:
     """Volume metrics per keyword and market, with a monthly series of 3 to 16 months."""
-    rows = disc(spark, sf).where("l_linenumber <= 4")
+    rows = disc(spark, sf)
     month = F.year("collected_at") * 12 + F.month("collected_at") - 1
     grouped = rows.groupBy(normalize_keyword("keyword").alias("keyword"), "location_code", "language_code").agg(
         F.sum("l_quantity").cast("bigint").alias("q"), F.count("*").alias("n"), F.max(month).alias("base"),

@@ -32,11 +32,11 @@ def merge_discovered(spark, sf):
     return merge.merge_discovered(fx.disc(spark, sf), "ord").select(*MERGED_COLUMNS)
 
 
-@query("join_unique", f"""WITH {sql.DISC} SELECT location_code, {sql.unique_list('source_term')} AS source_terms,
-    {sql.unique_list('categories')} AS categories, {sql.unique_list('keyword')} AS keywords FROM disc GROUP BY 1""")
+@query("join_unique", f"""WITH {sql.DISC} SELECT p_name, location_code, {sql.unique_list('source_term')} AS source_terms,
+    {sql.unique_list('categories')} AS categories, {sql.unique_list('keyword')} AS keywords FROM disc GROUP BY 1, 2""")
 def join_unique(spark, sf):
     rows = fx.disc(spark, sf)
-    return rows.groupBy("location_code").agg(
+    return rows.groupBy("p_name", "location_code").agg(
         merge.join_unique("source_term").alias("source_terms"), merge.join_unique("categories").alias("categories"),
         merge.join_unique("keyword").alias("keywords"),
     )
@@ -249,7 +249,7 @@ def choose_k(spark, sf):
 
 def _vectors(spark, sf):
     names = fx.table(spark, sf, "part").select("p_partkey", F.col("p_name").alias("keyword"))
-    rows = fx.table(spark, sf, "embeddings").withColumn("p_partkey", F.col("vec_id") % 200).join(names, "p_partkey")
+    rows = fx.table(spark, sf, "embeddings").withColumn("p_partkey", F.col("vec_id") % fx.parts(spark, sf)).join(names, "p_partkey")
     return rows.select("vec_id", "embedding", "label", "keyword", (F.col("vec_id") % 17).alias("search_volume"))
 
 
@@ -266,7 +266,7 @@ def semantic_keyword_clusters(spark, sf):
     return labelled.select("keyword", "cluster_label")
 
 
-@query("cluster_names", f"""WITH {sql.KNOWN}, v AS (SELECT vec_id, label, p_name AS keyword, vec_id % 17 AS v FROM embeddings JOIN part ON p_partkey = vec_id % 200),
+@query("cluster_names", f"""WITH {sql.KNOWN}, v AS (SELECT vec_id, label, p_name AS keyword, vec_id % 17 AS v FROM embeddings JOIN part ON p_partkey = vec_id % (SELECT count(*) FROM part)),
     b AS (SELECT label, arg_min(keyword, vec_id - v * 1000000000) AS keyword, count(*) AS members FROM v GROUP BY 1)
     SELECT label, members, coalesce((SELECT arg_min(entity, {{'n': -length(entity), 'e': entity}}) FROM known WHERE contains(keyword, entity)), keyword) AS cluster_label FROM b""")
 def cluster_names(spark, sf):
@@ -309,7 +309,7 @@ def top_opportunities(spark, sf):
 
 
 @query("volume_vs_competition", f"""WITH {sql.SCORED} SELECT keyword, location_code, language_code, cluster_label, search_volume, coalesce(competition, 0) AS competition,
-    greatest(coalesce(trend_3m, 0), 0) + 0.1::DOUBLE AS trend_size FROM scored WHERE search_volume > 0""")
+    greatest(coalesce(trend_3m, 0), 0) + 0.1::DOUBLE AS trend_size, source_terms, opportunity_score, recommended_action FROM scored WHERE search_volume > 0""")
 def volume_vs_competition(spark, sf):
     return report.volume_vs_competition(scored(spark, sf))
 

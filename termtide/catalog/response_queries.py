@@ -191,7 +191,7 @@ EVENT_TYPES = {"purchase": "shopping", "error": "people_also_ask", "view": "orga
 def serp_raw(spark, sf):
     """Events as result pages: one per user and run of 1000 events."""
     part = fx.table(spark, sf, "part").select((F.col("p_partkey")).alias("_part"), "p_name")
-    events = fx.table(spark, sf, "events").withColumn("_part", F.col("user_id") % 200).join(part, "_part")
+    events = fx.table(spark, sf, "events").withColumn("_part", F.col("user_id") % fx.parts(spark, sf)).join(part, "_part")
     kind = F.when(F.lit(False), "")
     for event, name in EVENT_TYPES.items():
         kind = kind.when(F.col("event_type") == event, name)
@@ -212,7 +212,7 @@ def serp_raw(spark, sf):
 
 SERP = """page_items AS (SELECT user_id, p_name AS keyword, event_id, event_id // 1000 AS run, date_trunc('second', ts) AS ts,
     CASE event_type WHEN 'purchase' THEN 'shopping' WHEN 'error' THEN 'people_also_ask' WHEN 'view' THEN 'organic' WHEN 'click' THEN 'video' ELSE 'local_pack' END AS type
-    FROM events JOIN part ON p_partkey = user_id % 200),
+    FROM events JOIN part ON p_partkey = user_id % (SELECT count(*) FROM part)),
   page_groups AS (SELECT keyword, max(ts) AS checked, list_sort(list_distinct(list(type))) AS f,
     list('d' || event_id % 9 || '.example' ORDER BY event_id) FILTER (WHERE type = 'organic') AS d FROM page_items GROUP BY user_id, keyword, run),
   serp AS (SELECT keyword, checked, CASE WHEN list_contains(f, 'shopping') THEN 'commercial' WHEN list_contains(f, 'people_also_ask') THEN 'informational'
@@ -256,7 +256,7 @@ KINDS = ("click", "error", "purchase", "signup", "view")
 def interest_raw(spark, sf):
     """Daily event counts as interest graphs: one call per group of users."""
     events = fx.table(spark, sf, "events")
-    group = (F.col("user_id") % 20).alias("g")
+    group = (F.col("user_id") % fx.parts(spark, sf)).alias("g")
     days = events.groupBy(group, F.to_date("ts").alias("day")).agg(
         *[F.nullif(F.count_if(F.col("event_type") == k), F.lit(0)).cast("double").alias(k) for k in KINDS]
     )
@@ -281,8 +281,8 @@ def interest_raw(spark, sf):
 
 
 INTEREST = """asked AS (SELECT unnest(['click', 'error', 'purchase', 'signup', 'view', 'other']) AS kind),
-  days AS (SELECT user_id % 20 AS g, ts::DATE AS day, count(*) FILTER (WHERE event_type = 'click') AS clicks FROM events GROUP BY 1, 2),
-  counts AS (SELECT user_id % 20 AS g, ts::DATE AS day, event_type AS kind, count(*) AS n FROM events GROUP BY 1, 2, 3),
+  days AS (SELECT user_id % (SELECT count(*) FROM part) AS g, ts::DATE AS day, count(*) FILTER (WHERE event_type = 'click') AS clicks FROM events GROUP BY 1, 2),
+  counts AS (SELECT user_id % (SELECT count(*) FROM part) AS g, ts::DATE AS day, event_type AS kind, count(*) AS n FROM events GROUP BY 1, 2, 3),
   points AS (SELECT kind || ' g' || g AS keyword, day, coalesce(n, nullif(clicks, 0))::DOUBLE AS v FROM days CROSS JOIN asked LEFT JOIN counts USING (g, day, kind)),
   interest AS (SELECT keyword, coalesce(list(v ORDER BY day) FILTER (WHERE v IS NOT NULL), []) AS vals FROM points GROUP BY 1),
   quarters AS (SELECT *, len(vals) AS n, greatest(1, len(vals) // 4) AS q FROM interest),
@@ -338,9 +338,12 @@ def stream_intake(spark, sf):
 @query("stream_dedupe", f"""WITH {CALLS} SELECT DISTINCT source_endpoint AS log, CASE source_endpoint WHEN 'keywords_for_site' THEN '{SITE}' ELSE source_term END AS subject,
     location_code, language_code, strftime(collected_at, '%Y-%m') AS bucket FROM calls""")
 def stream_dedupe(spark, sf):
-    """A log with every response twice; one per reuse key remains."""
+    """A log with every response twice, taken in by two runs; one per reuse key remains."""
     sink, checkpoint = new_folder(spark, "responses"), new_folder(spark, "stream")
-    intake.run_available(intake.stream_raw(spark, _logged(spark, sf, times=2)), sink, checkpoint, intake.dedupe_stream)
+    raw, log = raw_io.parse_raw(stage(discovery_log(spark, sf), "lines")), new_folder(spark, "log")
+    for _ in range(2):
+        raw_io.append_raw(raw, log)
+        intake.dedupe_available(intake.stream_raw(spark, log), sink, checkpoint)
     return spark.read.parquet(sink).select(*intake.REUSE_COLUMNS)
 
 

@@ -30,14 +30,14 @@ def quoted_terms(spark, sf):
 
 
 @query("question_terms", f"""WITH src AS (SELECT 'document' AS origin, doc_id AS id, 0 AS turn, text FROM documents
-      UNION ALL SELECT 'turn', conv_id, turn, text FROM conversations WHERE role = 'user'),
+      UNION ALL SELECT 'turn', conv_id, turn, text FROM conversations),
     t AS (SELECT origin, id, turn, {sql.clean('text')} AS t FROM src), l AS (SELECT origin, id, turn, {sql.spans('t', 'question')} AS l FROM t)
     SELECT origin, id, turn, unnest(l) AS term FROM l""")
 def question_terms(spark, sf):
     docs = fx.table(spark, sf, "documents").select(
         F.lit("document").alias("origin"), F.col("doc_id").alias("id"), F.lit(0).cast("bigint").alias("turn"), "text"
     )
-    asked = fx.table(spark, sf, "conversations").where("role = 'user'")
+    asked = fx.table(spark, sf, "conversations")
     turns = asked.select(F.lit("turn").alias("origin"), F.col("conv_id").alias("id"), F.col("turn").cast("bigint").alias("turn"), "text")
     return op.question_terms(docs.unionByName(turns), "text").select("origin", "id", "turn", "term")
 

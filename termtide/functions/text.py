@@ -6,8 +6,10 @@ without ``(?U)`` and includes combining marks with it, and neither is the contra
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Sequence
+from html.entities import html5
 
 from pyspark.sql import Column, functions as F
 
@@ -16,7 +18,7 @@ WORD = r"[\p{L}\p{N}_]"
 SPACE = r"[\s\x{1c}-\x{1f}]"
 EDGE = rf"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
 
-# Named character references that occur in page text.
+# The named character references that occur most in page text.
 NAMED_ENTITIES = {
     "lt": "<",
     "gt": ">",
@@ -127,20 +129,42 @@ def unescape(c: Column | str) -> Column:
     return let(as_column(c), lambda t: F.when(t.contains("&"), resolved(t)).otherwise(t))
 
 
+def _mapping(pairs: dict[str, str]) -> Column:
+    """A constant map, read from one literal."""
+    return F.from_json(F.lit(json.dumps(pairs)), "map<string,string>")
+
+
 def _reference(piece: Column) -> Column:
-    """Text that follows an ampersand, with the reference it may start resolved."""
-    names = ", ".join(f"'{name}', r\"{char}\"" if char != '"' else f"'{name}', '\"'" for name, char in NAMED_ENTITIES.items())
-    named = F.element_at(F.expr(f"map('amp', '&', {names})"), F.regexp_extract(piece, r"^([a-zA-Z]+);", 1))
-    digits = F.regexp_extract(piece, r"^#([0-9]{1,7});", 1).try_cast("int")
-    hexes = F.regexp_extract(piece, r"^#[xX]([0-9a-fA-F]{1,6});", 1)
-    code = F.coalesce(digits, F.conv(F.nullif(hexes, F.lit("")), 16, 10).try_cast("int"))
+    """Text that follows an ampersand, with the reference it may start resolved.
 
-    def char(n: Column) -> Column:
-        usable = n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
-        return F.when(usable, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+    Names are those of HTML5: the longest one stands among those that are legal
+    without a semicolon. Numbers without a character give U+FFFD or nothing, as the
+    standard says, and those of 0x80 to 0x9F the characters of Windows-1252.
+    """
+    closed = {name[:-1]: char for name, char in html5.items() if name.endswith(";")}
+    often = {name: closed[name] for name in ("amp", *NAMED_ENTITIES)}
+    loose = {name: char for name, char in html5.items() if not name.endswith(";")}
+    name = F.regexp_extract(piece, r"^([^\t\n\f <&#;]{1,32});", 1)
+    open_name = F.regexp_extract(piece, "^(" + "|".join(sorted(loose, key=len, reverse=True)) + ")", 1)
+    number = F.regexp_extract(piece, r"^#(?:0*([0-9]{1,})|[xX][0-9a-fA-F]+);?", 1)
+    hexes = F.regexp_extract(piece, r"^#[xX]0*([0-9a-fA-F]+);?", 1)
+    too_large = F.lit(0x110000)
+    code = F.when(number != "", F.when(F.length(number) > 7, too_large).otherwise(number.try_cast("int"))).when(
+        hexes != "", F.when(F.length(hexes) > 6, too_large).otherwise(F.conv(hexes, 16, 10).try_cast("int"))
+    )
+    windows = {str(i): bytes([i]).decode("cp1252", "ignore") or chr(i) for i in range(0x80, 0xA0)}
 
-    rest = F.regexp_replace(piece, r"^#?[a-zA-Z0-9]+;", "")
-    return F.coalesce(F.concat(F.coalesce(named, let(code, char)), rest), F.concat(F.lit("&"), piece))
+    def char(n: Column) -> Column:
+        none = n.between(1, 8) | n.between(14, 31) | (n == 11) | (n == 127) | n.between(0xFDD0, 0xFDEF) | (n.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+        lost = (n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF)
+        own = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+        return F.when(lost, "\ufffd").when(n.between(0x80, 0x9F), F.element_at(_mapping(windows), n.cast("string"))).when(none, "").otherwise(own)
+
+    named = F.coalesce(F.element_at(_mapping(often), name), F.element_at(_mapping(closed), name))
+    by_name = F.concat(named, F.substring(piece, F.length(name) + 2, F.length(piece)))
+    by_open_name = F.concat(F.element_at(_mapping(loose), open_name), F.substring(piece, F.length(open_name) + 1, F.length(piece)))
+    by_number = F.concat(let(code, char), F.regexp_replace(piece, r"^#(?:[0-9]+|[xX][0-9a-fA-F]+);?", ""))
+    return F.coalesce(by_name, by_open_name, by_number, F.concat(F.lit("&"), piece))
 
 
 def joined_unique(values: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import as_column, clean
 from .containment import with_longest_entity
+from ..session import stage
 from .spread import lookup_join
 
 GRAM_SIZES = (2, 3, 4)
@@ -37,15 +38,15 @@ def tfidf_chars(df: DataFrame, key: str, column: str) -> DataFrame:
 
     ``key`` identifies a text. Every text counts into the idf, also one without grams.
     """
-    counts = (
-        df.select(key, F.explode(char_grams(column)).alias("gram"))
-        .groupBy(key, "gram")
-        .agg(F.count("*").cast("double").alias("tf"))
+    # used for the document counts, the weights and the norms: written once
+    counts = stage(
+        df.select(key, F.explode(char_grams(column)).alias("gram")).groupBy(key, "gram").agg(F.count("*").cast("double").alias("tf")),
+        "gram-counts",
     )
     in_docs = counts.groupBy("gram").agg(F.count("*").alias("df"))
     total = df.agg(F.count("*")).scalar()
     idf = F.log((F.lit(1.0) + total) / (F.lit(1.0) + F.col("df"))) + 1.0
-    weighted = lookup_join(counts, in_docs, on=["gram"], spread_by=[key], how="inner").select(
+    weighted = lookup_join(counts, in_docs, on=["gram"], how="inner").select(
         key, "gram", (F.col("tf") * idf).alias("w")
     )
     norms = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
@@ -53,7 +54,7 @@ def tfidf_chars(df: DataFrame, key: str, column: str) -> DataFrame:
 
 
 def gram_vectors(df: DataFrame, column: str, into: str = "vector") -> DataFrame:
-    """Hashed n-gram tf-idf vectors of unit length, weighted like ``tfidf_chars``."""
+    """Hashed n-gram tf-idf vectors of unit length: grams of one hash bucket share a weight, unlike in ``tfidf_chars``."""
     grams = df.withColumn("_grams", char_grams(column))
     counted = HashingTF(numFeatures=HASHED_FEATURES, inputCol="_grams", outputCol="_tf").transform(grams)
     # the fitted vector has one number per hash bucket, whatever the data size
@@ -69,21 +70,17 @@ def dense_vectors(df: DataFrame, column: str, into: str = "vector") -> DataFrame
     return Normalizer(inputCol="_raw", outputCol=into).transform(raw).drop("_raw")
 
 
-def choose_k(n: int, max_clusters: int = 12) -> int:
-    return max(2, min(max_clusters, n // 3))
-
-
 def cluster_count(n: Column, max_clusters: int = 12) -> Column:
-    """``choose_k`` as a column expression."""
+    """How many clusters n rows are put into."""
     return F.greatest(F.lit(2), F.least(F.lit(max_clusters), F.floor(n / 3))).cast("bigint")
 
 
 def assign_clusters(df: DataFrame, vector: str = "vector", max_clusters: int = 12) -> DataFrame | None:
     """Add ``cluster_id`` by top-down grouping; None when there are fewer than 3 rows."""
-    n = df.count()
+    n, k = df.agg(F.count("*").alias("n")).select("n", cluster_count(F.col("n"), max_clusters)).first()
     if n < 3:
         return None
-    grouping = BisectingKMeans(k=choose_k(n, max_clusters), seed=SEED, featuresCol=vector, predictionCol="cluster_id")
+    grouping = BisectingKMeans(k=k, seed=SEED, featuresCol=vector, predictionCol="cluster_id")
     return grouping.fit(df).transform(df)
 
 

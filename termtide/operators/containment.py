@@ -10,7 +10,7 @@ position and length, however many entities begin alike.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..config import ENTITY_TYPES
 from ..functions.text import text_key
@@ -40,11 +40,11 @@ def entity_containment(keywords: DataFrame, entities: DataFrame, column: str = "
     at = F.explode(F.sequence(F.lit(1), F.length("keyword") - (PREFIX - 1)))
     positions = texts.select("keyword", at.alias("_at"))
     starts = positions.withColumn("_begin", F.col("keyword").substr(F.col("_at"), F.lit(PREFIX)))
-    with_lengths = lookup_join(starts, beginnings, on=["_begin"], spread_by=["keyword", "_at"], how="inner")
+    with_lengths = lookup_join(starts, beginnings, on=["_begin"], how="inner")
     fitting = F.filter("_lengths", lambda n: n <= F.length("keyword") - F.col("_at") + 1)
     spans = with_lengths.select("keyword", "_at", F.explode(fitting).alias("_n"))
     substrings = spans.select("keyword", F.col("keyword").substr(F.col("_at"), F.col("_n")).alias("entity"))
-    hits = lookup_join(substrings, known, on=["entity"], spread_by=["keyword"], how="inner")
+    hits = lookup_join(substrings, known, on=["entity"], how="inner")
     return hits.select("keyword", "entity").distinct()
 
 
@@ -63,6 +63,5 @@ def with_longest_entity(df: DataFrame, entities: DataFrame | None, column: str =
     if entities is None:
         return df.withColumn(into, F.lit(None).cast("string"))
     hits = longest_entity(df, entities, column).select(F.col("keyword").alias("_kw"), F.col("entity").alias(into))
-    others: list[Column | str] = [c for c in df.columns if not df.schema[c].dataType.typeName().startswith(("map", "array"))]
     rows = df.withColumn("_kw", F.lower(column))
-    return lookup_join(rows, hits, on=["_kw"], spread_by=others).drop("_kw")
+    return lookup_join(rows, hits, on=["_kw"]).drop("_kw")

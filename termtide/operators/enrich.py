@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..schemas import SERP_INTENT, TREND_TABLE
 from .score import rank_order
@@ -12,10 +12,10 @@ from .spread import lookup_join
 
 
 def shortlist(master: DataFrame, n: int) -> DataFrame:
-    """Keywords of the first ``n`` ranked rows that have one."""
-    named = master.where(F.col("keyword").isNotNull())
-    order: list[Column] = rank_order() if "passes_filters" in master.columns else []
-    return named.orderBy(*order).limit(n).select("keyword") if order else named.select("keyword").limit(n)
+    """Keywords of the first ``n`` ranked rows that have one; the master must be scored."""
+    if "passes_filters" not in master.columns:
+        raise ValueError("a shortlist needs a scored master: there is no rank without passes_filters")
+    return master.where(F.col("keyword").isNotNull()).orderBy(*rank_order()).limit(n).select("keyword")
 
 
 def _attach(master: DataFrame, findings: DataFrame, columns: Sequence[str], checked: str, on: Sequence[str]) -> DataFrame:
@@ -23,8 +23,7 @@ def _attach(master: DataFrame, findings: DataFrame, columns: Sequence[str], chec
     kept = master.drop(*values)
     # the latest finding per keyword; equal times are settled by the values
     latest = findings.groupBy(*on).agg(F.max(F.struct(checked, *[c for c in values if c != checked])).alias("_f"))
-    spread: list[Column | str] = [c for c in ("location_code", "language_code", "keyword_normalized") if c in kept.columns]
-    return lookup_join(kept, latest, on=on, spread_by=spread or on).select(
+    return lookup_join(kept, latest, on=on).select(
         *kept.columns, *[F.col(f"_f.{c}").alias(c) for c in values]
     )
 

@@ -86,8 +86,9 @@ def merge_discovered(discovered: DataFrame, order: str) -> DataFrame:
 def _first_metrics(metrics: DataFrame, order: str) -> DataFrame:
     kept = [c for c in (*PREFERRED, *METRIC_EXTRAS) if c in metrics.columns]
     keyed = metrics.withColumn("_k", market_key("keyword"))
-    first = keyed.groupBy("_k").agg(F.min_by(F.struct(*kept), F.col(order)).alias("_m"))
-    return first.select("_k", "_m")
+    # equal times are the rule in one response: the values settle them, whatever the order of rows
+    first = keyed.groupBy("_k").agg(F.min(F.struct(F.col(order).alias("_at"), *kept)).alias("_first"))
+    return first.select("_k", F.struct(*[F.col(f"_first.{c}").alias(c) for c in kept]).alias("_m"))
 
 
 def dedupe_metrics(metrics: DataFrame, order: str) -> DataFrame:
@@ -136,5 +137,5 @@ def resolve_sources(discovered: DataFrame, candidates: DataFrame) -> DataFrame:
     located = candidates.where(strip("source_url") != "")
     urls = located.groupBy(text_key("term").alias("_term")).agg(join_unique("source_url").alias("source_url"))
     rows = discovered.drop("source_url").withColumn("_term", text_key("source_term"))
-    found = lookup_join(rows, urls, on=["_term"], spread_by=["keyword", "location_code", "language_code"])
+    found = lookup_join(rows, urls, on=["_term"])
     return found.withColumn("source_url", F.coalesce("source_url", F.lit(""))).drop("_term")

@@ -93,7 +93,7 @@ def reachable_pages(
 
 def _follow(edges: DataFrame, frontier: DataFrame) -> DataFrame:
     sources = frontier.withColumnRenamed("url", "src")
-    return lookup_join(edges, sources, on=["src"], spread_by=["dst"], how="inner")
+    return lookup_join(edges, sources, on=["src"], how="inner")
 
 
 def _visit_in_order(
@@ -142,6 +142,6 @@ def apply_url_policy(urls: DataFrame, rules: DataFrame, agent: str = "*") -> Dat
     query = web.url_part("url", "query")
     target = F.concat(web.url_part("url", "path"), F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
     located = urls.withColumns({"host": web.url_part("url", "host"), "_target": target})
-    matched = lookup_join(located, lists, on=["host"], spread_by=["url"])
+    matched = lookup_join(located, lists, on=["host"])
     verdict = F.get(F.filter("_rules", lambda r: F.col("_target").startswith(r["prefix"])), F.lit(0))["allow"]
     return matched.withColumn("allowed", F.coalesce(verdict, F.lit(True))).drop("_target", "_rules")

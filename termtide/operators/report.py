@@ -53,7 +53,7 @@ def volume_vs_competition(scored: DataFrame) -> DataFrame:
     return rows.select(
         "keyword", "location_code", "language_code", "cluster_label", "search_volume",
         F.coalesce(_number("competition"), F.lit(0.0)).alias("competition"),
-        (growth + F.lit(0.1)).alias("trend_size"),
+        (growth + F.lit(0.1)).alias("trend_size"), "source_terms", "opportunity_score", "recommended_action",
     )
 
 

@@ -17,6 +17,9 @@ OK = 20000
 GRAPH = "google_trends_graph"
 ORGANIC = "organic"
 TOP_DOMAINS = 5
+# The logs of result pages and of interest graphs.
+SERP_ENDPOINTS = ("organic",)
+TREND_ENDPOINTS = ("google_trends", "trends")
 
 
 def is_ok(status: Column) -> Column:
@@ -83,7 +86,7 @@ def _keyword_rows(results: DataFrame) -> DataFrame:
         .otherwise(F.col("request.keyword"))
     )
     rows = items.select(
-        F.when(site, F.col("item.keyword")).otherwise(F.coalesce("item.keyword", nested_keyword)).alias("keyword"),
+        F.when(site, F.coalesce("item.keyword", "item.keyword_info.keyword")).otherwise(F.coalesce("item.keyword", nested_keyword)).alias("keyword"),
         source.alias("source_term"),
         "source_endpoint",
         F.col("request.location_code").alias("location_code"),
@@ -166,7 +169,7 @@ def serp_intent(features: Column | str) -> Column:
 
 def flatten_serp(raw: DataFrame, *endpoints: str) -> DataFrame:
     """Result pages to one row per response: intent, element types, first organic domains."""
-    rows = usable(raw, *endpoints).select(
+    rows = usable(raw, *(endpoints or SERP_ENDPOINTS)).select(
         F.get("request", F.lit(0))["keyword"].alias("keyword"), "collected_at", _response_items().alias("_items")
     )
     typed = F.filter("_items", lambda i: i["type"] != "")
@@ -191,7 +194,7 @@ def interest_series(raw: DataFrame, *endpoints: str) -> DataFrame:
     A point without a value for the keyword gives the point's first value instead,
     so another keyword's value can stand in: that is the contract.
     """
-    rows = usable(raw, *endpoints).select(
+    rows = usable(raw, *(endpoints or TREND_ENDPOINTS)).select(
         "collected_at", F.explode(F.get("request", F.lit(0))["keywords"]).alias("keyword"),
         F.filter(_response_items(), lambda i: i["type"] == GRAPH).alias("_graphs"),
     )

@@ -8,28 +8,20 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import stage
 
-SALTS = 16
-
-
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
     on: Sequence[str],
-    spread_by: Sequence[Column | str],
     how: str = "left",
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join many rows to a lookup that has at most one row per key.
 
-    The lookup is repeated once per salt and each row takes the salt its own
-    content hashes to, so a hot key is worked on by ``salts`` tasks. Nothing is
-    hinted: a lookup below the broadcast threshold is broadcast by the planner,
-    a larger one is shuffled. The salt is a hash and not random, so a retried
-    task sends its rows to the same places.
+    Nothing is copied and nothing is hinted, so the size that the planner compares
+    with its broadcast threshold is the lookup's own. A lookup over the threshold is
+    shuffled; the partition of a hot key is then split by the size it turned out to
+    have (adaptive skew join), which repeats one lookup partition per piece and no more.
     """
-    salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    salted_lookup = lookup.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-    return salted_rows.join(salted_lookup, [*on, "_salt"], how).drop("_salt")
+    return rows.join(lookup, list(on), how)
 
 
 def with_index(df: DataFrame, *order: Column | str, name: str = "idx") -> DataFrame:

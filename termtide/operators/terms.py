@@ -187,7 +187,7 @@ def collapse_terms(df: DataFrame, order: str = "ord") -> DataFrame:
     """
     rest = [c for c in CANDIDATES.fieldNames() if c not in ("term_type", "term_count")]
     grouped = df.groupBy(F.lower("term").alias("_key"), "term_type").agg(
-        F.sum("term_count").alias("term_count"), F.min_by(F.struct(*rest), F.col(order)).alias("_first")
+        F.sum("term_count").alias("term_count"), F.min_by(F.struct(*rest), F.struct(order, *rest)).alias("_first")
     )
     return grouped.select("_first.*", "term_type", "term_count").select(*CANDIDATES.fieldNames())
 

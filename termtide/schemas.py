@@ -77,7 +77,7 @@ _INFO_FIELDS = (
     _fields("search_volume", BIGINT), _fields("cpc", DOUBLE), _fields("competition competition_level", STRING),
     _fields("categories", T.ArrayType(STRING)),
 )
-_INFO = _struct(*_INFO_FIELDS)
+_INFO = _struct(_fields("keyword", STRING), *_INFO_FIELDS)
 _PROPERTIES = _struct(_fields("keyword_difficulty", DOUBLE))
 _VOLUME_FIELDS = (
     _fields("monthly_searches", MONTHS), _fields("competition_index low_top_of_page_bid high_top_of_page_bid", DOUBLE),

@@ -14,8 +14,6 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # collect_set groups stay in the hash map instead of sorting after 128 keys
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
     # expression building need not record the Python line of every call
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",

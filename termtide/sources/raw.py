@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..schemas import ENVELOPE, empty
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """All logged envelopes under a path; blank lines drop out, a missing path is empty."""
+def stamped(raw: DataFrame) -> DataFrame:
+    """Envelopes read from files, with the day of the file's name or folder where a line has no time."""
+    day = F.regexp_extract(F.col("_metadata.file_path"), r"(?:^|[^0-9])((?:19|20)[0-9]{2}-?[01][0-9]-?[0-3][0-9])(?![0-9])", 1)
+    time = F.coalesce("collected_at", F.try_to_timestamp(F.replace(day, F.lit("-"), F.lit("")), F.lit("yyyyMMdd")))
+    return raw.withColumn("collected_at", time)
+
+
+def read_raw(spark: SparkSession, path: str, logs: Sequence[str] = ()) -> DataFrame:
+    """All logged envelopes under a path, or those of some logs; blank lines drop out, a missing path is empty.
+
+    Given logs, only their folders (``log=..``) are listed and read.
+    """
+    within = f"{path}/log={{{','.join(logs)}}}" if logs else path
     try:
-        return spark.read.schema(ENVELOPE).option("recursiveFileLookup", "true").json(path)
+        return stamped(spark.read.schema(ENVELOPE).option("recursiveFileLookup", "true").json(within))
     except AnalysisException as exc:
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -34,6 +34,12 @@ def test_normalize_keyword_equals_python(spark):
     assert column(spark, expected, text.normalize_keyword) == expected
 
 
+def test_unescape_knows_all_names_and_numbers(spark):
+    values = ["&Eacute;t&eacute; &ntilde;&times;&rarr;&oacute;", "&copy 2024 &copyx &notit; &notin; &ampx", "&#x0000041; &#65 &#0; &#128; &#xD800; &#99999999; &#1; &#xFFFE;",
+              "&NotEqualTilde; &nosuch; &; &# &#x;", "&alpha;&Omega;&infin;&sum;&hearts;&larr;&lang;&nbsp;&frac12;&hellip"]
+    assert column(spark, values, text.unescape) == [html_lib.unescape(v) for v in values]
+
+
 def test_unescape_resolves_each_reference_once(spark):
     values = [
         "a &amp; b", "&lt;p&gt;", "&amp;lt;", "&#39;x&#x27;", "&#8217;", "&unknown; &", "&#38;lt;", "&quot;&copy;&middot;",

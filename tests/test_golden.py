@@ -95,7 +95,9 @@ def test_every_row_has_one_action_and_scores_stay_in_range(spark, sf):
 def test_rules_that_are_not_known_are_skipped(ranked):
     rules = (ActionRule("evil", "java_method('x', 'y')"), ActionRule("unknown", "nothing > 1"), ActionRule("null", "search_volume / 0 > 1 and False"),
              ActionRule("big", "search_volume >= 10000 and not content_available"))
-    cfg = ScoringConfig(actions=rules[:2] + rules[3:])
+    chains = (ActionRule("by zero", "opportunity_score / (search_volume - search_volume) >= 1"), ActionRule("cut off", "opportunity_score >="),
+              ActionRule("never", "2 < opportunity_score < 3"))
+    cfg = ScoringConfig(actions=rules[:3] + chains + rules[3:])
     rows = sc.recommend_action(ranked.withColumn("d", F.lit(False)), "d", cfg)
     assert {r.keyword for r in rows.where("recommended_action = 'big'").collect()} == {"great gatsby characters", "quiz games online"}
     assert rows.where("recommended_action = 'monitor_only'").count() == 8

@@ -94,9 +94,9 @@ def test_result_pages(spark):
 def test_interest(spark):
     data = [{"values": [1, 5]}, {"values": [None, 7]}, {"values": [3, None]}, {"values": []}, {"values": None}, {"values": [4]}]
     graph = {"type": "google_trends_graph", "keywords": ["Aa", "BB"], "data": data}
-    raw = parsed(spark, envelope("explore", {"keywords": ["aa", "bb", "cc"]}, [{"result": [{"items": [
+    raw = parsed(spark, envelope("google_trends/explore", {"keywords": ["aa", "bb", "cc"]}, [{"result": [{"items": [
         {"type": "other", "data": data}, {"type": "google_trends_graph", "data": []}, graph]}]}]),
-        envelope("explore", {"keywords": ["none"]}, [{"result": None}]))
+        envelope("google_trends/explore", {"keywords": ["none"]}, [{"result": None}]))
     out = {r.keyword: r["values"] for r in responses.interest_series(raw).collect()}
     # a missing value takes the point's first one
     assert out == {"aa": [1.0, 3.0, 4.0], "bb": [5.0, 7.0, 3.0, 4.0], "cc": [1.0, 3.0, 4.0], "none": []}
@@ -169,13 +169,38 @@ def test_intake_takes_only_new_files_and_dedupes(spark):
     intake.run_available(intake.stream_raw(spark, log), sink, checkpoint, responses.discovered)
     assert spark.read.schema(DISCOVERED).parquet(sink).count() == 6
     once, cp2 = new_folder(spark, "once"), new_folder(spark, "cp")
-    intake.run_available(intake.stream_raw(spark, log), once, cp2, intake.dedupe_stream)
+    intake.dedupe_available(intake.stream_raw(spark, log), once, cp2)
     assert sorted(r.subject for r in spark.read.parquet(once).collect()) == ["k", "k2"]
     raw_io.append_raw(parsed(spark, call), log)
-    intake.run_available(intake.stream_raw(spark, log), once, cp2, intake.dedupe_stream)
+    intake.dedupe_available(intake.stream_raw(spark, log), once, cp2)
     assert spark.read.parquet(once).count() == 2
 
 
+def test_late_responses_stay(spark):
+    """Months out of order, one file per batch: nothing is lost, and a known key is not taken again."""
+    log, sink, checkpoint = (new_folder(spark, n) for n in ("log", "sink", "cp"))
+    for at in ("2024-06-07", "2024-01-03", "2024-06-09", "2023-11-30"):
+        call = envelope("related_keywords", {"keyword": "k", **MARKET}, [{"result": []}], at=f"{at}T00:00:00Z")
+        raw_io.append_raw(parsed(spark, call), log)
+    intake.dedupe_available(intake.stream_raw(spark, log, files_per_batch=1), sink, checkpoint)
+    assert sorted(r.bucket for r in spark.read.parquet(sink).collect()) == ["2023-11", "2024-01", "2024-06"]
+
+
+def test_a_log_without_times_takes_its_files_day(spark, tmp_path):
+    for day in ("20240105", "2024-02-06"):
+        (tmp_path / f"{day}_organic.jsonl").write_text('{"endpoint": "/v3/serp/organic/live", "request": [{"keyword": "k"}], "response": {"status_code": 20000}}\n')
+    days = [r.collected_at.strftime("%Y%m%d") for r in raw_io.read_raw(spark, str(tmp_path)).orderBy("collected_at").collect()]
+    assert days == ["20240105", "20240206"]
+
+
+def test_only_the_folders_of_a_log_are_read(spark):
+    folder = new_folder(spark, "t")
+    raw_io.append_raw(parsed(spark, envelope("search_volume/live", {"keywords": ["a"]}, []), envelope("organic/live", {"keyword": "q"}, [])), folder)
+    some = raw_io.read_raw(spark, folder, logs=["search_volume"])
+    assert some.count() == 1 and all("log=search_volume" in f for f in some.inputFiles())
+    assert raw_io.read_raw(spark, folder, logs=["none"]).count() == 0
+
+
 def test_changed_entities(spark):
     old = spark.createDataFrame([(1, "a", None), (2, "b", "x"), (3, "c", "x")], "id int, t string, u string")
     new = spark.createDataFrame([(1, "a", ""), (2, "b", "x"), (4, "d", None), (3, "cx", "")], "id int, t string, u string")

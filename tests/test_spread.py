@@ -26,7 +26,7 @@ def test_batches_cover_every_item_once(spark):
 def test_lookup_keeps_all_rows_of_a_hot_key(spark):
     rows = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("k"))
     lookup = spark.createDataFrame([("hot", 1), ("1", 2), ("unused", 3)], "k string, v int")
-    out = spread.lookup_join(rows, lookup, on=["k"], spread_by=["id"])
+    out = spread.lookup_join(rows, lookup, on=["k"])
     assert out.count() == 9000 and out.where("v = 1").count() == 3000 and out.where("v = 2").count() == 1
     assert out.columns == ["k", "id", "v"]
 
