@@ -35,7 +35,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .exchange import block_count, block_of, flat_text, mix64, packed, split_sorted, staged
+from .exchange import address, block_count, block_of, flat_text, mix64, split_sorted, staged
 from .words import BASE, word_hashes, word_spans
 
 ORDER = 3
@@ -82,10 +82,6 @@ def grams_of(tokens: np.ndarray, edges: np.ndarray, order: int) -> list[np.ndarr
     return out
 
 
-def address(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    return ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64), (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-
-
 def _positions(lows: np.ndarray, level: np.ndarray | int, probe: int, bits: int) -> np.ndarray:
     seed = np.uint64(probe * 0x632BE59BD9B4E019 & 0xFFFFFFFFFFFFFFFF)
     return (mix64(lows.astype(np.uint64) * np.uint64(BASE) + np.asarray(level, np.uint64) * np.uint64(0xD1B54A32D192ED03) + seed) % np.uint64(bits)).astype(np.int64)

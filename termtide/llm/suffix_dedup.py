@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .exchange import block_count, block_of, flat_text, mix64, numbers, packed, split_sorted, staged
+from .exchange import address, ask_shared, block_count, block_of, by_bucket, flat_text, known_shared, mix64, numbers, packed, split_sorted, staged, tell_shared
 from .suffix_sort import byte_words, deep_shallow, ranges
 
 GRAM = 16
@@ -40,7 +40,7 @@ LONGEST_RUN = 192
 HOT_ROWS = 20_000
 
 _ASK = "block int, bucket int, lows binary, counts binary"
-_TELL = "block int, bucket int, lows binary, hot binary"
+_TELL = "block int, bucket int, lows binary, often binary"
 _PIECES = "block int, bucket int, sizes binary, lows binary, first binary, contents binary"
 _RUNS = "block int, bucket int, piece binary, begin binary, upto binary, first binary"
 NEW_COLUMNS = T.StructType().add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string").add("kept", "binary").add("spans", T.ArrayType(T.LongType()))
@@ -88,20 +88,6 @@ def window_runs(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.
     return begins, sizes, least[begins], np.searchsorted(offsets, begins, side="right") - 1
 
 
-def _address(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    return ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64), (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-
-
-def _by_bucket(block: int, owner: np.ndarray, buckets: int, schema: str, columns) -> pa.Table:
-    """Rows (block, bucket, one packed slice of each column) for the buckets that have any."""
-    order, edges = split_sorted(owner, buckets)
-    used = np.flatnonzero(np.diff(edges))
-    names = [f.split()[0] for f in schema.split(", ")][2:]
-    slices = [(order[edges[b] : edges[b + 1]]) for b in used]
-    arrays = [pa.array(packed([column[s] for s in slices]), pa.binary()) for column in columns]
-    return pa.table([pa.array(np.full(len(used), block, np.int32)), pa.array(used.astype(np.int32)), *arrays], names=["block", "bucket", *names])
-
-
 class _Block:
     """One block's texts and their runs."""
 
@@ -109,34 +95,13 @@ class _Block:
         self.data, self.offsets = flat_text(rows.column(text))
         self.ids = numbers(rows.column(id_), np.iinfo(np.int64).min)
         self.begins, self.sizes, self.least, self.row = window_runs(self.data, self.offsets, length)
-        self.bucket, self.low = _address(self.least, buckets)
+        self.bucket, self.low = address(self.least, buckets)
         self.length, self.buckets = length, buckets
 
-    def ask(self, block: int) -> pa.Table:
-        order = np.lexsort((self.row, self.low, self.bucket))
-        bucket, low, row = self.bucket[order], self.low[order], self.row[order]
-        fresh = np.ones(len(order), bool)
-        fresh[1:] = (bucket[1:] != bucket[:-1]) | (low[1:] != low[:-1])
-        distinct = fresh.copy()
-        distinct[1:] |= row[1:] != row[:-1]
-        heads = np.flatnonzero(fresh)
-        counts = np.add.reduceat(distinct, heads, dtype=np.int64) if len(heads) else np.zeros(0, np.int64)
-        return _by_bucket(block, bucket[heads], self.buckets, _ASK, [low[heads], np.minimum(counts, 65535).astype(np.uint16)])
-
     def pieces(self, told: pa.Table) -> None:
         """Distinct strings of shared windows in order, with bucket, low half of the hash and smallest id."""
-        keys, hot = [], []
-        for bucket, lows, flags in zip(told.column("bucket").to_pylist(), told.column("lows").to_pylist(), told.column("hot").to_pylist()):
-            keys.append(np.frombuffer(lows, np.uint32).astype(np.uint64) | np.uint64(bucket << 32))
-            hot.append(np.frombuffer(flags, np.uint8))
-        known = np.concatenate([np.zeros(0, np.uint64), *keys])
-        flags = np.concatenate([np.zeros(0, np.uint8), *hot])
-        order = np.argsort(known)
-        known, flags = known[order], flags[order]
-        own = (self.bucket.astype(np.uint64) << np.uint64(32)) | self.low
-        place = np.minimum(np.searchsorted(known, own), max(len(known) - 1, 0))
-        shared = known[place] == own if len(known) else np.zeros(len(own), bool)
-        split = shared & (flags[place] > 0) if len(known) else shared
+        classes = known_shared(told, self.least, self.buckets)
+        shared, split = classes > 0, classes > 1
         plain = shared & ~split
         # a split run gives one piece for each of its windows
         at = np.flatnonzero(split)
@@ -150,7 +115,7 @@ class _Block:
             own = np.full(len(rows) - one, 7, np.uint64)
             for step in [*range(0, self.length - 8, 8), self.length - 8]:
                 own = mix64(own * np.uint64(0x9E3779B97F4A7C15) + words[begins[one:] + step].astype(np.uint64))
-            bucket[one:], low[one:] = _address(own, self.buckets)
+            bucket[one:], low[one:] = address(own, self.buckets)
         raw, more = self.data.tobytes(), self.length - 1
         number: dict[bytes, int] = {}
         piece = np.fromiter((number.setdefault(raw[b : b + s + more], len(number)) for b, s in zip(begins.tolist(), sizes.tolist())), np.int64, len(begins))
@@ -168,7 +133,7 @@ class _Block:
     def send(self, block: int) -> pa.Table:
         order, edges = split_sorted(self.content_bucket, self.buckets)
         texts = [b"".join([self.contents[i] for i in order[edges[b] : edges[b + 1]].tolist()]) for b in range(self.buckets) if edges[b] < edges[b + 1]]
-        table = _by_bucket(block, self.content_bucket, self.buckets, "block int, bucket int, sizes binary, lows binary, first binary", [self.content_size.astype(np.uint16), self.content_low, self.first])
+        table = by_bucket(block, self.content_bucket, self.buckets, ["sizes", "lows", "first"], [self.content_size.astype(np.uint16), self.content_low, self.first])
         return table.append_column("contents", pa.array(texts, pa.binary()))
 
     def cut(self, replies: pa.Table) -> list[pa.Array]:
@@ -222,24 +187,6 @@ class _Block:
         ]
 
 
-def _shared_minimizers(rows: pa.Table, hot_rows: int) -> pa.Table:
-    """One bucket: which of each block's minimizers more than one row has, and which more than ``hot_rows``."""
-    bucket = rows.column("bucket")[0].as_py()
-    blocks = rows.column("block").to_pylist()
-    lows = [np.frombuffer(x, np.uint32) for x in rows.column("lows").to_pylist()]
-    counts = [np.frombuffer(x, np.uint16) for x in rows.column("counts").to_pylist()]
-    values, which = np.unique(np.concatenate(lows), return_inverse=True)
-    total = np.bincount(which, np.concatenate(counts).astype(np.float64), len(values))
-    edges = np.cumsum([0, *map(len, lows)])
-    out = []
-    for block, own, a, b in zip(blocks, lows, edges, edges[1:]):
-        known = total[which[a:b]]
-        shared = known > 1
-        if shared.any():
-            out.append((block, bucket, own[shared].tobytes(), (known[shared] > hot_rows).astype(np.uint8).tobytes()))
-    return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=["block", "bucket", "lows", "hot"])
-
-
 def first_owners(contents: list[bytes], lows: np.ndarray, first: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """Runs of windows of each content with the smallest id that has the window: content, begin, upto, id."""
     sizes = np.fromiter(map(len, contents), np.int64, len(contents)) - (length - 1)
@@ -324,10 +271,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bare = rows.select("__block", "__id", "__text")
 
     def ask(part: pa.Table) -> pa.Table:
-        return _Block(part, "__text", "__id", length, blocks).ask(part.column("__block")[0].as_py())
+        one = _Block(part, "__text", "__id", length, blocks)
+        return ask_shared(part.column("__block")[0].as_py(), one.least, one.row, blocks)
 
     def tell(part: pa.Table) -> pa.Table:
-        return _shared_minimizers(part, hot_rows)
+        return tell_shared(part, hot_rows)
 
     def send(part: pa.Table, told: pa.Table) -> pa.Table:
         one = _Block(part, "__text", "__id", length, blocks)
@@ -338,7 +286,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         one = _Block(part, "__text", "__id", length, blocks)
         kind = np.array(replies.column("kind").to_pylist(), dtype=bool) if len(replies) else np.zeros(0, bool)
         told, runs = replies.filter(pa.array(~kind)), replies.filter(pa.array(kind))
-        one.pieces(told.rename_columns(["block", "bucket", "lows", "hot", "c", "d", "kind"]))
+        one.pieces(told.rename_columns(["block", "bucket", "lows", "often", "c", "d", "kind"]))
         new = one.cut(runs.rename_columns(["block", "bucket", "piece", "begin", "upto", "first", "kind"]))
         return pa.table([*[part.column(f"c{i}") for i in range(len(carried))], *new], names=[*[f"c{i}" for i in range(len(carried))], *[f.name for f in NEW_COLUMNS.fields]])
 
@@ -346,7 +294,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pieces = bare.groupBy("__block").cogroup(told.groupBy("block")).applyInArrow(send, _PIECES)
     runs = staged(pieces.groupBy("bucket").applyInArrow(_compare_pieces(length), _RUNS), "repeats-runs")
     nothing = F.lit(None).cast("binary")
-    replies = told.select("block", "bucket", F.col("lows").alias("a"), F.col("hot").alias("b"), nothing.alias("c"), nothing.alias("d"), F.lit(False).alias("kind")).unionByName(
+    replies = told.select("block", "bucket", F.col("lows").alias("a"), F.col("often").alias("b"), nothing.alias("c"), nothing.alias("d"), F.lit(False).alias("kind")).unionByName(
         runs.select("block", "bucket", F.col("piece").alias("a"), F.col("begin").alias("b"), F.col("upto").alias("c"), F.col("first").alias("d"), F.lit(True).alias("kind"))
     )
     schema = T.StructType([T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(carried)] + NEW_COLUMNS.fields)
