@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from termtide.operators import enrich, responses
+from termtide.operators import enrich, planning, responses
 from termtide.schemas import CANDIDATES, DISCOVERED, ENTITIES, METRICS
 from termtide.session import new_folder
 from termtide.sources import raw as raw_io, tables
@@ -176,6 +176,19 @@ def test_intake_takes_only_new_files_and_dedupes(spark):
     assert spark.read.parquet(once).count() == 2
 
 
+def test_a_logged_call_is_not_planned_again(spark):
+    terms = spark.createDataFrame([("b",), ("a",), ("c",)], "term string")
+    plan = planning.plan_discovery(terms, ["x.example"])
+    keyed = planning.with_reuse_key(plan, terms, location_code=MARKET["location_code"], language_code=MARKET["language_code"], bucket="2024-05")
+    assert keyed.count() == 8
+    calls = [("keyword_suggestions", {"keyword": "a"}), ("related_keywords", {"keyword": "b"}), ("keyword_ideas", {"keywords": ["c", "b", "a"]}), ("keywords_for_site", {"target": "x.example"})]
+    raw = parsed(spark, *[envelope(e, {**r, **MARKET}, []) for e, r in calls])
+    left = planning.without_logged(keyed, intake.reuse_key(raw)).collect()
+    assert {(r.endpoint, r.subject) for r in left} == {("keyword_suggestions", "b"), ("keyword_suggestions", "c"), ("related_keywords", "a"), ("related_keywords", "c")}
+    other = planning.without_logged(keyed, intake.reuse_key(raw.withColumn("collected_at", F.add_months("collected_at", 1).cast("timestamp"))))
+    assert other.count() == 8
+
+
 def test_late_responses_stay(spark):
     """Months out of order, one file per batch: nothing is lost, and a known key is not taken again."""
     log, sink, checkpoint = (new_folder(spark, n) for n in ("log", "sink", "cp"))
