@@ -14,7 +14,7 @@ the labels (chi-squared), ``max_terms`` at most, which bounds what is broadcast.
 Definitions: a null or empty text has no terms and gets the score of the bias
 alone. Rows with a null label or a null training mark are not learnt from. If no
 row, or only one label, can be learnt from, the score is the share of label 1, or
-0 without any row. A document with several labels counts once per label row.
+0 without any row. A document with several labels counts once for each of them.
 Repeated rows are each scored. Input columns named like a result column are
 replaced, all others are carried along.
 """
@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .exchange import flat_text, mix64
+from .exchange import flat_text, mix64, staged
 from .words import LETTERS_ONLY, word_hashes, word_spans
 
 SAMPLE_ROWS = 20_000
@@ -43,6 +43,12 @@ STEM_BYTES = 6
 POSITIVE_WEIGHT = 2.0
 
 
+def known_places(terms: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Places in ``known``, a sorted array, of the terms that it has."""
+    place = np.minimum(np.searchsorted(known, terms), max(len(known) - 1, 0))
+    return place[known[place] == terms] if len(known) else place[:0]
+
+
 def term_sets(data: np.ndarray, offsets: np.ndarray, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct terms by text: (text, hash), or (text, index into ``known``, a sorted array) of known ones."""
     begins, ends, firsts = word_spans(data, offsets, LETTERS_ONLY)
@@ -77,31 +83,23 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
-def choose_terms(text: np.ndarray, terms: np.ndarray, labels: np.ndarray, min_rows: int, max_terms: int) -> np.ndarray:
-    """Sorted hashes of the terms whose presence depends on the label most."""
-    values, which = np.unique(terms, return_inverse=True)
-    rows = np.bincount(which, minlength=len(values)).astype(float)
-    toxic = np.bincount(which, labels[text], len(values))
-    n, positive = len(labels), labels.sum()
+def choose_terms(values: np.ndarray, rows: np.ndarray, toxic: np.ndarray, n: int, positive: float, min_rows: int, max_terms: int) -> np.ndarray:
+    """Sorted hashes of the terms whose presence depends on the label most; rows and toxic rows have each term."""
     expected = rows * positive / n
     variance = expected * (1 - positive / n) * (n - rows) / n
     chi = np.divide((toxic - expected) ** 2, variance, out=np.zeros(len(values)), where=variance > 0)
     good = np.flatnonzero((rows >= min_rows) & (chi >= CHI_SQUARED))
-    best = good[np.argsort(-chi[good], kind="stable")][:max_terms]
+    best = good[np.lexsort((values[good], -chi[good]))][:max_terms]
     return np.sort(values[best])
 
 
-def fit_machine(text: np.ndarray, terms: np.ndarray, labels: np.ndarray, min_rows: int = MIN_ROWS, max_terms: int = MAX_TERMS) -> Machine:
-    """AdaGrad on the logistic loss; (text, terms) are the distinct hashes of each sampled text."""
+def fit_machine(text: np.ndarray, term: np.ndarray, labels: np.ndarray, known: np.ndarray) -> Machine:
+    """AdaGrad on the logistic loss; (text, term) are the known terms of each sampled text, by their place in ``known``."""
     share = float(labels.mean()) if len(labels) else 0.0
     edge = np.clip(share, 1e-13, 1 - 1e-13)
     bias = float(np.log(edge / (1 - edge)))
     if not 0 < share < 1:
         return Machine(np.zeros(0, np.uint64), np.zeros(0), np.zeros((0, FACTORS)), bias)
-    known = choose_terms(text, terms, labels, min_rows, max_terms)
-    place = np.minimum(np.searchsorted(known, terms), max(len(known) - 1, 0))
-    hit = known[place] == terms if len(known) else np.zeros(len(terms), bool)
-    text, term = text[hit], place[hit]
     edges = np.searchsorted(text, np.arange(len(labels) + 1))
     # toxic rows are the fewer ones, and one missed weighs as much as several wrongly suspected
     weights = np.where(labels > 0, max(1.0, min(POSITIVE_WEIGHT, (1 - share) / share)), 1.0)
@@ -145,6 +143,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # bounded by sample_rows, so it may be broadcast
     chosen = F.broadcast(chosen.orderBy("__h", "__id", "__label").limit(sample_rows))
     sample = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text")).join(chosen, "__id").select("__h", "__label", "__text")
+    # several documents may have one id: one of them is enough, so that the bound holds for texts, too
+    sample = sample.dropDuplicates(["__h", "__label"])
 
     def terms(batches):
         for batch in batches:
@@ -155,12 +155,22 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([batch.column("__h"), batch.column("__label"), lists], names=["h", "label", "terms"])
 
     schema = T.StructType().add("h", "long").add("label", "double").add("terms", T.ArrayType(T.LongType()))
-    # several documents may share a sampled id, so the bound is held here once more
-    rows = sample.mapInArrow(terms, schema).toArrow().sort_by("h").slice(0, sample_rows)
-    lists = rows.column("terms").combine_chunks() if len(rows) else pa.array([], pa.list_(pa.int64()))
-    counts = np.diff(lists.offsets.to_numpy()) if len(lists) else np.zeros(0, np.int64)
-    hashes = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64) if len(lists) else np.zeros(0, np.uint64)
-    return fit_machine(np.repeat(np.arange(len(counts)), counts), hashes, rows.column("label").to_numpy().astype(float))
+    rows = staged(sample.mapInArrow(terms, schema), "toxic-terms")
+    size = rows.agg(F.count("*").alias("n"), F.sum("label").alias("positive")).first()
+    counts = rows.select("label", F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n"), F.sum("label").alias("toxic")).where(F.col("n") >= MIN_ROWS).toArrow()
+    column = lambda name: counts.column(name).to_numpy()
+    known = choose_terms(column("term").view(np.uint64), column("n").astype(float), column("toxic"), size["n"], size["positive"] or 0.0, MIN_ROWS, MAX_TERMS) if size["n"] else np.zeros(0, np.uint64)
+
+    def places(batches):
+        for batch in batches:
+            lists = [known_places(np.asarray(x, np.int64).view(np.uint64), known) for x in batch.column("terms").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("label"), pa.array(lists, pa.list_(pa.int64()))], names=["h", "label", "terms"])
+
+    few = rows.mapInArrow(places, schema).toArrow().sort_by([("h", "ascending"), ("label", "ascending")])
+    lists = few.column("terms").combine_chunks()
+    sizes = np.diff(lists.offsets.to_numpy()) if len(few) else np.zeros(0, np.int64)
+    place = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64) if len(few) else np.zeros(0, np.int64)
+    return fit_machine(np.repeat(np.arange(len(sizes)), sizes), place, few.column("label").to_numpy().astype(float), known)
 
 
 def score_texts(docs: DataFrame, machine: Machine, text_col: str = "text", score_name: str = "score", predicted_name: str = "predicted") -> DataFrame:
