@@ -42,7 +42,7 @@ ORDER = 3
 FILTER_BYTES = 32 << 20
 PROBES = 6
 END, START = np.uint64(0x5E5E5E5E0001), np.uint64(0x5E5E5E5E0002)
-SHARES = np.array([0.01, 0.05, 0.15, 0.3, 0.5, 0.7, 0.85, 0.95, 0.99, 0.999])
+SHARES = np.array([0.02, 0.1, 0.3, 0.5, 0.7, 0.9, 0.98, 0.999])
 FIRST_GUESS = 0.5
 BINS = 40
 
@@ -147,9 +147,10 @@ def score_tokens(tokens: np.ndarray, edges: np.ndarray, counts: np.ndarray, mode
         ratio = np.divide(part, whole, out=np.zeros(len(part)), where=usable)
         bins = _context_bin(whole)
         if leave_one_out:
+            own, base, seats = ratio[usable], lower[usable], bins[usable]
+            own -= base
             for i, share in enumerate(SHARES):
-                p = np.log((1 - share) * ratio[usable] + share * lower[usable])
-                sums[n, :, i] = np.bincount(bins[usable], p, BINS)
+                sums[n, :, i] = np.bincount(seats, np.log(base + (1 - share) * own), BINS)
         share = np.where(usable, fitted.shares[n][bins], 1.0)
         lower = (1 - share) * ratio + share * lower
         if n + 2 < order:
