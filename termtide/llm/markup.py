@@ -46,19 +46,24 @@ def tidy(parts: list[str]) -> str:
 def plain_text(html: str) -> tuple[str, str, list[str]]:
     """Title, all visible text (a line for each block) and link targets, in page order."""
     title, lines, links, parts = "", [], [], []
-    for kind, name, more in tokens(html):
-        if kind == "text":
-            parts.append(unescape(name))
-        elif kind == "raw":
-            if name == "title" and not title:
-                title = tidy([unescape(re.sub(r"<[^>]*>", "", more))])
-        else:
+    for match in _TOKEN.finditer(html):
+        raw, slash, name, attributes = match.groups()
+        if name:
+            name = name.lower()
             if name in BLOCKS:
-                lines.append(tidy(parts))
-                parts = []
+                if parts:
+                    lines.append(tidy(parts))
+                    parts = []
             elif name in SPACED:
                 parts.append(" ")
-            if kind == "open" and name == "a" and (target := attributes_of(more).get("href", "").strip()):
+            elif name == "a" and not slash and (target := attributes_of(attributes).get("href", "").strip()):
                 links.append(target)
+        elif raw:
+            if raw.lower() == "title" and not title:
+                title = tidy([unescape(re.sub(r"<[^>]*>", "", match[0]))])
+        else:
+            text = match[0]
+            if text[:2] not in ("<!", "<?"):
+                parts.append(unescape(text) if "&" in text else text)
     lines.append(tidy(parts))
     return title, "\n".join(line for line in lines if line), links
