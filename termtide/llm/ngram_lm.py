@@ -3,17 +3,16 @@
 Counting. Blocks of rows send each bucket of the hash space their distinct words
 and n-grams with counts over training rows; buckets add them up. Words are counted
 exactly and every block is told the counts of its own words, so the base score
-needs no approximation and no word table is sent to all workers. Of an n-gram seen
-twice or more, a bucket keeps its address and its count's power of two.
+needs no approximation and no word table is sent to all workers. N-grams of all rows
+are asked for in the same way, those of rows that do not train with a count of none.
 
 The model. A count of 2 ** q up to 2 ** (q + 1) - 1 is held as level q: the filter
 has bits for (n-gram, 1), .. (n-gram, q). It is read back by probing levels until
 one is missing, so a count is never read too low, and too high with a chance that
 halves with every probe. Each bucket fills the filter's segment for its own
-addresses. The filter has ``filter_bytes`` at most, which bounds what is broadcast,
-and fewer for a small corpus; if the n-grams do not fit, the lowest levels are
-given up, the least frequent n-grams first. Counting itself covers all training
-rows at any size.
+addresses, as large as its n-grams need, reads it for every block that asked, and
+replies with one byte for each n-gram. No task and not the driver holds more than a
+segment, so there is no ceiling, and what is held is the same at every size.
 
 Probability. Orders are interpolated: the share of the lower order is fitted per
 order and power of two of the context's count, by leaving one out over all
@@ -39,15 +38,15 @@ from .exchange import address, block_count, block_of, flat_text, mix64, split_so
 from .words import BASE, word_hashes, word_spans
 
 ORDER = 3
-FILTER_BYTES = 32 << 20
 PROBES = 6
+LOWEST = 1
 END, START = np.uint64(0x5E5E5E5E0001), np.uint64(0x5E5E5E5E0002)
 SHARES = np.array([0.02, 0.1, 0.3, 0.5, 0.7, 0.9, 0.98, 0.999])
 FIRST_GUESS = 0.5
 BINS = 40
 
 _COUNTS = "block int, bucket int, kind int, values binary, counts binary"
-_TOLD = "block int, bucket int, counts binary, words long, total long, grams int, level int, seen long, occurrences long, lows binary, levels binary"
+_TOLD = "block int, bucket int, counts binary, words long, total long, level int, seen long, occurrences long, lows binary, levels binary"
 NEW_COLUMNS = T.StructType().add("n_tokens", "long").add("n_known", "long").add("train_tokens", "long").add("base_score", "double").add("score", "double")
 
 
@@ -82,11 +81,48 @@ def grams_of(tokens: np.ndarray, edges: np.ndarray, order: int) -> list[np.ndarr
     return out
 
 
+def gram_keys(hashes: list[np.ndarray], buckets: int) -> np.ndarray:
+    """Bucket and low half of each n-gram's hash in one number, of all orders end to end."""
+    bucket, lows = address(np.concatenate(hashes), buckets)
+    return (bucket.astype(np.uint64) << np.uint64(32)) | lows
+
+
 def _positions(lows: np.ndarray, level: np.ndarray | int, probe: int, bits: int) -> np.ndarray:
     seed = np.uint64(probe * 0x632BE59BD9B4E019 & 0xFFFFFFFFFFFFFFFF)
     return (mix64(lows.astype(np.uint64) * np.uint64(BASE) + np.asarray(level, np.uint64) * np.uint64(0xD1B54A32D192ED03) + seed) % np.uint64(bits)).astype(np.int64)
 
 
+def _filled(lows: np.ndarray, levels: np.ndarray, segment_bits: int, lowest: int) -> np.ndarray:
+    """A segment's bits: those of (n-gram, level) for each level from ``lowest`` to the n-gram's own."""
+    flags = np.zeros(segment_bits, bool)
+    for level in range(lowest, int(levels.max(initial=-1)) + 1):
+        own = lows[levels >= level]
+        for probe in range(PROBES):
+            flags[_positions(own, level, probe, segment_bits)] = True
+    return flags
+
+
+def _bits_for(pairs: float) -> float:
+    """Bits for so many pairs of n-gram and level, half of them set at the best filling."""
+    return pairs * PROBES / np.log(2)
+
+
+def read_levels(lows: np.ndarray, levels: np.ndarray, lowest: int = LOWEST) -> np.ndarray:
+    """Level of each n-gram as the segment filled with ``levels`` (below zero: never counted) reads it; -1 if not held."""
+    held = np.maximum(levels - lowest + 1, 0)
+    segment_bits = max(64, int(np.ceil(_bits_for(held.sum()) / 64)) * 64)
+    flags = _filled(lows, levels, segment_bits, lowest)
+    # bits up to an n-gram's own level are all set: only the probes above it can tell
+    out = np.where(levels >= lowest, levels, -1)
+    for level in range(lowest, int(levels.max(initial=-1)) + 1):
+        alive = np.flatnonzero(out == (level - 1 if level > lowest else -1))
+        reached = alive
+        for probe in range(PROBES):
+            reached = reached[flags[_positions(lows[reached], level, probe, segment_bits)]]
+        out[reached] = level
+    return out
+
+
 class Filter:
     """The filled segments, end to end, and what a level means."""
 
@@ -124,8 +160,8 @@ def _context_bin(counts: np.ndarray) -> np.ndarray:
     return np.minimum(np.log2(np.maximum(counts, 1.0)).astype(np.int64), BINS - 1)
 
 
-def score_tokens(tokens: np.ndarray, edges: np.ndarray, counts: np.ndarray, model: Filter, fitted: Fitted, order: int, leave_one_out: bool = False):
-    """Probability of each token; or, leaving out one occurrence, the log-likelihood of each share, order and bin."""
+def score_tokens(tokens: np.ndarray, edges: np.ndarray, counts: np.ndarray, grams: list[np.ndarray], fitted: Fitted, order: int, leave_one_out: bool = False):
+    """Probability of each token by its count and those of the n-grams that end at it; or, leaving out one occurrence, the log-likelihood of each share, order and bin."""
     if not len(tokens):
         return np.zeros((order - 1, BINS, len(SHARES))) if leave_one_out else np.zeros(0)
     one = 1.0 if leave_one_out else 0.0
@@ -137,9 +173,9 @@ def score_tokens(tokens: np.ndarray, edges: np.ndarray, counts: np.ndarray, mode
     lower = fitted.base(np.maximum(counts - one, 0.0))
     seen = counts > 0
     sums = np.zeros((order - 1, BINS, len(SHARES)))
-    for n, hashes in enumerate(grams_of(tokens, edges, order)):
+    for n, read in enumerate(grams):
         # an n-gram cannot be known unless its shorter one is
-        known = model.counts(hashes, seen & (context > 0))
+        known = np.where(seen & (context > 0), read, 0.0)
         seen = known > 0
         part = np.clip(np.minimum(known, context) - one, 0.0, None)
         whole = np.maximum(context - one, 0.0)
@@ -176,84 +212,97 @@ def _count_block(order: int, blocks: int):
 
         words, which = np.unique(tokens, return_inverse=True)
         send(1, address(words, blocks)[0], words, np.bincount(which, train, len(words)))
-        for n, hashes in enumerate(grams_of(tokens, edges, order)):
-            bucket, lows = address(hashes[train], blocks)
-            keys, counts = np.unique((bucket.astype(np.uint64) << np.uint64(32)) | lows, return_counts=True)
-            bucket, lows = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            # most n-grams of a block stand in it once: their counts need not travel
-            once = counts == 1
-            send(10 * (n + 2), bucket[once], lows[once], np.zeros(0, np.uint32) if not once.any() else np.ones(once.sum(), np.uint32))
-            send(10 * (n + 2) + 1, bucket[~once], lows[~once], counts[~once])
-        for i, row in enumerate(out):
-            if row[2] % 10 == 0:
-                out[i] = (*row[:4], b"")
+        # the lowest bit tells rows that train from others, so that one sort counts
+        keys = np.sort((gram_keys(grams_of(tokens, edges, order), blocks) << np.uint64(1)) | np.tile(train, order - 1).astype(np.uint64))
+        fresh = np.ones(len(keys), bool)
+        fresh[1:] = (keys[1:] ^ keys[:-1]) > np.uint64(1)
+        heads = np.flatnonzero(fresh)
+        counts = np.add.reduceat((keys & np.uint64(1)).astype(np.uint32), heads, dtype=np.uint32) if len(heads) else np.zeros(0, np.uint32)
+        keys = keys[heads] >> np.uint64(1)
+        lows, edge = keys.astype(np.uint32), np.searchsorted(keys, np.arange(blocks + 1, dtype=np.uint64) << np.uint64(32))
+        for b in np.flatnonzero(np.diff(edge)).tolist():
+            own = counts[edge[b] : edge[b + 1]]
+            # most n-grams of a block stand in it once: their counts travel as bytes
+            out.append((block, b, 2, lows[edge[b] : edge[b + 1]].tobytes(), own.astype(np.uint8 if own.max() < 256 else np.uint32).tobytes()))
         types = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
         return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=["block", "bucket", "kind", "values", "counts"])
 
     return count
 
 
-def _add_up(rows: pa.Table) -> pa.Table:
-    """One bucket: word counts for each block that asked, held n-grams, and what there is of each level."""
-    bucket = rows.column("bucket")[0].as_py()
-    kinds = np.array(rows.column("kind").to_pylist())
-    blocks = np.array(rows.column("block").to_pylist())
-    values, counts = rows.column("values").to_pylist(), rows.column("counts").to_pylist()
-    out = []
-    asked = np.flatnonzero(kinds == 1).tolist()
-    if asked:
-        each = [np.frombuffer(values[i], np.uint64) for i in asked]
-        words, which = np.unique(np.concatenate(each), return_inverse=True)
-        total = np.bincount(which, np.concatenate([np.frombuffer(counts[i], np.uint32) for i in asked]).astype(np.float64), len(words)).astype(np.int64)
-        at = 0
-        for i, own in zip(asked, each):
-            out.append((int(blocks[i]), bucket, total[which[at : at + len(own)]].tobytes(), *[None] * 8))
-            at += len(own)
-        out.append((-1, bucket, None, int((total > 0).sum()), int(total.sum()), *[None] * 6))
-    for n in sorted(set((kinds // 10).tolist()) - {0}):
-        once = [np.frombuffer(values[i], np.uint32) for i in np.flatnonzero(kinds == 10 * n).tolist()]
-        more = np.flatnonzero(kinds == 10 * n + 1).tolist()
-        often = [np.frombuffer(values[i], np.uint32) for i in more]
-        weights = [np.ones(sum(map(len, once))), *[np.frombuffer(counts[i], np.uint32).astype(np.float64) for i in more]]
-        grams, which = np.unique(np.concatenate([*once, *often]), return_inverse=True)
-        total = np.bincount(which, np.concatenate(weights), len(grams))
-        levels = np.log2(total).astype(np.int64)
-        for level in range(int(levels.max()) + 1):
-            own = levels == level
-            if own.any():
-                out.append((-1, bucket, None, None, None, n, level, int(own.sum()), int(total[own].sum()), None, None))
-        held = levels > 0
-        out.append((-1, bucket, *[None] * 3, n, None, None, None, grams[held].tobytes(), levels[held].astype(np.uint8).tobytes()))
-    types = (pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
-    names = ["block", "bucket", "counts", "words", "total", "grams", "level", "seen", "occurrences", "lows", "levels"]
-    return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=names)
+def _answer(gather: bool):
+    def answer(rows: pa.Table) -> pa.Table:
+        """One bucket: counts of words and levels of n-grams for each block that asked, and what there is of each level."""
+        bucket = rows.column("bucket")[0].as_py()
+        kinds = np.array(rows.column("kind").to_pylist())
+        blocks = np.array(rows.column("block").to_pylist())
+        values, counts = rows.column("values").to_pylist(), rows.column("counts").to_pylist()
+        out = []
+        asked = np.flatnonzero(kinds == 1).tolist()
+        if asked:
+            each = [np.frombuffer(values[i], np.uint64) for i in asked]
+            words, which = np.unique(np.concatenate(each), return_inverse=True)
+            total = np.bincount(which, np.concatenate([np.frombuffer(counts[i], np.uint32) for i in asked]).astype(np.float64), len(words)).astype(np.int64)
+            at = 0
+            for i, own in zip(asked, each):
+                out.append((int(blocks[i]), bucket, total[which[at : at + len(own)]].tobytes(), *[None] * 7))
+                at += len(own)
+            out.append((-1, bucket, None, int((total > 0).sum()), int(total.sum()), *[None] * 5))
+        asked = np.flatnonzero(kinds == 2).tolist()
+        if asked:
+            each = [np.frombuffer(values[i], np.uint32) for i in asked]
+            lows, which = np.unique(np.concatenate(each), return_inverse=True)
+            weights = [np.frombuffer(counts[i], np.uint8 if len(counts[i]) == len(own) else np.uint32).astype(np.float64) for i, own in zip(asked, each)]
+            total = np.bincount(which, np.concatenate(weights), len(lows))
+            levels = np.where(total > 0, np.log2(np.maximum(total, 1)), -1).astype(np.int64)
+            for level in range(int(levels.max()) + 1):
+                own = levels == level
+                if own.any():
+                    out.append((-1, bucket, None, None, None, level, int(own.sum()), int(total[own].sum()), None, None))
+            if gather:
+                held = levels > 0
+                out.append((-1, bucket, *[None] * 6, lows[held].tobytes(), levels[held].astype(np.uint8).tobytes()))
+            told = (read_levels(lows, levels) + 1).astype(np.uint8)
+            at = 0
+            for i, own in zip(asked, each):
+                out.append((int(blocks[i]), bucket, *[None] * 7, told[which[at : at + len(own)]].tobytes()))
+                at += len(own)
+        types = (pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        names = ["block", "bucket", "counts", "words", "total", "level", "seen", "occurrences", "lows", "levels"]
+        return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=names)
+
+    return answer
+
+
+# with the addresses of what is seen twice or more, for a filter in one piece
+_add_up = _answer(gather=True)
 
 
 def _fill_segment(segment_bits: int, lowest: int):
     def fill(rows: pa.Table) -> pa.Table:
-        flags = np.zeros(segment_bits, bool)
-        for lows, levels in zip(rows.column("lows").to_pylist(), rows.column("levels").to_pylist()):
-            lows, levels = np.frombuffer(lows, np.uint32), np.frombuffer(levels, np.uint8)
-            for level in range(lowest, int(levels.max(initial=0)) + 1):
-                own = lows[levels >= level]
-                for probe in range(PROBES):
-                    flags[_positions(own, level, probe, segment_bits)] = True
+        lows = np.frombuffer(b"".join(rows.column("lows").to_pylist()), np.uint32)
+        flags = _filled(lows, np.frombuffer(b"".join(rows.column("levels").to_pylist()), np.uint8).astype(np.int64), segment_bits, lowest)
         return pa.table([pa.array([rows.column("bucket")[0].as_py()], pa.int32()), pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())], names=["bucket", "bits"])
 
     return fill
 
 
-def build_filter(told: DataFrame, buckets: int, filter_bytes: int) -> Filter:
-    """Choose the lowest level that fits, fill the segments, and gather them: ``filter_bytes`` in all at most."""
+def level_means(told: DataFrame) -> tuple[np.ndarray, list[int]]:
+    """Mean count of the n-grams of each level, and how many there are of it or above."""
     seen: dict[int, list[int]] = {}
     for row in told.where("level is not null").groupBy("level").agg(F.sum("seen").alias("n"), F.sum("occurrences").alias("c")).collect():
         seen[row["level"]] = [row["n"], row["c"]]
     top = max(seen, default=0)
     means = np.array([seen[q][1] / seen[q][0] if q in seen else 2.0**q * 1.4 for q in range(top + 1)])
-    at_least = [sum(seen.get(r, [0, 0])[0] for r in range(q, top + 1)) for q in range(top + 2)]
+    return means, [sum(seen.get(r, [0, 0])[0] for r in range(q, top + 1)) for q in range(top + 2)]
+
+
+def build_filter(told: DataFrame, buckets: int, filter_bytes: int) -> Filter:
+    """A filter in one piece of ``filter_bytes`` at most, for a look at a small corpus; scoring reads segments instead."""
+    means, at_least = level_means(told)
+    top = len(means) - 1
     lowest = 1
-    # bits for all pairs of n-gram and level, half of them set at the best filling
-    need = lambda low: sum(at_least[low : top + 1]) * PROBES / np.log(2)
+    need = lambda low: _bits_for(sum(at_least[low : top + 1]))
     while need(lowest) > 8 * filter_bytes and lowest < top:
         lowest += 1
     whole = min(max(need(lowest), 64.0 * buckets), 8.0 * filter_bytes)
@@ -266,38 +315,42 @@ def build_filter(told: DataFrame, buckets: int, filter_bytes: int) -> Filter:
     return Filter(bits, segment_bits, buckets, lowest, means)
 
 
-def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, filter_bytes: int = FILTER_BYTES) -> DataFrame:
+def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
     """Rows with n_tokens, n_known, train_tokens, base_score and score (log10), learnt where ``train`` holds."""
     taken = {f.name for f in NEW_COLUMNS.fields}
     carried = [c for c in docs.columns if c.lower() not in taken]
     blocks = block_count(docs, text_col)
     rows = docs.select(block_of(blocks, F.col(id_col)).alias("__block"), F.col(text_col).cast("string").alias("__text"), train.alias("__train"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carried)])
     bare = rows.select("__block", "__text", "__train")
-    told = staged(bare.groupBy("__block").applyInArrow(_count_block(order, blocks), _COUNTS).groupBy("bucket").applyInArrow(_add_up, _TOLD), "lm-counts")
+    told = staged(bare.groupBy("__block").applyInArrow(_count_block(order, blocks), _COUNTS).groupBy("bucket").applyInArrow(_answer(gather=False), _TOLD), "lm-counts")
     sizes = told.agg(F.sum("words").alias("v"), F.sum("total").alias("n")).first()
     texts = docs.agg(F.count(F.when(train, 1)).alias("n")).first()["n"]
-    sc = docs.sparkSession.sparkContext
-    model = sc.broadcast(build_filter(told, blocks, filter_bytes))
+    count_of = np.concatenate([[0.0], level_means(told)[0]])
     guess = Fitted(np.full((order - 1, BINS), FIRST_GUESS), texts, sizes["v"] or 0, sizes["n"] or 0)
-    replies = told.where("block >= 0").select("block", "bucket", "counts")
+    replies = told.where("block >= 0").select("block", "bucket", "counts", "levels")
 
     def known(rows: pa.Table, replies: pa.Table):
         data, offsets = flat_text(rows.column("__text"))
         tokens, edges = tokens_of(data, offsets)
         words, which = np.unique(tokens, return_inverse=True)
         order_, edge = split_sorted(address(words, blocks)[0], blocks)
-        counts = np.zeros(len(words))
-        for bucket, blob in zip(replies.column("bucket").to_pylist(), replies.column("counts").to_pylist()):
-            counts[order_[edge[bucket] : edge[bucket + 1]]] = np.frombuffer(blob, np.int64)
-        return tokens, edges, counts[which]
+        keys, seat = np.unique(gram_keys(grams_of(tokens, edges, order), blocks), return_inverse=True)
+        gram_edge = np.searchsorted(keys, np.arange(blocks + 1, dtype=np.uint64) << np.uint64(32))
+        counts, read = np.zeros(len(words)), np.zeros(len(keys), np.uint8)
+        for bucket, blob, levels in zip(*(replies.column(c).to_pylist() for c in ("bucket", "counts", "levels"))):
+            if blob is not None:
+                counts[order_[edge[bucket] : edge[bucket + 1]]] = np.frombuffer(blob, np.int64)
+            else:
+                read[gram_edge[bucket] : gram_edge[bucket + 1]] = np.frombuffer(levels, np.uint8)
+        return tokens, edges, counts[which], np.split(count_of[read][seat], order - 1)
 
     def fit(rows: pa.Table, replies: pa.Table) -> pa.Table:
-        tokens, edges, counts = known(rows, replies)
+        tokens, edges, counts, grams = known(rows, replies)
         keep = pc.fill_null(rows.column("__train"), False).to_numpy()
         size = np.diff(edges)
         mask = np.repeat(keep, size)
         own = np.concatenate([[0], np.cumsum(size[keep])])
-        sums = score_tokens(tokens[mask], own, counts[mask], model.value, guess, order, leave_one_out=True)
+        sums = score_tokens(tokens[mask], own, counts[mask], [g[mask] for g in grams], guess, order, leave_one_out=True)
         n, b, s = np.nonzero(sums)
         return pa.table([pa.array(n.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(s.astype(np.int32)), pa.array(sums[n, b, s])], names=["n", "b", "s", "value"])
 
@@ -311,10 +364,10 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     fitted = Fitted(shares, guess.train_texts, guess.words, guess.total)
 
     def score(rows: pa.Table, replies: pa.Table) -> pa.Table:
-        tokens, edges, counts = known(rows, replies)
+        tokens, edges, counts, grams = known(rows, replies)
         owner = np.repeat(np.arange(len(rows)), np.diff(edges))
         base = np.bincount(owner, np.log10(fitted.base(counts)), len(rows))
-        full = np.bincount(owner, np.log10(score_tokens(tokens, edges, counts, model.value, fitted, order)), len(rows))
+        full = np.bincount(owner, np.log10(score_tokens(tokens, edges, counts, grams, fitted, order)), len(rows))
         found = np.bincount(owner, counts > 0, len(rows)).astype(np.int64)
         new = [pa.array(np.diff(edges).astype(np.int64)), pa.array(found), pa.array(np.full(len(rows), fitted.total, np.int64)), pa.array(base), pa.array(full)]
         return pa.table([*[rows.column(f"c{i}") for i in range(len(carried))], *new], names=[*[f"c{i}" for i in range(len(carried))], *[f.name for f in NEW_COLUMNS.fields]])

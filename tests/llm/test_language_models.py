@@ -70,6 +70,17 @@ def test_filter_never_reads_a_count_too_low(spark):
     told.unpersist()
 
 
+def test_segments_hold_every_level_at_any_size():
+    # a segment grows with what it holds, there is no size from which levels are given up
+    lows = np.unique(np.random.default_rng(3).integers(0, 1 << 32, 300_000, dtype=np.uint32))
+    levels = np.where(np.arange(len(lows)) % 50 == 0, -1, 1)
+    read = ngram_lm.read_levels(lows, levels, lowest=1)
+    assert (read[levels == 1] == 1).all() and (read[levels < 0] >= 0).mean() < 0.03
+    few = np.array([-1, 0, 1, 2, 5, -1])
+    read = ngram_lm.read_levels(np.arange(6, dtype=np.uint32), few, lowest=1)
+    assert (read[few >= 1] >= few[few >= 1]).all()
+
+
 def test_languages_are_told_apart(spark, sf):
     rows = QUERIES["op6_kneser_ney_language_id"](spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
     held = [r for r in rows if r.held_out]
