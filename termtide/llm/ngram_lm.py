@@ -7,7 +7,7 @@ needs no approximation and no word table is sent to all workers. N-grams of all
 are asked for in the same way, those of rows that do not train with a count of none.
 
 The model. A count of 2 ** q up to 2 ** (q + 1) - 1 is held as level q: the filter
-has bits for (n-gram, 1), .. (n-gram, q). It is read back by probing levels until
+has bits for (n-gram, 0), .. (n-gram, q), so that an n-gram seen once is held, too. It is read back by probing levels until
 one is missing, so a count is never read too low, and too high with a chance that
 halves with every probe. Each bucket fills the filter's segment for its own
 addresses, as large as its n-grams need, reads it for every block that asked, and
@@ -39,7 +39,7 @@ from .words import BASE, word_hashes, word_spans
 
 ORDER = 3
 PROBES = 6
-LOWEST = 1
+LOWEST = 0
 END, START = np.uint64(0x5E5E5E5E0001), np.uint64(0x5E5E5E5E0002)
 SHARES = np.array([0.02, 0.1, 0.3, 0.5, 0.7, 0.9, 0.98, 0.999])
 FIRST_GUESS = 0.5
