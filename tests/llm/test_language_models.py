@@ -94,6 +94,10 @@ def test_what_training_has_once_is_known(spark):
     assert (ngram_lm.read_levels(np.arange(4, dtype=np.uint32), levels)[levels >= 0] >= levels[levels >= 0]).all()
 
 
+def test_the_grid_of_shares_is_whole():
+    assert ngram_lm.SHARES.tolist() == [0.01, 0.05, 0.15, 0.3, 0.5, 0.7, 0.85, 0.95, 0.99, 0.999]
+
+
 def test_languages_are_told_apart(spark, sf):
     rows = QUERIES["op6_kneser_ney_language_id"](spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
     held = [r for r in rows if r.held_out]
