@@ -2,7 +2,8 @@
 
 A page is a sequence of words and tags. A word scores positive, by how often words
 in elements of its kind are content on labelled pages; a tag scores negative, by
-how often tags of its name are not. One linear scan finds the best contiguous
+how often tags of its name are not. Tags in parts that are never main text say nothing
+of their name; inline tags and tags inside an article or main element cost nothing. One linear scan finds the best contiguous
 subsequence, and its words, less the parts that are never main text (menus, forms,
 asides, adverts, notices, reader comments and the like), are the page's text.
 
@@ -32,6 +33,7 @@ SAMPLE_ROWS = 2_000
 MAX_KINDS = 500
 TAG_WORDS = 5.0
 ASIDE_SCORE = -0.1
+INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 # fixed values: elements, roles and name parts that are never main text
 NEVER = frozenset("nav footer aside form menu dialog button select textarea script style noscript template iframe svg math title".split())
 NEVER_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alertdialog alert form".split())
@@ -116,7 +118,7 @@ def extract(html: str | None, weights: dict[str, float], any_word: float, any_ta
         if kind in ("break", "space") or (aside and main):
             continue
         if kind == "tag":
-            step = weights.get(f"<{value}>", any_tag)
+            step = 0.0 if main or value.lstrip("/") in INLINE else weights.get(f"<{value}>", any_tag)
         else:
             words = len(value.split())
             step = words * (ASIDE_SCORE if aside else weights.get(kind, any_word))
@@ -152,9 +154,11 @@ def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sam
                 if sum(kind == "tag" and value == "article" for kind, value, *_ in items) != 1:
                     continue
                 for kind, value, aside, content, _ in items:
+                    if aside or kind in ("break", "space"):
+                        continue
                     if kind == "tag":
-                        seen[f"<{value}>", content and not aside] += 1
-                    elif kind not in ("break", "space") and not aside:
+                        seen[f"<{value}>", content] += 1
+                    else:
                         seen[kind, content] += len(value.split())
         kinds = list(seen)
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in kinds], pa.string()), pa.array([c for _, c in kinds], pa.bool_()), pa.array([seen[k] for k in kinds], pa.int64())], names=["kind", "content", "n"])

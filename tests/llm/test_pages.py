@@ -32,6 +32,20 @@ def test_other_templates():
     assert text == "A title & more\n\nFirst paragraph with many words été.\n\nSecond one, unclosed, <b> too\n\nA quote of some words here."
 
 
+def test_lists_links_and_tables_in_articles_stay_whole(spark, sf):
+    weights = html_region.learn(spark.read.parquet(f"{sf}/pages.parquet"))
+    first, items, last = " ".join(["some"] * 300), [f"item {i} of list" for i in range(40)], " ".join(["other"] * 200)
+    parts = ["Head", first, *items, last, "a b", "c d", "Names", "See here."]
+    nav = "<nav><ul>" + "<li><a href=/x>Menu entry</a></li>" * 10 + "</ul></nav><div class='ad'>Buy this</div>"
+    inner = f"<h1>Head</h1><div><p>{first}</p></div><ul>{''.join(f'<li>{i}</li>' for i in items)}</ul><p>{last}</p><table><tr><td>a</td><td>b</td></tr><tr><td>c</td><td>d</td></tr></table><ul><li>Names</li></ul><p>See <a href=/y>here</a>.</p>"
+    for name in ("article", "main"):
+        page = f"<html><body>{nav}<{name}>{inner}</{name}><footer><a href=/z>Imprint</a></footer></body></html>"
+        assert html_region.extract(page, weights, weights["word"], weights["tag"]) == "\n\n".join(parts)
+    # without marked content, too, links and the like cost nothing
+    page = f"<html><body>{nav}<p>{first}</p><p>See <a href=/y>here</a>.</p></body></html>"
+    assert html_region.extract(page, weights, weights["word"], weights["tag"]) == f"{first}\n\nSee here."
+
+
 def test_odd_pages(spark):
     rows = [(1, None, "a"), (1, "", "b"), (2, "<div><p></p></div>", None), (3, "no markup at all", "c"), (3, "no markup at all", "c"), (None, "<p>" + "long words " * 20_000, "d"), (4, "<p>a < b <c", "e")]
     df = spark.createDataFrame(rows, "page_id long, html string, text string")
