@@ -37,10 +37,15 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 # fixed values: elements, roles and name parts that are never main text
 NEVER = frozenset("nav footer aside form menu dialog button select textarea script style noscript template iframe svg math title".split())
 NEVER_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alertdialog alert form".split())
+_NAME = (
+    r"(?:ads?|advert[a-z]*|adbox|adsense|sponsor[a-z]*|promo[a-z]*|banners?|nav|navbar|navigation|menus?|menubar|breadcrumbs?|sidebars?|side|footers?"
+    r"|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|newsletter|subscri[a-z]+|signup|login|social|share|sharing|related|recommend[a-z]*"
+    r"|comments?|commentlist|disqus|replies|reply|respond|pagination|pager|masthead|site[_-]?header|page[_-]?header|topbar|toolbar|skip[_-]?links?|widgets?)"
+)
+# whole class tokens: names, and few words beside them that do not make a layout of it
 NEVER_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|adsense|sponsor\w*|promo\w*|banner\w*|nav|navbar|navigation|menu\w*|breadcrumbs?|sidebar\w*|side|footer\w*"
-    r"|cookies?|consent\w*|gdpr|notices?|alerts?|popup|modal|overlay|newsletter|subscri\w+|signup|login|social|share|sharing|related|recommend\w*"
-    r"|comments?|commentlist|disqus\w*|replies|reply|respond|pagination|pager|masthead|site-?header|page-?header|topbar|toolbar|skip-?link\w*|widget\w*)(?:$|[\s_-])",
+    rf"(?:(?:site|page|main|top|primary|secondary|global)[_-]+(?:nav|navbar|navigation|menu|footer)|{_NAME})"
+    rf"(?:[_-]+(?:{_NAME}|[0-9]+|lists?|links?|box|bar|buttons?|icons?|items?|posts?|articles?|form|title|text|thread))*",
     re.IGNORECASE,
 )
 
@@ -53,9 +58,32 @@ def _never(name: str, more: str, inside: bool) -> bool:
     attributes = attributes_of(more)
     if "hidden" in attributes or attributes.get("aria-hidden", "") == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", "")):
         return True
-    if attributes.get("role", "").lower() in NEVER_ROLES:
-        return True
-    return any(NEVER_NAMES.search(attributes.get(key, "")) for key in ("class", "id"))
+    return attributes.get("role", "").lower() in NEVER_ROLES
+
+
+def _never_named(name: str, more: str) -> bool:
+    if name in ("html", "body", "article", "main") or not more.strip():
+        return False
+    attributes = attributes_of(more)
+    return any(NEVER_NAMES.fullmatch(token) for key in ("class", "id") for token in attributes.get(key, "").split())
+
+
+def _wrappers(found: list[tuple[str, str, str]]) -> set[int]:
+    """Places of the open tags around an article or main element that is in no other one."""
+    stack: list[tuple[str, int]] = []
+    out: set[int] = set()
+    for i, (kind, name, _) in enumerate(found):
+        if kind == "open":
+            while stack and name in CLOSED_BY.get(stack[-1][0], ()):
+                stack.pop()
+            if name in ("article", "main") and not any(n in ("article", "main") for n, _ in stack):
+                out.update(at for _, at in stack)
+            if name not in VOID:
+                stack.append((name, i))
+        elif kind == "close" and any(n == name for n, _ in stack):
+            while stack.pop()[0] != name:
+                pass
+    return out
 
 
 def scan(html: str) -> list[tuple[str, str, bool, bool, bool]]:
@@ -72,7 +100,9 @@ def scan(html: str) -> list[tuple[str, str, bool, bool, bool]]:
         articles -= name == "article"
         mains -= name in ("article", "main")
 
-    for kind, name, more in tokens(html):
+    found = list(tokens(html))
+    wrappers = _wrappers(found)
+    for i, (kind, name, more) in enumerate(found):
         if kind == "text":
             around = stack[-1][0] if stack else ""
             link = any(n == "a" for n, _ in stack[-3:])
@@ -85,7 +115,8 @@ def scan(html: str) -> list[tuple[str, str, bool, bool, bool]]:
             while stack and name in CLOSED_BY.get(stack[-1][0], ()):
                 pop()
             if name not in VOID:
-                never = _never(name, more, mains > 0)
+                # a name does not make an aside of what holds the article
+                never = _never(name, more, mains > 0) or (i not in wrappers and _never_named(name, more))
                 stack.append((name, never))
                 asides += never
                 articles += name == "article"

@@ -46,6 +46,24 @@ def test_lists_links_and_tables_in_articles_stay_whole(spark, sf):
     assert html_region.extract(page, weights, weights["word"], weights["tag"]) == f"{first}\n\nSee here."
 
 
+def test_names_are_whole_tokens_and_spare_what_holds_the_article():
+    article = "<p>Words of the article that stay.</p><p>And more of them here.</p>"
+    text = "Words of the article that stay.\n\nAnd more of them here."
+    for names in ("site-content has-sidebar", "layout no-sidebar", "content-with-sidebar", "post comments-open", "entry no-comments", "sidebar-left-layout"):
+        for inner in (article, f"<article>{article}</article>"):
+            assert html_region.extract(f"<html><body><div class='{names}'>{inner}</div></body></html>", {}, 1.0, -1.0) == text
+            assert html_region.extract(f"<html><body><div id='{names.split()[-1]}'>{inner}</div></body></html>", {}, 1.0, -1.0) == text
+    for names in ("sidebar", "widget box", "social modal", "related-posts"):
+        for name in ("article", "main"):
+            page = f"<html><body><div class='{names}'><{name}>{article}<div class='{names}'>Not this one</div></{name}><div class='{names}'>Nor this one</div></div></body></html>"
+            assert text in html_region.extract(page, {}, 1.0, -1.0) and "Not this" not in html_region.extract(page, {}, 1.0, -1.0)
+    for names in ("sidebar", "left sidebar", "cookie-notice", "comment-list", "site-footer", "ad-1", "share-buttons"):
+        page = f"<html><body><div class='{names}'>Not this one</div><article>{article}</article><div id='{names.split()[-1]}'>Nor this one</div></body></html>"
+        assert html_region.extract(page, {}, 1.0, -1.0) == text
+    comments = f"<main>{article}<div class='comments'><article><p>A reader says so.</p></article></div></main>"
+    assert html_region.extract(comments, {}, 1.0, -1.0) == text
+
+
 def test_odd_pages(spark):
     rows = [(1, None, "a"), (1, "", "b"), (2, "<div><p></p></div>", None), (3, "no markup at all", "c"), (3, "no markup at all", "c"), (None, "<p>" + "long words " * 20_000, "d"), (4, "<p>a < b <c", "e")]
     df = spark.createDataFrame(rows, "page_id long, html string, text string")
