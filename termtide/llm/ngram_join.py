@@ -19,7 +19,8 @@ first (D - r) + 2 have a pair that is adjacent in both sets, since fewer than (D
 shingles can stand between; it lies within the first (M - r) + (D - r) + 2 frequent
 shingles of each. So the prefix is extended to there, and adjacent pairs are its keys:
 a number linear in n, where all combinations would be quadratic, and each pair is far
-rarer than its shingles.
+rarer than its shingles. That so many are common is sure from 67 per cent on; below it,
+the frequent ones among the first M + 1 are keys by themselves.
 
 Verification. Under each key the text with the fewest shingles of its own is the centre,
 mostly the one that the others were made from. A text is first compared with the centre
@@ -49,6 +50,7 @@ from .suffix_sort import ranges
 from .words import BASE, shingle_sets, word_hashes, word_spans
 
 FREQUENT = 64
+PAIRS_FROM = 67
 ROUNDS = 2
 PARITY_WORDS = 16
 CHUNK = 4096
@@ -71,7 +73,9 @@ def prefix_keys(hashes: np.ndarray, classes: np.ndarray, percent: int) -> np.nda
     rare, often = hashes[classes == 1], hashes[classes == 2]
     keys = mix64(rare[: most + 1 - single] ^ np.uint64(0xA5A5A5A5))
     lower = single + len(rare)
-    if lower <= most:
+    if lower <= most and percent < PAIRS_FROM:
+        keys = np.concatenate([keys, mix64(often[: most + 1 - lower] ^ np.uint64(0xA5A5A5A5))])
+    elif lower <= most:
         often = often[: (most - lower) + (both - lower) + 2]
         keys = np.concatenate([keys, mix64(often[:-1] * np.uint64(BASE) + often[1:])])
     return keys

@@ -1,5 +1,6 @@
 """Links between shingle sets against all pairs."""
 
+import itertools
 import re
 
 import numpy as np
@@ -135,3 +136,17 @@ def test_first_common_shingle_is_a_key():
         keys = [set(ngram_join.prefix_keys(s, c, 85).tolist()) for s, c in zip(sets, classes)]
         assert keys[0] & keys[1]
     assert seen > 100
+
+
+@pytest.mark.parametrize("percent", [34, 50, 60, 66, 67, 85])
+def test_every_linking_pair_of_frequent_shingles_has_a_common_key(percent):
+    hashes = np.sort(np.random.default_rng(4).integers(0, 2**63, 9).astype(np.uint64))
+    sets = [c for k in range(1, 8) for c in itertools.combinations(range(9), k)]
+    members = [set(c) for c in sets]
+    keys = [set(ngram_join.prefix_keys(hashes[list(c)], np.full(len(c), 2), percent).tolist()) for c in sets]
+    lost = [
+        (sets[a], sets[b])
+        for a, b in itertools.combinations(range(len(sets)), 2)
+        if 100 * len(members[a] & members[b]) >= percent * len(members[a] | members[b]) and not keys[a] & keys[b]
+    ]
+    assert lost == []
