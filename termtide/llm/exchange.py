@@ -15,7 +15,7 @@ as large for a terabyte as for a megabyte.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import stage
 
 BLOCK_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -150,3 +151,15 @@ def known_shared(told: pa.Table, hashes: np.ndarray, buckets: int) -> np.ndarray
     own = (bucket.astype(np.uint64) << np.uint64(32)) | low
     place = np.minimum(np.searchsorted(known, own), len(known) - 1)
     return np.where(known[place] == own, 1 + flag[place], 0).astype(np.int8)
+
+
+def slices(batches: Iterable[pa.RecordBatch], text: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut, without a copy, so that a slice has ``size`` bytes in its column ``text``, or is one row."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.cast(pc.binary_length(batch.column(text)), pa.int64()), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(lengths + 1)
+        at = 0
+        while at < batch.num_rows:
+            upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, side="right")))
+            yield batch.slice(at, upto - at)
+            at = upto

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, fingerprint, html_region, language_id, ngram_join, ngram_lm, pieces, toxicity, warc
+from . import decontaminate, fim, fingerprint, html_region, language_id, line_dedup, ngram_join, ngram_lm, pieces, resample, toxicity, warc
 from .shipping import ship
 from .suffix_dedup import remove_repeats
 
@@ -121,3 +121,57 @@ def op3_shared_prefix_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.find_leaks(docs, _table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+OP11_SQL = r"""
+WITH lines AS MATERIALIZED (
+  SELECT doc_id, p, l, translate(regexp_replace(l, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, unnest(ls) AS l, unnest(range(len(ls))) AS p FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))
+),
+often AS (SELECT k, max(doc_id) AS keeper FROM lines WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+judged AS (SELECT l.doc_id, l.p, l.l, o.k IS NOT NULL AND l.doc_id <> o.keeper AS gone FROM lines l LEFT JOIN often o USING (k))
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(l, chr(10) ORDER BY p) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
+@_query("op11_line_bitmaps", OP11_SQL)
+def op11_line_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_lines(docs, line_dedup.keep_bitmaps(docs)).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
+OP12_SQL = r"""
+WITH src AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u, sha256('7:' || doc_id) AS d FROM documents
+),
+hashed AS (
+  SELECT doc_id, t, u, len(u) AS n, CAST(('0x' || d[1:8]) AS BIGINT) AS h1, CAST(('0x' || d[9:16]) AS BIGINT) AS h2,
+    CAST(('0x' || d[17:24]) AS BIGINT) AS h3, CAST(('0x' || d[25:32]) AS BIGINT) AS h4
+  FROM src
+),
+cut AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM hashed),
+parts AS (
+  SELECT doc_id, t, n, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS suffix,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts
+"""
+
+
+@_query("op12_rank_index_fim", OP12_SQL)
+def op12_rank_index_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fim.rewrite(docs, seed=7, rate=100, spm_rate=50).select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
+@_query("op13_bracketed_resampling")
+def op13_bracketed_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = resample.resample(docs, _table(spark, sf_dir, "benchmark").select("text"), buckets=10_000, longest=1, least_words=20, percent=10, seed=2024)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
