@@ -16,7 +16,9 @@ and held against all rows; documents are never shuffled.
 Definitions: both sides are lower-cased and white space becomes one space. Null or empty
 documents and items match nothing; an item whose budget is 0 must stand there exactly.
 Items are told apart by their ids; items with one id, or equal rows, are each reported
-under that id once, with the smallest distance. Null ids are kept as null.
+under that id once, with the smallest distance. Null ids are kept as null; document ids
+that are no whole numbers fail in the cast. Empty tables, on either side, find nothing.
+Texts of any length are searched whole. ``find_leaks`` needs two names for the two ids.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .exchange import slices
+
 RATE = 0.1
 BLOCK_BYTES = 1 << 20
 
@@ -193,7 +197,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 
         def search(batches, held=held):
             known = Items(held.value, rate)
-            for batch in batches:
+            for batch in slices(batches, 1):
                 out = [(doc, item, *match) for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for item, match in known.matches(normal(text)).items()]
                 types = [pa.int64()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=["doc", "item", "distance", "match_end", "budget"])
@@ -214,7 +218,7 @@ def without_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
 
         def keep(batches, held=held):
             known = Items(held.value, rate)
-            for batch in batches:
+            for batch in slices(batches, len(columns)):
                 yield batch.filter(pa.array([not known.matches(normal(text)) for text in batch.column(batch.num_columns - 1).to_pylist()], pa.bool_()))
 
         kept = kept.mapInArrow(keep, kept.schema)

@@ -27,6 +27,7 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from .exchange import slices
 from .markup import BLOCKS, CLOSED_BY, SPACED, VOID, attributes_of, tidy, tokens, unescape
 
 SAMPLE_ROWS = 2_000
@@ -179,7 +180,7 @@ def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sam
 
     def count(batches):
         seen: Counter[tuple[str, bool]] = Counter()
-        for batch in batches:
+        for batch in slices(batches, 0):
             for html in batch.column(0).to_pylist():
                 items = scan(html)
                 if sum(kind == "tag" and value == "article" for kind, value, *_ in items) != 1:
@@ -209,7 +210,7 @@ def main_text(pages: DataFrame, weights: dict[str, float], html_col: str = "html
     names = [*[f"c{i}" for i in range(size)], "text", "n_chars"]
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, size):
             texts = [extract(html, weights, weights["word"], weights["tag"]) for html in batch.column(size).to_pylist()]
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(size)], pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], names=names)
 

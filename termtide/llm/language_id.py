@@ -12,11 +12,13 @@ A text gets the language of the lowest cross-entropy per character. The score is
 the softmax of the log-likelihoods over up to ``EVIDENCE`` characters' worth, with a
 temperature fitted so that it is the share of right answers, and 1 / languages at
 least. Rejection is calibrated, too: a text whose cross-entropy is above what all but
-``reject_share`` of its language's training texts have is marked as rejected.
+``reject_share`` of its language's texts have is marked as rejected. Both are fitted on
+sampled training rows that the models have not counted, one in ``CALIBRATION``.
 
-Learning uses about ``sample_rows`` rows of each language, those whose id hashes
+Learning uses about ``sample_rows`` rows of each language, those whose id and text hash
 lowest (of a language with fewer rows, all), which bounds the model; scoring
-covers every row and whole texts.
+covers every row and whole texts. A language with fewer than ``LEAST_CALIBRATED`` rows
+is counted whole and rejects nothing.
 
 Definitions: text is lower-cased; a run of characters that are no letters counts
 as one space. A null text, or one without letters, is ``und`` with score 0. Rows
@@ -33,12 +35,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .exchange import mix64
+from .exchange import mix64, slices
 
 ORDER = 4
-SAMPLE_ROWS = 1_500
+SAMPLE_ROWS = 2_000
+CALIBRATION = 4
+LEAST_CALIBRATED = 40
 EVIDENCE = 200
-REJECT_SHARE = 0.001
+REJECT_SHARE = 0.01
 UNKNOWN = "und"
 _GAPS = re.compile(r"[\W\d_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -182,21 +186,25 @@ def kneser_ney(languages: list[str], order: int, language: np.ndarray, length: n
 
 def learn(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", order: int = ORDER, sample_rows: int = SAMPLE_ROWS, reject_share: float = REJECT_SHARE) -> Models:
     """Models of all languages among the rows where ``train`` holds."""
-    usable = docs.where(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(2**31 - 1)).alias("h"))
+    usable = docs.where(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("key")).withColumn("h", F.pmod("key", F.lit(2**31 - 1)))
     sizes = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
         return Models([], order, [], [], 0.0)
     # the share of hashes that gives a language its rows, about sample_rows of them
-    part = F.lit(False)
+    part, held = F.lit(False), F.lit(False)
     for name in languages:
         limit = int(min(1.0, sample_rows / sizes[name]) * (2**31 - 1))
         part = part | ((F.col("lang") == F.lit(name)) & (F.col("h") <= F.lit(limit)))
-    sample = usable.where(part).select("lang", "text")
+        if sizes[name] >= LEAST_CALIBRATED:
+            held = held | ((F.col("lang") == F.lit(name)) & (F.pmod(F.xxhash64("key", F.lit("held")), F.lit(CALIBRATION)) == 0))
+    # equal rows are one, so that the bound holds
+    sample = usable.where(part).withColumn("held", held).dropDuplicates(["lang", "key"])
+    counting, checking = (sample.where(c).select("lang", "text") for c in (~F.col("held"), F.col("held")))
     number = {name: i for i, name in enumerate(languages)}
 
     def count(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             texts = [letters_of(t) for t in batch.column(1).to_pylist()]
             codes, place, owner = codes_of(texts)
             lang = np.array([number[x] for x in batch.column(0).to_pylist()], np.int64)[owner] if len(codes) else np.zeros(0, np.int64)
@@ -215,23 +223,23 @@ def learn(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str
                 as_long = lambda x: pa.array(x[head].view(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(speech[head]), pa.array(np.full(len(head), n, np.int64)), as_long(gram), as_long(suffix), as_long(context), pa.array(counts)], names=["lang", "n", "gram", "suffix", "context", "c"])
 
-    counted = sample.mapInArrow(count, "lang long, n long, gram long, suffix long, context long, c long")
+    counted = counting.mapInArrow(count, "lang long, n long, gram long, suffix long, context long, c long")
     # bounded by the sample: the n-grams of about sample_rows texts of each language
     table = counted.groupBy("lang", "n", "gram").agg(F.first("suffix").alias("suffix"), F.first("context").alias("context"), F.sum("c").alias("c")).toArrow()
     column = lambda name: table.column(name).to_numpy()
     alphabet = len(np.unique(column("gram")[column("n") == 1]))
     models = kneser_ney(languages, order, column("lang"), column("n"), column("gram").view(np.uint64), column("suffix").view(np.uint64), column("context").view(np.uint64), column("c"), alphabet)
-    _calibrate(sample, models, reject_share)
+    _calibrate(checking, models, reject_share)
     return models
 
 
 def _calibrate(sample: DataFrame, models: Models, reject_share: float) -> None:
-    """Each language's limit of the cross-entropy, and the softmax temperature, from the sample's texts."""
+    """Each language's limit of the cross-entropy, and the softmax temperature, from texts that were not counted."""
     held = sample.sparkSession.sparkContext.broadcast(models)
     number = {name: i for i, name in enumerate(models.languages)}
 
     def measure(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             entropy, sizes = held.value.entropies([letters_of(t) for t in batch.column(1).to_pylist()])
             lang = np.array([number[x] for x in batch.column(0).to_pylist()], np.int64)
             rows = np.arange(len(lang))
@@ -246,6 +254,8 @@ def _calibrate(sample: DataFrame, models: Models, reject_share: float) -> None:
     for i in range(len(models.languages)):
         if (lang == i).any():
             models.limits[i] = np.quantile(own[lang == i], 1 - reject_share)
+    if not len(lang):
+        return
     # the likeliest temperature of a grid for two-way decisions by the margin
     grid = 2.0 ** np.arange(-6, 3)
     models.temperature = float(grid[np.argmin([np.logaddexp(0, -g * margin).sum() for g in grid])])
@@ -259,11 +269,9 @@ def identify(docs: DataFrame, models: Models, text_col: str = "text") -> DataFra
     names = [*[f"c{i}" for i in range(size)], *new.names]
 
     def decide(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                rows = batch.slice(at, 500)
-                found, score, entropy, rejected = held.value.decide([letters_of(t) for t in rows.column(size).to_pylist()])
-                yield pa.RecordBatch.from_arrays([*[rows.column(i) for i in range(size)], pa.array(found, pa.string()), pa.array(score), pa.array(entropy), pa.array(rejected)], names=names)
+        for rows in slices(batches, size):
+            found, score, entropy, rejected = held.value.decide([letters_of(t) for t in rows.column(size).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*[rows.column(i) for i in range(size)], pa.array(found, pa.string()), pa.array(score), pa.array(entropy), pa.array(rejected)], names=names)
 
     schema = T.StructType([T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(carried)] + new.fields)
     rows = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(carried)], F.col(text_col).cast("string").alias("__text"))

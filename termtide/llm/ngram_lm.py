@@ -320,7 +320,7 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     taken = {f.name for f in NEW_COLUMNS.fields}
     carried = [c for c in docs.columns if c.lower() not in taken]
     blocks = block_count(docs, text_col)
-    rows = docs.select(block_of(blocks, F.col(id_col)).alias("__block"), F.col(text_col).cast("string").alias("__text"), train.alias("__train"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carried)])
+    rows = docs.select(block_of(blocks, F.col(id_col), F.col(text_col)).alias("__block"), F.col(text_col).cast("string").alias("__text"), train.alias("__train"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carried)])
     bare = rows.select("__block", "__text", "__train")
     told = staged(bare.groupBy("__block").applyInArrow(_count_block(order, blocks), _COUNTS).groupBy("bucket").applyInArrow(_answer(gather=False), _TOLD), "lm-counts")
     sizes = told.agg(F.sum("words").alias("v"), F.sum("total").alias("n")).first()

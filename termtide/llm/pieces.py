@@ -29,11 +29,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from .exchange import slices
 from .suffix_sort import ranges
 
 MARK = "▁"
 UNKNOWN = 10.0
-SLICE = 1000
 LITERAL = f"x{MARK}"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -181,17 +181,15 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text") -> D
 
     def run(batches):
         known = held.value
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                rows = batch.slice(at, SLICE)
-                texts = [t or "" for t in rows.column(size).to_pylist()]
-                ids, offsets = encode_texts(texts, known)
-                back = decode_ids(ids, offsets, known)
-                new = [
-                    pa.array(np.diff(offsets)), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids, pa.int32())),
-                    pa.array([hashlib.sha256(b).hexdigest() for b in back], pa.string()), pa.array([b == t.encode("utf-8", "surrogatepass") for b, t in zip(back, texts)], pa.bool_()),
-                ]
-                yield pa.RecordBatch.from_arrays([*[rows.column(i) for i in range(size)], *new], names=names)
+        for rows in slices(batches, size):
+            texts = [t or "" for t in rows.column(size).to_pylist()]
+            ids, offsets = encode_texts(texts, known)
+            back = decode_ids(ids, offsets, known)
+            new = [
+                pa.array(np.diff(offsets)), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids, pa.int32())),
+                pa.array([hashlib.sha256(b).hexdigest() for b in back], pa.string()), pa.array([b == t.encode("utf-8", "surrogatepass") for b, t in zip(back, texts)], pa.bool_()),
+            ]
+            yield pa.RecordBatch.from_arrays([*[rows.column(i) for i in range(size)], *new], names=names)
 
     schema = T.StructType([T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(carried)] + NEW_COLUMNS.fields)
     rows = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(carried)], F.col(text_col).cast("string").alias("__text"))

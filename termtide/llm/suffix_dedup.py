@@ -267,7 +267,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     taken = {f.name for f in NEW_COLUMNS.fields}
     carried = [c for c in docs.columns if c.lower() not in taken]
     blocks = block_count(docs, text_col)
-    rows = docs.select(block_of(blocks, F.col(id_col)).alias("__block"), F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("__text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carried)])
+    rows = docs.select(block_of(blocks, F.col(id_col), F.col(text_col)).alias("__block"), F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("__text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carried)])
     bare = rows.select("__block", "__id", "__text")
 
     def ask(part: pa.Table) -> pa.Table:

@@ -12,7 +12,7 @@ stand in ``min_rows`` sampled texts at least and whose presence differs between
 the labels (chi-squared), ``max_terms`` at most, which bounds what is broadcast.
 
 Definitions: a null or empty text has no terms and gets the score of the bias
-alone. Rows with a null label or a null training mark are not learnt from. If no
+alone. Of several texts with one id the one with the smallest hash is learnt from. Rows with a null label or a null training mark are not learnt from. If no
 row, or only one label, can be learnt from, the score is the share of label 1, or
 0 without any row. A document with several labels counts once for each of them.
 Repeated rows are each scored. Input columns named like a result column are
@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .exchange import flat_text, mix64, staged
+from .exchange import flat_text, mix64, slices, staged
 from .words import LETTERS_ONLY, word_hashes, word_spans
 
 SAMPLE_ROWS = 20_000
@@ -83,14 +83,14 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
-def choose_terms(values: np.ndarray, rows: np.ndarray, toxic: np.ndarray, n: int, positive: float, min_rows: int, max_terms: int) -> np.ndarray:
-    """Sorted hashes of the terms whose presence depends on the label most; rows and toxic rows have each term."""
-    expected = rows * positive / n
-    variance = expected * (1 - positive / n) * (n - rows) / n
-    chi = np.divide((toxic - expected) ** 2, variance, out=np.zeros(len(values)), where=variance > 0)
-    good = np.flatnonzero((rows >= min_rows) & (chi >= CHI_SQUARED))
-    best = good[np.lexsort((values[good], -chi[good]))][:max_terms]
-    return np.sort(values[best])
+def choose_terms(counts: DataFrame, n: int, positive: float, min_rows: int, max_terms: int) -> DataFrame:
+    """The ``max_terms`` terms (term) whose presence depends on the label most, of (term, rows, toxic rows) that have each."""
+    share = positive / n if n else 0.0
+    expected = F.col("rows") * share
+    variance = expected * (1 - share) * (n - F.col("rows")) / max(n, 1)
+    chi = F.when(variance > 0, F.pow(F.col("toxic") - expected, 2) / variance).otherwise(0.0)
+    good = counts.withColumn("chi", chi).where((F.col("rows") >= min_rows) & (F.col("chi") >= CHI_SQUARED))
+    return good.orderBy(F.desc("chi"), "term").limit(max_terms).select("term")
 
 
 def fit_machine(text: np.ndarray, term: np.ndarray, labels: np.ndarray, known: np.ndarray) -> Machine:
@@ -143,11 +143,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # bounded by sample_rows, so it may be broadcast
     chosen = F.broadcast(chosen.orderBy("__h", "__id", "__label").limit(sample_rows))
     sample = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text")).join(chosen, "__id").select("__h", "__label", "__text")
-    # several documents may have one id: one of them is enough, so that the bound holds for texts, too
-    sample = sample.dropDuplicates(["__h", "__label"])
+    # several documents may have one id: the text of the smallest hash, so that the bound holds for texts, too
+    sample = sample.groupBy("__h", "__label").agg(F.min_by("__text", F.xxhash64("__text")).alias("__text"))
 
     def terms(batches):
-        for batch in batches:
+        for batch in slices(batches, 2):
             data, offsets = flat_text(pa.chunked_array([batch.column("__text")]))
             text, hashes = term_sets(data, offsets)
             edges = np.searchsorted(text, np.arange(batch.num_rows + 1)).astype(np.int32)
@@ -157,9 +157,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     schema = T.StructType().add("h", "long").add("label", "double").add("terms", T.ArrayType(T.LongType()))
     rows = staged(sample.mapInArrow(terms, schema), "toxic-terms")
     size = rows.agg(F.count("*").alias("n"), F.sum("label").alias("positive")).first()
-    counts = rows.select("label", F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n"), F.sum("label").alias("toxic")).where(F.col("n") >= MIN_ROWS).toArrow()
-    column = lambda name: counts.column(name).to_numpy()
-    known = choose_terms(column("term").view(np.uint64), column("n").astype(float), column("toxic"), size["n"], size["positive"] or 0.0, MIN_ROWS, MAX_TERMS) if size["n"] else np.zeros(0, np.uint64)
+    counts = rows.select("label", F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").cast("double").alias("rows"), F.sum("label").alias("toxic"))
+    chosen_terms = choose_terms(counts, size["n"], size["positive"] or 0.0, MIN_ROWS, MAX_TERMS)
+    known = np.sort(chosen_terms.toArrow().column("term").to_numpy().view(np.uint64))
 
     def places(batches):
         for batch in batches:
@@ -181,7 +181,7 @@ def score_texts(docs: DataFrame, machine: Machine, text_col: str = "text", score
 
     def score(batches):
         model = held.value
-        for batch in batches:
+        for batch in slices(batches, size):
             data, offsets = flat_text(pa.chunked_array([batch.column(size)]))
             values = model.scores(*_indexes(*term_sets(data, offsets, model.terms)), batch.num_rows)
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(size)], pa.array(values), pa.array((values >= 0.5).astype(np.int32))], names=names)

@@ -13,7 +13,8 @@ source's header lines), block. ``records_to_text`` and ``read_records`` go to WA
 files and back; reading splits files at record starts, so one large file is read by
 many tasks only if it is not compressed.
 
-Definitions: null html, url or other parts count as empty. A response whose block has
+Definitions: null html, url or other parts count as empty; a source without a record id
+gets one from its target, date and block. A response whose block has
 no empty line has headers only. Header names are compared without case. Repeated rows
 give repeated records, of the same ids. An empty table gives an empty result. Extra
 columns of the source are not carried: a record has the columns above.
@@ -28,6 +29,7 @@ from base64 import b32encode
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from .exchange import slices
 from .markup import plain_text
 
 RECORD = T.StructType()
@@ -64,7 +66,7 @@ def responses(pages: DataFrame, date: str, id_col: str = "page_id", url_col: str
     head = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
 
     def make(batches):
-        for batch in batches:
+        for batch in slices(batches, 2):
             out = []
             for number, url, html in zip(*(c.to_pylist() for c in batch.columns)):
                 body = (html or "").encode()
@@ -87,8 +89,10 @@ def _derive(source: dict) -> list[dict]:
     kinds = [line.partition(":")[2].strip().lower() for line in lines if line.partition(":")[0].strip().lower() == "content-type"]
     code = (status.split(" ") + ["", ""])[1]
     is_page = code == "200" and any(k.startswith(("text/html", "application/xhtml+xml")) for k in kinds)
-    own, uri, date = source["record_id"] or "", source["target_uri"] or "", source["date"] or ""
+    uri, date = source["target_uri"] or "", source["date"] or ""
     payload = source["payload_digest"] or digest(body.encode())
+    # a source without an id is named by what it holds
+    own = source["record_id"] or record_id("response", uri, date, digest(block.encode()))
     link = {"refers_to": own, "target_uri": uri, "date": date, "payload_digest": payload, "headers": headers}
     metadata, conversion = record_id("metadata", own), record_id("conversion", own)
     fields = [f"source-status: {code}", *[f"source-header: {line}" for line in lines if line], f"source-block-digest: {source['block_digest'] or digest(block.encode())}", f"source-payload-digest: {payload}"]
@@ -108,10 +112,9 @@ def derive(records: DataFrame) -> DataFrame:
     names = ("record_id", "target_uri", "date", "block_digest", "payload_digest", "block")
 
     def make(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                rows = zip(*(c.to_pylist() for c in batch.slice(at, 500).columns))
-                yield _table([new for row in rows for new in _derive(dict(zip(names, row)))])
+        for batch in slices(batches, names.index("block")):
+            rows = zip(*(c.to_pylist() for c in batch.columns))
+            yield _table([new for row in rows for new in _derive(dict(zip(names, row)))])
 
     return records.where("warc_type = 'response'").select(*names).mapInArrow(make, RECORD)
 
@@ -132,7 +135,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
     def line(name: str) -> Column:
         own = F.filter(lines, lambda x: F.lower(x).startswith(name.lower() + ":"))
-        return F.trim(F.substring(F.get(own, F.lit(0)), len(name) + 2, 1 << 20))
+        return F.trim(F.regexp_replace(F.get(own, F.lit(0)), r"\A[^:]*:", ""))
 
     # the two empty lines after the block belong to the file, not to the record
     clean = F.regexp_replace(block, "\r\n\r\n\\z", "")

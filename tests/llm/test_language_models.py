@@ -21,7 +21,7 @@ def words(text):
 def exact(rows, train):
     counts = collections.Counter(w for row, t in zip(rows, train) if t for w in words(row[1]))
     total, kinds = sum(counts.values()), len(counts)
-    return [(len(words(t)), sum(counts[w] > 0 for w in words(t)), total, sum(math.log10((counts[w] + 1) / (total + kinds + 1)) for w in words(t))) for _, t in rows]
+    return [(len(words(t)), sum(counts[w] > 0 for w in words(t)), total, sum(math.log10((counts[w] + 1) / (total + kinds + 1)) for w in words(t))) for _, t, *_ in rows]
 
 
 def test_query_has_exact_base_scores_and_a_better_model(spark):

@@ -43,3 +43,21 @@ def test_empty_tables(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
     for _, stage in cp.STAGES:
         assert stage(spark, docs, sf).collect() == []
+
+
+def test_odd_rows_and_clashing_names(spark, sf):
+    """Columns named like the operators' own pass through; nulls and repeated rows are rows like any other."""
+    names = ("score", "predicted", "toxic_score", "n_shingles", "component_id", "kept", "spans", "n_bytes", "n_removed", "n_spans", "kept_sha256", "label", "node")
+    clean = "a plain text on rivers, hills and the weather of the year %d, with some words more"
+    rows = [(1, clean % 1), (2, None), (None, "gardens and kitchens " + clean % 2), (3, ""), (4, "short"), (4, "short"), (5, clean % 1), (6, "trees " * 30_000)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names)
+    docs = spark.createDataFrame([(*r, "en", "s", len(r[1] or ""), *[f"own {n}" for n in names]) for r in rows], schema)
+    for k, (name, stage) in enumerate(cp.STAGES):
+        out = stage(spark, docs, sf)
+        got = out.collect()
+        if k < 4:
+            assert out.columns == docs.columns
+        assert all(r[n] == f"own {n}" for r in got for n in names)
+        ids = sorted((r.doc_id is None, r.doc_id or 0) for r in got)
+        want = [(False, i) for i in ((1, 2, 3, 4, 4, 6) if name == "near_duplicates" else (1, 2, 3, 4, 4, 5, 6))] + [(True, 0)]
+        assert ids == want, name
