@@ -9,8 +9,10 @@ only some bytes are left becomes U+FFFD; n_chars is counted anew; null texts sta
 and texts may become empty. contamination: documents with a passage within a tenth of a
 benchmark item's length in edits of it go. encoding: piece ids that decode to the text.
 
-All stages but the last return the columns of documents; the last adds n_pieces, ids,
-decoded_sha256 and round_trip. Empty tables pass through.
+All stages but the last return the columns of documents, further ones and ones named like
+an operator's own included; the last adds n_pieces, ids, decoded_sha256 and round_trip, which
+replace columns of these names. Null ids and texts and repeated rows are rows like any other:
+each stage does with them what its operator defines. Empty tables pass through.
 """
 
 from __future__ import annotations
@@ -22,25 +24,36 @@ from termtide.llm.exchange import staged
 from termtide.llm.shipping import ship
 
 
+def _aside(docs: DataFrame):
+    """The rows with all columns but doc_id and text under names that no stage uses, and the way back."""
+    names = {c: f"__{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+
+    def back(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(names.get(c, c)).alias(c) for c in docs.columns])
+
+    return docs.select(*[F.col(c).alias(names.get(c, c)) for c in docs.columns]), back
+
+
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     machine = toxicity.learn(documents, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.score_texts(docs, machine, score_name="toxic_score", predicted_name="toxic_predicted")
-    return scored.where("toxic_predicted = 0").select(*docs.columns)
+    rows, back = _aside(docs)
+    return back(toxicity.score_texts(rows, machine).where("predicted = 0"))
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    linked = ngram_join.link_documents(docs, size=5, percent=80)
-    return linked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(*docs.columns)
+    rows, back = _aside(docs)
+    return back(ngram_join.link_documents(rows, size=5, percent=80).where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    cut = suffix_dedup.remove_repeats(docs, length=50)
+    rows, back = _aside(docs)
     text = F.when(F.col("text").isNotNull(), F.when(F.col("n_removed") > 0, F.make_valid_utf8(F.col("kept").cast("string"))).otherwise(F.col("text")))
-    return cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    cut = back(suffix_dedup.remove_repeats(rows, length=50).withColumn("text", text))
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
