@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from ..functions import series
+from ..config import KNOWN_LOGS
 from ..operators import enrich, responses as op
 from ..schemas import DISCOVERED
 from ..session import new_folder, stage
@@ -158,7 +159,11 @@ def volume_raw(spark, sf):
 @query("flatten_volume", f"""WITH {sql.DISC}, {sql.METRICS} SELECT keyword, location_code, language_code, search_volume, n_months::BIGINT AS n_months, v0 AS latest_month_searches,
     trend_3m, trend_12m, cpc, competition, competition_index FROM metrics_t""")
 def flatten_volume(spark, sf):
-    rows = op.flatten_volume(volume_raw(spark, sf))
+    """Volume responses of a log on disk that holds result pages as well: only their folders are read."""
+    log = new_folder(spark, "log")
+    raw_io.append_raw(volume_raw(spark, sf), log)
+    raw_io.append_raw(serp_raw(spark, sf), log)
+    rows = op.flatten_volume(raw_io.read_raw(spark, log))
     return rows.select(
         "keyword", "location_code", "language_code", "search_volume", F.size("monthly_searches").cast("bigint").alias("n_months"),
         "latest_month_searches", "trend_3m", "trend_12m", "cpc", "competition", "competition_index",
@@ -329,22 +334,27 @@ def _logged(spark, sf, times=1):
 
 @query("stream_intake", _found("true"))
 def stream_intake(spark, sf):
-    """The log folder taken in as a stream and flattened on the way."""
-    sink, checkpoint = new_folder(spark, "discovered"), new_folder(spark, "stream")
-    intake.run_available(intake.stream_raw(spark, _logged(spark, sf)), sink, checkpoint, op.discovered)
+    """The discovery logs of a folder that has others, too, taken in as a stream and flattened on the way."""
+    sink, checkpoint, log = new_folder(spark, "discovered"), new_folder(spark, "stream"), _logged(spark, sf)
+    raw_io.append_raw(serp_raw(spark, sf), log)
+    intake.run_available(intake.stream_raw(spark, log, logs=KNOWN_LOGS), sink, checkpoint, op.discovered)
     return spark.read.schema(DISCOVERED).parquet(sink).drop("collected_at")
 
 
-@query("stream_dedupe", f"""WITH {CALLS} SELECT DISTINCT source_endpoint AS log, CASE source_endpoint WHEN 'keywords_for_site' THEN '{SITE}' ELSE source_term END AS subject,
-    location_code, language_code, strftime(collected_at, '%Y-%m') AS bucket FROM calls""")
+@query("stream_dedupe", f"""WITH {CALLS}, keyed AS (SELECT source_endpoint AS log,
+      CASE source_endpoint WHEN 'keywords_for_site' THEN '{SITE}' WHEN 'keyword_ideas' THEN 'terms:' || sha1(source_term) ELSE source_term END AS subject,
+      location_code, language_code, strftime(collected_at, '%Y-%m') AS bucket, collected_at FROM calls)
+    SELECT log, subject, location_code, language_code, bucket, strftime(min(collected_at), '%Y-%m-%d %H:%M:%S') AS collected, 1::BIGINT AS responses
+    FROM keyed GROUP BY log, subject, location_code, language_code, bucket""")
 def stream_dedupe(spark, sf):
-    """A log with every response twice, taken in by two runs; one per reuse key remains."""
+    """A log taken in by two runs, the later half of its responses first, then all of them; one per reuse key remains."""
     sink, checkpoint = new_folder(spark, "responses"), new_folder(spark, "stream")
     raw, log = raw_io.parse_raw(stage(discovery_log(spark, sf), "lines")), new_folder(spark, "log")
-    for _ in range(2):
-        raw_io.append_raw(raw, log)
-        intake.dedupe_available(intake.stream_raw(spark, log), sink, checkpoint)
-    return spark.read.parquet(sink).select(*intake.REUSE_COLUMNS)
+    for part in (raw.where("collected_at >= '1995-07-01'"), raw):
+        raw_io.append_raw(part, log)
+        intake.dedupe_available(intake.stream_raw(spark, log, files_per_batch=200), sink, checkpoint)
+    kept = intake.kept_responses(raw_io.read_raw(spark, log), intake.kept_keys(spark, sink))
+    return kept.groupBy(*intake.REUSE_COLUMNS).agg(F.date_format(F.min("collected_at"), "yyyy-MM-dd HH:mm:ss").alias("collected"), F.count("*").alias("responses"))
 
 
 @query("changed_entities", """SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'new' ELSE 'changed' END AS change FROM documents WHERE doc_id % 7 = 0 OR doc_id % 5 = 0""")

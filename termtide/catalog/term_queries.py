@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..config import IDEAS_TERMS
+from ..config import IDEAS_TERMS, KNOWN_LOGS
 from ..functions.text import clean
 from ..operators import planning, terms as op
 from ..session import new_folder, stage
 from ..schemas import CANDIDATES
-from ..sources import tables
+from ..sources import raw as raw_io, tables
+from ..streaming import intake
 from . import fixtures as fx, sql
 from .registry import query
 
@@ -173,11 +174,27 @@ def call_budget(spark, sf):
     return planning.cap_calls(_plan(spark, sf), 200)
 
 
-@query("uncached_requests", f"WITH {PLAN} SELECT * FROM plan WHERE call_idx % 2 = 1")
+@query("uncached_requests", f"WITH {PLAN} SELECT * FROM plan WHERE call_idx % 3 = 0 AND endpoint <> 'keyword_ideas'")
 def uncached_requests(spark, sf):
-    plan = stage(_plan(spark, sf), "plan")
-    keyed = plan.withColumns(
-        {"location_code": F.lit(2840), "language_code": F.lit(None).cast("string"), "bucket": F.lit("2024-01")}
+    """Two calls in three, of all four kinds, have a response in a written log of that month, the others one of another month."""
+    terms = stage(planning.select_terms(fx.candidates(spark, sf), LIMIT), "terms")
+    plan = stage(planning.plan_discovery(terms, ("one.example", "two.example"), "term"), "plan")
+    several = terms.orderBy("term").limit(IDEAS_TERMS).agg(F.collect_list("term")).scalar()
+    kind = F.col("endpoint")
+    request = F.struct(
+        F.when(kind.isin("keyword_suggestions", "related_keywords"), F.col("subject")).alias("keyword"),
+        F.when(kind == "keyword_ideas", F.reverse(several)).alias("keywords"),
+        F.when(kind == "keywords_for_site", F.substring("subject", 6, 1000)).alias("target"),
+        F.lit(2840).alias("location_code"), F.lit(None).cast("string").alias("language_code"),
     )
-    cache = keyed.where("call_idx % 2 = 0")
-    return planning.uncached(keyed, cache).select("call_idx", "endpoint", "subject", "n_terms")
+    answered = (F.col("call_idx") % 3 != 0) | (kind == "keyword_ideas")
+    envelope = F.struct(
+        F.concat(F.lit("/v3/labs/"), kind, F.lit("/live")).alias("endpoint"), F.array(request).alias("request"),
+        F.struct(F.lit(20000).alias("status_code")).alias("response"),
+        F.when(answered, "2024-01-31T23:00:00Z").otherwise("2024-02-01T01:00:00Z").alias("collected_at"),
+    )
+    log = new_folder(spark, "log")
+    raw_io.append_raw(raw_io.parse_raw(plan.select(F.to_json(envelope).alias("value"))), log)
+    logged = intake.reuse_key(raw_io.read_raw(spark, log, logs=KNOWN_LOGS))
+    keyed = planning.with_reuse_key(plan, terms, "term", location_code=2840, language_code=None, bucket="2024-01")
+    return planning.without_logged(keyed, logged).select("call_idx", "endpoint", "subject", "n_terms")

@@ -168,6 +168,12 @@ class CrawlLimits:
 VOLUME_BATCH = 1000
 TRENDS_BATCH = 5
 IDEAS_TERMS = 200
+
+# The calls a single term gets, in order; those for several terms and for sites; the logs known by them.
+TERM_ENDPOINTS = ("keyword_suggestions", "related_keywords")
+IDEAS_ENDPOINT = "keyword_ideas"
+SITE_ENDPOINT = "keywords_for_site"
+KNOWN_LOGS = (*TERM_ENDPOINTS, IDEAS_ENDPOINT, SITE_ENDPOINT)
 MAX_CALLS = 200
 SERP_SHORTLIST = 25
 TRENDS_SHORTLIST = 50

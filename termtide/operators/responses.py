@@ -6,12 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..config import SERP_INTENT_OTHER, SERP_INTENTS
+from ..config import IDEAS_ENDPOINT, SERP_INTENT_OTHER, SERP_INTENTS, SITE_ENDPOINT, TERM_ENDPOINTS
 from ..functions import series
 from ..functions.text import to_number
 from ..schemas import DISCOVERED, METRICS, SERP_INTENT, TREND_TABLE
-from ..sources.raw import log_name
-from .planning import IDEAS_ENDPOINT, IDEAS_SOURCE, SITE_ENDPOINT, TERM_ENDPOINTS
+from ..sources.raw import log_of
+from .planning import IDEAS_SOURCE
 
 OK = 20000
 GRAPH = "google_trends_graph"
@@ -29,18 +29,10 @@ def is_ok(status: Column) -> Column:
 def usable(raw: DataFrame, *endpoints: str) -> DataFrame:
     """Envelopes whose response as a whole succeeded, of the given endpoints."""
     kept = raw.where(is_ok(F.col("response.status_code")))
-    named = kept.withColumn("source_endpoint", _endpoint_name("endpoint"))
+    named = kept.withColumn("source_endpoint", log_of(raw))
     return named.where(F.col("source_endpoint").isin(*endpoints)) if endpoints else named
 
 
-def _endpoint_name(endpoint: str) -> Column:
-    """The known endpoint a logged path belongs to, else its own log name."""
-    name = F.when(F.lit(False), "")
-    for known in (*TERM_ENDPOINTS, IDEAS_ENDPOINT, SITE_ENDPOINT):
-        name = name.when(F.col(endpoint).contains(known), known)
-    return name.otherwise(log_name(endpoint))
-
-
 def flatten_results(raw: DataFrame, *endpoints: str) -> DataFrame:
     """One row per result of every successful task, with its request."""
     tasks = usable(raw, *endpoints).select(

@@ -1,14 +1,21 @@
-"""The append-only log of raw responses: one JSON object per line."""
+"""The append-only log of raw responses: one JSON object per line, foldered by log and day."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ..config import KNOWN_LOGS
 from ..schemas import ENVELOPE, empty
 
+# an envelope with the folders that it lies in
+LOGGED = T.StructType(ENVELOPE.fields + [T.StructField("log", T.StringType()), T.StructField("dt", T.StringType())])
+# what lies beside the folders of logs: older files, at any depth
+_BESIDE = "{[^l_.]*,l,l[^o]*,lo,lo[^g]*,log,log[^=]*}"
+
 
 def stamped(raw: DataFrame) -> DataFrame:
     """Envelopes read from files, with the day of the file's name or folder where a line has no time."""
@@ -17,18 +24,59 @@ def stamped(raw: DataFrame) -> DataFrame:
     return raw.withColumn("collected_at", time)
 
 
-def read_raw(spark: SparkSession, path: str, logs: Sequence[str] = ()) -> DataFrame:
-    """All logged envelopes under a path, or those of some logs; blank lines drop out, a missing path is empty.
+def _named(raw: DataFrame) -> DataFrame:
+    """Envelopes of older files, under the folders in which they would be written now."""
+    return raw.withColumns({"log": log_name("endpoint"), "dt": day_stamp("collected_at")})
+
+
+def _folders(path: str, logs: Sequence[str], days: Sequence[str]) -> str:
+    def one(name: str, values: Sequence[str]) -> str:
+        return f"{name}={{{','.join(values)}}}" if values else f"{name}=*"
+
+    return f"{path}/{one('log', logs)}/{one('dt', days)}"
 
-    Given logs, only their folders (``log=..``) are listed and read.
+
+def read_raw(spark: SparkSession, path: str, logs: Sequence[str] = (), days: Sequence[str] = ()) -> DataFrame:
+    """All logged envelopes under a path with their ``log`` and day (``dt``), or those of some; blank lines drop out.
+
+    Both are partition columns: a filter on them is a filter on folders, and given logs or
+    days only their folders are listed. Older files beside the folders are read as well,
+    their log and day come from the lines. A missing path is empty.
     """
-    within = f"{path}/log={{{','.join(logs)}}}" if logs else path
+    foldered = _found(spark.read.schema(LOGGED).option("basePath", path), _folders(path, logs, days))
+    beside = _found(spark.read.schema(ENVELOPE).option("recursiveFileLookup", "true"), f"{path}/{_BESIDE}")
+    if foldered is None and beside is None:
+        # the path of a single file, or nothing
+        beside = _found(spark.read.schema(ENVELOPE).option("pathGlobFilter", "[^_.]*"), path)
+    if beside is not None:
+        beside = _named(beside)
+        for column, values in (("log", logs), ("dt", days)):
+            beside = beside.where(F.col(column).isin(*values)) if values else beside
+    parts = [p for p in (foldered, beside) if p is not None]
+    return reduce(DataFrame.unionByName, parts) if parts else empty(spark, LOGGED)
+
+
+def _found(reader, path: str) -> DataFrame | None:
     try:
-        return stamped(spark.read.schema(ENVELOPE).option("recursiveFileLookup", "true").json(within))
+        return stamped(reader.json(path))
     except AnalysisException as exc:
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise
-        return empty(spark, ENVELOPE)
+        return None
+
+
+def stream_raw(spark: SparkSession, path: str, files_per_batch: int | None = None, logs: Sequence[str] = (), days: Sequence[str] = ()) -> DataFrame:
+    """``read_raw`` as a stream: a run takes the files that earlier runs have not, also of folders that are new."""
+
+    def reader(schema: T.StructType):
+        made = spark.readStream.schema(schema)
+        return made.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else made
+
+    foldered = stamped(reader(LOGGED).option("basePath", path).json(_folders(path, logs, days)))
+    beside = _named(stamped(reader(ENVELOPE).option("recursiveFileLookup", "true").json(f"{path}/{_BESIDE}")))
+    for column, values in (("log", logs), ("dt", days)):
+        beside = beside.where(F.col(column).isin(*values)) if values else beside
+    return foldered.unionByName(beside)
 
 
 def parse_raw(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -38,9 +86,21 @@ def parse_raw(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def log_name(endpoint: Column | str) -> Column:
-    """Log a call belongs to: the endpoint's last segment that is not the mode."""
+    """Log a call belongs to: the known one in its path, else the path's last segment that is not the mode."""
     col = F.col(endpoint) if isinstance(endpoint, str) else endpoint
-    return F.regexp_extract(col, r"([A-Za-z0-9_]+)(?:/(?:live|advanced|explore))*/?$", 1)
+    name = F.when(F.lit(False), "")
+    for known in KNOWN_LOGS:
+        name = name.when(col.contains(known), known)
+    return name.otherwise(F.regexp_extract(col, r"([A-Za-z0-9_]+)(?:/(?:live|advanced|explore))*/?$", 1))
+
+
+def log_of(raw: DataFrame) -> Column:
+    """The log of each envelope: its folder where it was read from one, so that filters prune, else by its endpoint."""
+    return F.col("log") if "log" in raw.columns else log_name("endpoint")
+
+
+def day_stamp(time: str) -> Column:
+    return F.date_format(time, "yyyyMMdd")
 
 
 def append_raw(raw: DataFrame, path: str) -> None:
@@ -49,7 +109,5 @@ def append_raw(raw: DataFrame, path: str) -> None:
     Rebalancing gathers small folders into few files and splits a folder that
     most rows go to over several tasks.
     """
-    stamped = raw.withColumns(
-        {"log": log_name("endpoint"), "dt": F.date_format("collected_at", "yyyyMMdd")}
-    )
-    stamped.hint("rebalance", "log", "dt").write.mode("append").partitionBy("log", "dt").json(path)
+    placed = raw.withColumns({"log": log_name("endpoint"), "dt": day_stamp("collected_at")})
+    placed.hint("rebalance", "log", "dt").write.mode("append").partitionBy("log", "dt").json(path)

@@ -1,7 +1,10 @@
 """Nested responses: edge cases of shapes, statuses and missing parts; files and streams."""
 
 import json
+import os
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from termtide.operators import enrich, planning, responses
@@ -123,7 +126,8 @@ def test_raw_log_files(spark):
     raw_io.append_raw(raw, folder)
     raw_io.append_raw(raw, folder)
     back = raw_io.read_raw(spark, folder)
-    assert back.count() == 4 and back.exceptAll(raw.unionByName(raw)).count() == 0
+    assert back.count() == 4 and back.drop("log", "dt").exceptAll(raw.unionByName(raw)).count() == 0
+    assert {(r.log, r.dt) for r in back.collect()} == {("keyword_ideas", "20240506"), ("x", "20240607")}
     assert spark.read.json(folder).select("log", F.col("dt").cast("string")).distinct().count() == 2
 
 
@@ -170,10 +174,11 @@ def test_intake_takes_only_new_files_and_dedupes(spark):
     assert spark.read.schema(DISCOVERED).parquet(sink).count() == 6
     once, cp2 = new_folder(spark, "once"), new_folder(spark, "cp")
     intake.dedupe_available(intake.stream_raw(spark, log), once, cp2)
-    assert sorted(r.subject for r in spark.read.parquet(once).collect()) == ["k", "k2"]
+    assert sorted(r.subject for r in intake.kept_keys(spark, once).collect()) == ["k", "k2"]
     raw_io.append_raw(parsed(spark, call), log)
     intake.dedupe_available(intake.stream_raw(spark, log), once, cp2)
-    assert spark.read.parquet(once).count() == 2
+    assert intake.kept_keys(spark, once).count() == 2
+    assert sorted(r.subject for r in intake.kept_responses(raw_io.read_raw(spark, log), intake.kept_keys(spark, once)).collect()) == ["k", "k2"]
 
 
 def test_a_logged_call_is_not_planned_again(spark):
@@ -189,14 +194,92 @@ def test_a_logged_call_is_not_planned_again(spark):
     assert other.count() == 8
 
 
-def test_late_responses_stay(spark):
-    """Months out of order, one file per batch: nothing is lost, and a known key is not taken again."""
+def test_late_responses_stay(spark, tmp_path):
+    """Months out of order, one file per batch, a batch that fails and a restart: the earliest response of each key stays."""
     log, sink, checkpoint = (new_folder(spark, n) for n in ("log", "sink", "cp"))
-    for at in ("2024-06-07", "2024-01-03", "2024-06-09", "2023-11-30"):
-        call = envelope("related_keywords", {"keyword": "k", **MARKET}, [{"result": []}], at=f"{at}T00:00:00Z")
-        raw_io.append_raw(parsed(spark, call), log)
+
+    def append(*days):
+        for at in days:
+            call = envelope("related_keywords", {"keyword": "k", **MARKET}, [{"result": [{"items": [{"keyword": at}]}]}], at=f"{at}T00:00:00Z")
+            raw_io.append_raw(parsed(spark, call), log)
+
+    def kept():
+        rows = intake.kept_responses(raw_io.read_raw(spark, log), intake.kept_keys(spark, sink))
+        return sorted((r.bucket, r.collected_at.day, r.response.tasks[0].result[0]["items"][0].keyword) for r in rows.collect())
+
+    append("2024-06-07")
     intake.dedupe_available(intake.stream_raw(spark, log, files_per_batch=1), sink, checkpoint)
-    assert sorted(r.bucket for r in spark.read.parquet(sink).collect()) == ["2023-11", "2024-01", "2024-06"]
+    # the second batch cannot be written at first
+    append("2024-01-03", "2024-06-09")
+    blocked = tmp_path / "file"
+    blocked.write_text("x")
+    with pytest.raises(StreamingQueryException):
+        intake.dedupe_available(intake.stream_raw(spark, log, files_per_batch=1), str(blocked), checkpoint)
+    append("2023-11-30", "2024-06-05")
+    intake.dedupe_available(intake.stream_raw(spark, log, files_per_batch=1), sink, checkpoint)
+    assert kept() == [("2023-11", 30, "2023-11-30"), ("2024-01", 3, "2024-01-03"), ("2024-06", 5, "2024-06-05")]
+    assert len([f for f in os.listdir(sink) if f.startswith("batch=")]) >= 5
+    # the keys of batches are not read back: a later run works without them
+    append("2024-06-01", "2024-01-04")
+    other = new_folder(spark, "sink")
+    intake.dedupe_available(intake.stream_raw(spark, log, files_per_batch=1), other, checkpoint)
+    assert sorted((r.bucket, r.collected_at.day) for r in intake.kept_keys(spark, other).collect()) == [("2024-01", 3), ("2024-06", 1)]
+
+
+def test_equally_early_responses_have_an_order(spark):
+    """Whichever comes first, the one of the smaller content hash stays; null times come last."""
+    calls = [envelope("organic/live", {"keyword": "k"}, [{"result": [{"items": [{"keyword": w}]}]}]) for w in "abcdef"]
+    kept = set()
+    for order in (calls, calls[::-1]):
+        log, sink, checkpoint = (new_folder(spark, n) for n in ("log", "sink", "cp"))
+        for call in order:
+            raw_io.append_raw(parsed(spark, call), log)
+        intake.dedupe_available(intake.stream_raw(spark, log, files_per_batch=2), sink, checkpoint)
+        kept |= {r.digest for r in intake.kept_keys(spark, sink).collect()}
+    assert len(kept) == 1
+
+
+def test_months_are_forgotten_on_request(spark):
+    log, sink, checkpoint = (new_folder(spark, n) for n in ("log", "sink", "cp"))
+    for at in ("2022-01-05", "2024-06-07", "2024-06-09", "2022-01-06", "2024-05-01"):
+        raw_io.append_raw(parsed(spark, envelope("organic/live", {"keyword": "k"}, [], at=f"{at}T00:00:00Z")), log)
+        intake.dedupe_available(intake.stream_raw(spark, log), sink, checkpoint, forget_after="400 days")
+    noted = spark.read.schema(intake.KEPT).parquet(sink)
+    # the second response of 2022 comes after that month's state has gone
+    assert noted.where("bucket = '2022-01'").count() == 1
+    assert sorted(r.bucket for r in intake.kept_keys(spark, sink).collect()) == ["2022-01", "2024-05", "2024-06"]
+
+
+def test_filters_reach_the_folders(spark, tmp_path):
+    """Folders by log and day are pruned, in tables and in streams; older files beside them are read all the same."""
+    log = str(tmp_path / "log")
+    volume = envelope("search_volume/live", {"keywords": ["a"]}, [{"result": [{"keyword": "a", "search_volume": 3}]}])
+    raw_io.append_raw(parsed(spark, volume, envelope("organic/live", {"keyword": "q"}, [], at="2024-06-07T00:00:00Z")), log)
+    (tmp_path / "log" / "old").mkdir()
+    (tmp_path / "log" / "old" / "20230401_volume.jsonl").write_text(volume.replace('"a"', '"b"') + "\n\n")
+    (tmp_path / "log" / "logs-20230402.jsonl").write_text(envelope("organic/live", {"keyword": "r"}, []) + "\n")
+    raw = raw_io.read_raw(spark, log)
+    assert sorted((r.log, r.dt) for r in raw.collect()) == [("organic", "20240506"), ("organic", "20240607"), ("search_volume", "20240506"), ("search_volume", "20240506")]
+    rows = responses.flatten_volume(raw)
+    assert sorted(r.keyword for r in rows.collect()) == ["a", "b"]
+    plan = rows._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(log" in plan and "search_volume" in plan.split("PartitionFilters: [isnotnull(log")[1][:200]
+    assert "PartitionFilters: [isnotnull(dt" in raw.where("dt = '20240607'")._jdf.queryExecution().toString()
+    one = raw_io.read_raw(spark, log, days=["20240607"])
+    assert [r.log for r in one.collect()] == ["organic"] and sum("log=" in f for f in one.inputFiles()) == 1
+    plans, found = [], []
+
+    def take(batch, _):
+        plans.append(batch._jdf.queryExecution().toString())
+        found.extend(r.keyword for r in batch.collect())
+
+    stream = responses.flatten_volume(intake.stream_raw(spark, log))
+    stream.writeStream.foreachBatch(take).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(found) == ["a", "b"]
+    some = intake.stream_raw(spark, log, logs=["organic"], days=["20240607"])
+    sink = str(tmp_path / "sink")
+    intake.run_available(some.select("log", "dt"), sink, str(tmp_path / "cp2"))
+    assert [tuple(r) for r in spark.read.parquet(sink).collect()] == [("organic", "20240607")]
 
 
 def test_a_log_without_times_takes_its_files_day(spark, tmp_path):
@@ -210,7 +293,7 @@ def test_only_the_folders_of_a_log_are_read(spark):
     folder = new_folder(spark, "t")
     raw_io.append_raw(parsed(spark, envelope("search_volume/live", {"keywords": ["a"]}, []), envelope("organic/live", {"keyword": "q"}, [])), folder)
     some = raw_io.read_raw(spark, folder, logs=["search_volume"])
-    assert some.count() == 1 and all("log=search_volume" in f for f in some.inputFiles())
+    assert some.count() == 1 and some.inputFiles() and all("log=search_volume" in f for f in some.inputFiles())
     assert raw_io.read_raw(spark, folder, logs=["none"]).count() == 0
 
 

@@ -87,8 +87,8 @@ def test_plan_and_budget_and_reuse(spark):
     assert capped.count() == 6 and capped.where("planned").count() == 2
     none = planning.plan_discovery(terms.where("false"), ["x.example"], "term").collect()
     assert [tuple(r) for r in none] == [(0, "keywords_for_site", "site:x.example", 0)]
-    cache = plan.where("call_idx = 0").withColumn("language_code", F.lit(None).cast("string"))
-    left = planning.uncached(plan.withColumn("language_code", F.lit(None).cast("string")), cache, ("endpoint", "subject", "language_code"))
+    keyed = planning.with_reuse_key(plan, terms, "term", location_code=1, language_code=None, bucket="2024-01")
+    left = planning.without_logged(keyed, keyed.where("call_idx = 0").select("reuse.*"))
     assert sorted(r.call_idx for r in left.collect()) == [1, 2, 3, 4, 5]
 
 
