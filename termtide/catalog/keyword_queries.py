@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..config import LANGUAGES, NEGATIVE_CATEGORIES
 from ..functions import scoring
 from ..functions.text import normalize_keyword
 from ..operators import cluster, containment, enrich, merge, report, score as sc, terms
-from ..session import stage
-from ..sources.tables import export_opportunities
+from ..session import new_folder, stage
+from ..sources.tables import export_clusters, export_opportunities
 from . import fixtures as fx, sql
 from .registry import query
 
@@ -253,6 +254,23 @@ def _vectors(spark, sf):
     return rows.select("vec_id", "embedding", "label", "keyword", (F.col("vec_id") % 17).alias("search_volume"))
 
 
+@query("dense_vectors", """WITH v AS (SELECT vec_id, embedding, sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))) AS norm FROM embeddings)
+    SELECT vec_id, unnest(range(len(embedding)))::BIGINT AS place, round(unnest(list_transform(embedding, lambda x: x::DOUBLE / norm)), 9) AS value FROM v""")
+def dense_vectors(spark, sf):
+    rows = cluster.dense_vectors(fx.table(spark, sf, "embeddings").select("vec_id", "embedding"), "embedding")
+    values = rows.select("vec_id", F.posexplode(vector_to_array("vector")).alias("place", "value"))
+    return values.select("vec_id", F.col("place").cast("bigint").alias("place"), F.round("value", 9).alias("value"))
+
+
+@query("grouped_names", """WITH n AS (SELECT count(*) AS rows_, count(DISTINCT p_name) AS names FROM part)
+    SELECT p_name AS keyword, count(*) AS rows, 1::BIGINT AS clusters, (SELECT least(names, greatest(2, least(12, rows_ // 3))) FROM n)::BIGINT AS clusters_of_all FROM part GROUP BY 1""")
+def grouped_names(spark, sf):
+    """Part names grouped from the bottom up: as many clusters as the rule says, and rows of one name together."""
+    grouped = stage(cluster.group_texts(fx.table(spark, sf, "part").select(F.col("p_name").alias("keyword")), "keyword"), "grouped")
+    total = grouped.agg(F.countDistinct("cluster_id")).scalar()
+    return grouped.groupBy("keyword").agg(F.count("*").alias("rows"), F.countDistinct("cluster_id").alias("clusters")).withColumn("clusters_of_all", total)
+
+
 @query("semantic_clusters")
 def semantic_clusters(spark, sf):
     rows = cluster.dense_vectors(_vectors(spark, sf), "embedding")
@@ -333,6 +351,16 @@ def cluster_summary(spark, sf):
     return report.cluster_summary(scored(spark, sf))
 
 
+@query("cluster_export", f"""WITH {sql.SCORED} SELECT cluster_label, count(keyword) AS keywords, coalesce(sum(search_volume), 0) AS total_volume,
+    sum(competition::DECIMAL(26, 12))::DOUBLE / nullif(count(competition), 0) AS avg_competition,
+    sum(opportunity_score::DECIMAL(26, 12))::DOUBLE / count(opportunity_score) AS avg_opportunity, arg_min(keyword, rank) AS best_keyword FROM scored GROUP BY 1""")
+def cluster_export(spark, sf):
+    """The cluster summary written as a report file and read back."""
+    folder, summary = new_folder(spark, "clusters"), report.cluster_summary(scored(spark, sf))
+    export_clusters(summary, folder)
+    return spark.read.schema(summary.schema).options(header=True, quote='"', escape='"', multiLine=True).csv(folder)
+
+
 KNOWN_CODES = (2840, 2826, 2376, 2643)
 
 

@@ -1,20 +1,19 @@
-"""Grouping keywords: character n-gram weights, cluster count, clusters, names."""
+"""Grouping keywords: character n-gram weights, cluster count, clusters from below (texts) or above (vectors), names."""
 
 from __future__ import annotations
 
 from pyspark.ml.clustering import BisectingKMeans
-from pyspark.ml.feature import IDF, ElementwiseProduct, HashingTF, Normalizer
+from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import as_column, clean
 from .containment import with_longest_entity
 from ..session import stage
-from .spread import lookup_join
+from .linkage import FEW, cut_tree, merge_tree
+from .spread import lookup_join, with_index
 
 GRAM_SIZES = (2, 3, 4)
-HASHED_FEATURES = 1 << 14
 SEED = 42
 
 
@@ -33,18 +32,21 @@ def char_grams(c: Column | str, sizes: tuple[int, ...] = GRAM_SIZES) -> Column:
     return F.concat(*[grams(n) for n in sizes])
 
 
-def tfidf_chars(df: DataFrame, key: str, column: str) -> DataFrame:
+def tfidf_chars(df: DataFrame, key: str, column: str, times: str | None = None) -> DataFrame:
     """Sparse rows (key, gram, weight): counts times smoothed idf, unit length per key.
 
-    ``key`` identifies a text. Every text counts into the idf, also one without grams.
+    ``key`` identifies a text. Every text counts into the idf, also one without grams,
+    as often as its ``times`` says.
     """
+    often = F.col(times) if times else F.lit(1)
     # used for the document counts, the weights and the norms: written once
     counts = stage(
-        df.select(key, F.explode(char_grams(column)).alias("gram")).groupBy(key, "gram").agg(F.count("*").cast("double").alias("tf")),
+        df.select(key, often.cast("long").alias("_times"), F.explode(char_grams(column)).alias("gram"))
+        .groupBy(key, "_times", "gram").agg(F.count("*").cast("double").alias("tf")),
         "gram-counts",
     )
-    in_docs = counts.groupBy("gram").agg(F.count("*").alias("df"))
-    total = df.agg(F.count("*")).scalar()
+    in_docs = counts.groupBy("gram").agg(F.sum("_times").alias("df"))
+    total = df.agg(F.sum(often)).scalar()
     idf = F.log((F.lit(1.0) + total) / (F.lit(1.0) + F.col("df"))) + 1.0
     weighted = lookup_join(counts, in_docs, on=["gram"], how="inner").select(
         key, "gram", (F.col("tf") * idf).alias("w")
@@ -53,15 +55,23 @@ def tfidf_chars(df: DataFrame, key: str, column: str) -> DataFrame:
     return weighted.join(norms, key).select(key, "gram", (F.col("w") / F.col("norm")).alias("weight"))
 
 
-def gram_vectors(df: DataFrame, column: str, into: str = "vector") -> DataFrame:
-    """Hashed n-gram tf-idf vectors of unit length: grams of one hash bucket share a weight, unlike in ``tfidf_chars``."""
-    grams = df.withColumn("_grams", char_grams(column))
-    counted = HashingTF(numFeatures=HASHED_FEATURES, inputCol="_grams", outputCol="_tf").transform(grams)
-    # the fitted vector has one number per hash bucket, whatever the data size
-    idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted).idf.toArray() + 1.0
-    scale = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol="_scaled")
-    scaled = scale.transform(counted)
-    return Normalizer(inputCol="_scaled", outputCol=into).transform(scaled).drop("_grams", "_tf", "_scaled")
+def group_texts(df: DataFrame, column: str, max_clusters: int = 12, few: int = FEW) -> DataFrame | None:
+    """Add ``cluster_id``: average linkage, from the bottom up, over n-gram tf-idf vectors; None for fewer than 3 rows.
+
+    Texts with the same words are one node, as heavy as they are many. Of equally near pairs
+    the one whose texts sort first merges first, so that equal tables give equal clusters.
+    """
+    n, k = df.agg(F.count("*").alias("n")).select("n", cluster_count(F.col("n"), max_clusters)).first()
+    if n < 3:
+        return None
+    form = clean(F.lower(as_column(column)))
+    texts = df.groupBy(form.alias("_form")).agg(F.count("*").alias("n"))
+    nodes = stage(with_index(texts, "_form", name="c"), "cluster-nodes")
+    weights = tfidf_chars(nodes, "c", "_form", "n").join(nodes.select("c", "n"), "c")
+    vectors = weights.select("c", "gram", (F.col("weight") * F.col("n")).alias("s"))
+    labels = cut_tree(nodes, merge_tree(vectors, nodes.select("c", "n"), few), k)
+    named = nodes.select("c", "_form").join(labels, "c").select("_form", "cluster_id")
+    return lookup_join(df.withColumn("_form", form), named, on=["_form"], how="inner").drop("_form")
 
 
 def dense_vectors(df: DataFrame, column: str, into: str = "vector") -> DataFrame:
@@ -76,7 +86,7 @@ def cluster_count(n: Column, max_clusters: int = 12) -> Column:
 
 
 def assign_clusters(df: DataFrame, vector: str = "vector", max_clusters: int = 12) -> DataFrame | None:
-    """Add ``cluster_id`` by top-down grouping; None when there are fewer than 3 rows."""
+    """Add ``cluster_id`` by top-down grouping of dense vectors; None when there are fewer than 3 rows."""
     n, k = df.agg(F.count("*").alias("n")).select("n", cluster_count(F.col("n"), max_clusters)).first()
     if n < 3:
         return None
@@ -101,8 +111,10 @@ def semantic_labels(
     df: DataFrame, entities: DataFrame | None, order: str, embedding: str | None = None, max_clusters: int = 12
 ) -> DataFrame:
     """Replace ``cluster_label`` by semantic cluster names; fewer than 3 rows stay as they are."""
-    vectors = dense_vectors(df, embedding) if embedding else gram_vectors(df, "keyword")
-    clustered = assign_clusters(vectors, max_clusters=max_clusters)
+    if embedding:
+        clustered = assign_clusters(dense_vectors(df, embedding), max_clusters=max_clusters)
+    else:
+        clustered = group_texts(df, "keyword", max_clusters)
     if clustered is None:
         return df
     names = name_clusters(clustered, "cluster_id", entities, order).select("cluster_id", "cluster_label")
