@@ -7,9 +7,11 @@ from pyspark.sql import Column, functions as F
 from ..functions import series
 from ..config import KNOWN_LOGS
 from ..operators import enrich, responses as op
+from ..plans import stages
 from ..schemas import DISCOVERED
 from ..session import new_folder, stage
 from ..sources import raw as raw_io
+from ..sources.versions import write_version
 from ..streaming import intake
 from . import fixtures as fx, sql
 from .keyword_queries import KEY, KEY_SQL, scored
@@ -247,6 +249,19 @@ def attach_serp(spark, sf):
     return joined.select(*KEY, "opportunity_score", "serp_intent", "serp_features", "serp_top_domains")
 
 
+@query("serp_stage", f"""WITH {sql.SCORED}, {LATEST_SERP}, asked AS (SELECT DISTINCT keyword_normalized AS keyword FROM scored WHERE rank < 2000)
+    SELECT {KEY_SQL}, s.opportunity_score, l.serp_intent, l.serp_features, l.serp_top_domains
+    FROM scored s LEFT JOIN (SELECT * FROM latest SEMI JOIN asked USING (keyword)) l ON l.keyword = s.keyword_normalized""")
+def serp_stage(spark, sf):
+    """The stage run twice on the table that it rewrites; the shortlist's length is its own parameter."""
+    master, log = new_folder(spark, "master"), new_folder(spark, "log")
+    write_version(scored(spark, sf).withColumn("keyword", F.col("keyword_normalized")), master)
+    raw_io.append_raw(serp_raw(spark, sf), log)
+    for _ in range(2):
+        rows = stages.refresh_serp(spark, master, log, 2000)
+    return rows.select(*KEY, "opportunity_score", "serp_intent", "serp_features", "serp_top_domains")
+
+
 @query("label_counts", f"""WITH {sql.SCORED}, {LATEST_SERP} SELECT l.serp_intent, count(*) AS n FROM scored s LEFT JOIN latest l ON l.keyword = s.keyword_normalized GROUP BY 1""")
 def label_counts(spark, sf):
     master = scored(spark, sf).withColumn("keyword", F.col("keyword_normalized"))
@@ -357,6 +372,19 @@ def stream_dedupe(spark, sf):
     return kept.groupBy(*intake.REUSE_COLUMNS).agg(F.date_format(F.min("collected_at"), "yyyy-MM-dd HH:mm:ss").alias("collected"), F.count("*").alias("responses"))
 
 
+@query("changed_and_gone", """SELECT doc_id, change, n_chars FROM (SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN 'gone' WHEN doc_id % 7 = 0 THEN 'new' ELSE 'changed' END AS change,
+      CASE WHEN doc_id % 11 <> 0 THEN length(text) + CASE WHEN doc_id % 5 = 0 THEN 5 ELSE 0 END END::BIGINT AS n_chars
+    FROM documents WHERE NOT (doc_id % 7 = 0 AND doc_id % 11 = 0) AND (doc_id % 11 = 0 OR doc_id % 7 = 0 OR doc_id % 5 = 0))""")
+def changed_and_gone(spark, sf):
+    """A run against the digests that the run before has kept: new, changed and vanished documents."""
+    docs = fx.table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    content = ["text", "lang", "source"]
+    kept = stage(intake.digests(docs.where("doc_id % 7 <> 0"), ["doc_id"], content), "digests")
+    now = docs.where("doc_id % 11 <> 0").withColumn("text", F.when(F.col("doc_id") % 5 == 0, F.concat("text", F.lit(" more"))).otherwise(F.col("text")))
+    rows = intake.changed_rows(now, kept, ["doc_id"], content, gone=True)
+    return rows.select("doc_id", "change", F.length("text").cast("bigint").alias("n_chars"))
+
+
 @query("changed_entities", """SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'new' ELSE 'changed' END AS change FROM documents WHERE doc_id % 7 = 0 OR doc_id % 5 = 0""")
 def changed_entities(spark, sf):
     old = fx.table(spark, sf, "documents").select("doc_id", "text", "lang", "source")

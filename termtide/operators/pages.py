@@ -130,18 +130,23 @@ def apply_url_policy(urls: DataFrame, rules: DataFrame, agent: str = "*") -> Dat
     own = F.col("agent") == agent
     usable = rules.where(own | (F.col("agent") == "*"))
     per_prefix = usable.groupBy("host", own.alias("own"), "path_prefix").agg(F.max("allow").alias("allow"))
-    entry = F.struct(
-        (-F.length("path_prefix")).alias("order"), F.col("path_prefix").alias("prefix"), F.col("allow")
+    # a host's lengths of prefixes are few, however many prefixes it has
+    hosts = per_prefix.groupBy("host").agg(
+        F.max("own").alias("own"),
+        F.collect_set(F.when(F.col("own"), F.length("path_prefix"))).alias("_own"),
+        F.collect_set(F.when(~F.col("own"), F.length("path_prefix"))).alias("_any"),
     )
-    # one host's rules are one small file; urls only look them up
-    per_host = per_prefix.groupBy("host").agg(
-        F.sort_array(F.collect_list(F.when(F.col("own"), entry))).alias("_own"),
-        F.sort_array(F.collect_list(F.when(~F.col("own"), entry))).alias("_any"),
-    )
-    lists = per_host.select("host", F.when(F.size("_own") > 0, F.col("_own")).otherwise(F.col("_any")).alias("_rules"))
+    lengths = hosts.select("host", "own", F.when(F.col("own"), F.col("_own")).otherwise(F.col("_any")).alias("_lengths"))
     query = web.url_part("url", "query")
     target = F.concat(web.url_part("url", "path"), F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
     located = urls.withColumns({"host": web.url_part("url", "host"), "_target": target})
-    matched = lookup_join(located, lists, on=["host"])
-    verdict = F.get(F.filter("_rules", lambda r: F.col("_target").startswith(r["prefix"])), F.lit(0))["allow"]
-    return matched.withColumn("allowed", F.coalesce(verdict, F.lit(True))).drop("_target", "_rules")
+    # beginnings of those lengths look up the host's rules
+    tried = lookup_join(located.select("host", "_target").distinct(), lengths, on=["host"], how="inner").select(
+        "host", "_target", "own", F.explode(F.filter("_lengths", lambda n: n <= F.length("_target"))).alias("_length")
+    )
+    keyed = tried.withColumn("path_prefix", F.col("_target").substr(F.lit(1), F.col("_length")))
+    hits = lookup_join(keyed, per_prefix, on=["host", "own", "path_prefix"], how="inner")
+    # one number of length and verdict: the longest decides
+    longest = hits.groupBy("host", "_target").agg(F.max(F.col("_length") * 2 + F.col("allow").cast("int")).alias("_verdict"))
+    judged = lookup_join(located, longest, on=["host", "_target"])
+    return judged.withColumn("allowed", F.coalesce(F.col("_verdict") % 2 == 1, F.lit(True))).select(*located.columns, "allowed").drop("_target")
