@@ -64,6 +64,40 @@ def test_names_are_whole_tokens_and_spare_what_holds_the_article():
     assert html_region.extract(comments, {}, 1.0, -1.0) == text
 
 
+MUST_GO = "comments-area comment-section user-comments reader-comments discussion ad-container ad-slot advert-unit sidebar-wrapper related-content promo-block newsletter-block commentList adSlot_3".split()
+
+
+def test_named_containers_go_and_headings_stay(spark, sf):
+    learnt = html_region.learn(spark.read.parquet(f"{sf}/pages.parquet"))
+    heads = "<h2 id='cookies'>Cookies</h2><p>Text on cookies for all to read.</p><h2 id='related' class='related'>Related work</h2><p>Others have written on it.</p><h3 id='comments'>Comments</h3><p>On the comments of the court.</p>"
+    sections = "<section id='discussion'><h2>Discussion</h2><p>What it all means in the end.</p></section><section id='related-work'><p>More of related work here.</p></section>"
+    text = "Cookies\n\nText on cookies for all to read.\n\nRelated work\n\nOthers have written on it.\n\nComments\n\nOn the comments of the court."
+    more = "Discussion\n\nWhat it all means in the end.\n\nMore of related work here."
+    for weights in ({"word": 1.0, "tag": -1.0}, learnt):
+        run = lambda html: html_region.extract(html, weights, weights["word"], weights["tag"])
+        assert run(f"<body><article>{heads}{sections}</article></body>") == f"{text}\n\n{more}"
+        for name in MUST_GO:
+            block = f"<div class='{name}'><p>Not a word of this block is the article's own.</p></div>"
+            assert run(f"<body>{block}<article>{heads}{block}{sections}</article>{block}</body>") == f"{text}\n\n{more}", name
+            assert run(f"<body>{block}<main>{heads}{block}{sections}</main><section class='{name}'>And nor is this one</section></body>") == f"{text}\n\n{more}", name
+        assert run("<body><article><p>One two three.</p><p class='ad'>Buy now</p><ul><li>four</li><li class='cookie-notice'>No</li></ul></article></body>") == "One two three.\n\nfour"
+    # pages without an article element, by constant weights
+    body = "<p>" + "Some words of the page. " * 8 + "</p>"
+    want = ("Some words of the page. " * 8).strip()
+    for name in MUST_GO:
+        block = f"<div class='{name}'><p>Not a word of this.</p></div>"
+        assert html_region.extract(f"<body><div class='post'>{body}{block}{body}</div>{block}</body>", {}, 1.0, -1.0) == f"{want}\n\n{want}", name
+
+
+def test_names_are_learnt(spark):
+    """A container whose name the list has not, but which labelled pages have outside of their article only."""
+    rows = [(i, f"<body><div class='teaser-row'><p>words of a teaser {i} of some length</p></div><article><p>the article {i} has words</p></article><div class='teaser-row'><p>more of them</p></div></body>") for i in range(20)]
+    weights = html_region.learn(spark.createDataFrame(rows, "page_id long, html string"))
+    assert weights["named teaser"] < 0.1 and weights["named row"] < 0.1
+    page = "<body><div class='teaser-row'><p>some other teaser with quite a lot of words in it</p></div><div class='text'><p>what the page is about</p></div></body>"
+    assert html_region.extract(page, weights, 1.0, -1.0) == "what the page is about"
+
+
 def test_odd_pages(spark):
     rows = [(1, None, "a"), (1, "", "b"), (2, "<div><p></p></div>", None), (3, "no markup at all", "c"), (3, "no markup at all", "c"), (None, "<p>" + "long words " * 20_000, "d"), (4, "<p>a < b <c", "e")]
     df = spark.createDataFrame(rows, "page_id long, html string, text string")
