@@ -1,18 +1,20 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Counting. Blocks of rows send each bucket of the hash space their distinct words
-and n-grams with counts over training rows; buckets add them up. Words are counted
-exactly and every block is told the counts of its own words, so the base score
-needs no approximation and no word table is sent to all workers. N-grams of all rows
-are asked for in the same way, those of rows that do not train with a count of none.
-
-The model. A count of 2 ** q up to 2 ** (q + 1) - 1 is held as level q: the filter
-has bits for (n-gram, 0), .. (n-gram, q), so that an n-gram seen once is held, too. It is read back by probing levels until
-one is missing, so a count is never read too low, and too high with a chance that
-halves with every probe. Each bucket fills the filter's segment for its own
-addresses, as large as its n-grams need, reads it for every block that asked, and
-replies with one byte for each n-gram. No task and not the driver holds more than a
-segment, so there is no ceiling, and what is held is the same at every size.
+Counting. Blocks of rows send each bucket of the hash space their distinct words and the
+n-grams of their training rows with counts; buckets add them up. Words are counted exactly
+and every block is told the counts of its own words, so the base score needs no
+approximation and no word table is sent to all workers.
+
+The model. A count of 2 ** q up to 2 ** (q + 1) - 1 is held as level q: the filter has bits
+for (n-gram, 0), .. (n-gram, q), so that an n-gram seen once is held, too. Each bucket fills
+the filter's segment for its own addresses, as large as its n-grams need, and writes its
+bits; the counts are forgotten. So there is no ceiling, and what is held is the same at
+every size.
+
+Reading. Blocks of all rows ask the segments for their distinct n-grams by hash. Where they
+are asked there are bits and no counts: levels are probed from 0 up until one is missing,
+so a count is never read too low, and too high with a chance that halves with every probe.
+The answer is one byte for each n-gram; no task and not the driver holds more than a segment.
 
 Probability. Orders are interpolated: the share of the lower order is fitted per
 order and power of two of the context's count, by leaving one out over all
@@ -39,14 +41,15 @@ from .words import BASE, word_hashes, word_spans
 
 ORDER = 3
 PROBES = 6
-LOWEST = 0
 END, START = np.uint64(0x5E5E5E5E0001), np.uint64(0x5E5E5E5E0002)
 SHARES = np.array([0.01, 0.05, 0.15, 0.3, 0.5, 0.7, 0.85, 0.95, 0.99, 0.999])
 FIRST_GUESS = 0.5
 BINS = 40
 
 _COUNTS = "block int, bucket int, kind int, values binary, counts binary"
-_TOLD = "block int, bucket int, counts binary, words long, total long, level int, seen long, occurrences long, lows binary, levels binary"
+_TOLD = "block int, bucket int, counts binary, words long, total long, level int, seen long, occurrences long, bits binary"
+_ASKS = "block int, bucket int, lows binary"
+_LEVELS = "block int, bucket int, levels binary"
 NEW_COLUMNS = T.StructType().add("n_tokens", "long").add("n_known", "long").add("train_tokens", "long").add("base_score", "double").add("score", "double")
 
 
@@ -92,58 +95,47 @@ def _positions(lows: np.ndarray, level: np.ndarray | int, probe: int, bits: int)
     return (mix64(lows.astype(np.uint64) * np.uint64(BASE) + np.asarray(level, np.uint64) * np.uint64(0xD1B54A32D192ED03) + seed) % np.uint64(bits)).astype(np.int64)
 
 
-def _filled(lows: np.ndarray, levels: np.ndarray, segment_bits: int, lowest: int) -> np.ndarray:
-    """A segment's bits: those of (n-gram, level) for each level from ``lowest`` to the n-gram's own."""
-    flags = np.zeros(segment_bits, bool)
-    for level in range(lowest, int(levels.max(initial=-1)) + 1):
+def fill_segment(lows: np.ndarray, levels: np.ndarray, probes: int = PROBES) -> np.ndarray:
+    """Packed bits of (n-gram, level) for each level from 0 to the n-gram's own; half of the bits are set at the best filling."""
+    pairs = float((levels + 1).sum())
+    size = max(64, int(np.ceil(pairs * probes / np.log(2) / 64)) * 64)
+    flags = np.zeros(size, bool)
+    for level in range(int(levels.max(initial=-1)) + 1):
         own = lows[levels >= level]
-        for probe in range(PROBES):
-            flags[_positions(own, level, probe, segment_bits)] = True
-    return flags
-
-
-def _bits_for(pairs: float) -> float:
-    """Bits for so many pairs of n-gram and level, half of them set at the best filling."""
-    return pairs * PROBES / np.log(2)
-
-
-def read_levels(lows: np.ndarray, levels: np.ndarray, lowest: int = LOWEST) -> np.ndarray:
-    """Level of each n-gram as the segment filled with ``levels`` (below zero: never counted) reads it; -1 if not held."""
-    held = np.maximum(levels - lowest + 1, 0)
-    segment_bits = max(64, int(np.ceil(_bits_for(held.sum()) / 64)) * 64)
-    flags = _filled(lows, levels, segment_bits, lowest)
-    # bits up to an n-gram's own level are all set: only the probes above it can tell
-    out = np.where(levels >= lowest, levels, -1)
-    for level in range(lowest, int(levels.max(initial=-1)) + 1):
-        alive = np.flatnonzero(out == (level - 1 if level > lowest else -1))
-        reached = alive
-        for probe in range(PROBES):
-            reached = reached[flags[_positions(lows[reached], level, probe, segment_bits)]]
-        out[reached] = level
+        for probe in range(probes):
+            flags[_positions(own, level, probe, size)] = True
+    return np.packbits(flags, bitorder="little")
+
+
+def probe_levels(bits: np.ndarray, lows: np.ndarray, probes: int = PROBES) -> np.ndarray:
+    """Level of each n-gram as the bits read, probed from 0 up until a bit is missing; -1 if not held."""
+    out = np.full(len(lows), -1, np.int64)
+    size = 8 * len(bits)
+    alive, level = np.arange(len(lows)), 0
+    while size and len(alive):
+        for probe in range(probes):
+            at = _positions(lows[alive], level, probe, size)
+            alive = alive[(bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0]
+        out[alive] = level
+        level += 1
     return out
 
 
-class Filter:
-    """The filled segments, end to end, and what a level means."""
+def pack_lows(lows: np.ndarray) -> bytes:
+    """Rising numbers as the first and three bytes for each step, or four where a step needs them."""
+    steps = np.diff(lows)
+    if len(steps) and int(steps.max()) >= 1 << 24:
+        return b"\x04" + lows.astype("<u4").tobytes()
+    return b"\x03" + lows[:1].astype("<u4").tobytes() + steps.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
 
-    def __init__(self, bits: np.ndarray, segment_bits: int, buckets: int, lowest: int, means: np.ndarray):
-        self.bits, self.segment_bits, self.buckets, self.lowest, self.means = bits, segment_bits, buckets, lowest, means
 
-    def counts(self, hashes: np.ndarray, where: np.ndarray | None = None) -> np.ndarray:
-        """Approximate count of each n-gram; 0 if it is not held."""
-        out = np.zeros(len(hashes))
-        alive = np.arange(len(hashes)) if where is None else np.flatnonzero(where)
-        bucket, lows = address(hashes[alive], self.buckets)
-        base = bucket * self.segment_bits
-        for level in range(self.lowest, len(self.means)):
-            for probe in range(PROBES):
-                at = base + _positions(lows, level, probe, self.segment_bits)
-                hit = (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
-                alive, lows, base = alive[hit], lows[hit], base[hit]
-                if not len(alive):
-                    return out
-            out[alive] = self.means[level]
-        return out
+def unpack_lows(packed: bytes) -> np.ndarray:
+    if packed[0] == 4:
+        return np.frombuffer(packed, "<u4", offset=1)
+    steps = np.zeros(((len(packed) - 5) // 3, 4), np.uint8)
+    steps[:, :3] = np.frombuffer(packed, np.uint8, offset=5).reshape(-1, 3)
+    first = np.frombuffer(packed, "<u4", 1, 1).astype(np.uint64)
+    return np.cumsum(np.concatenate([first, steps.view("<u4").ravel()])).astype(np.uint32)
 
 
 class Fitted:
@@ -196,6 +188,14 @@ def score_tokens(tokens: np.ndarray, edges: np.ndarray, counts: np.ndarray, gram
     return sums if leave_one_out else lower
 
 
+def by_segment(keys: np.ndarray, buckets: int):
+    """Of sorted distinct keys, each bucket with its low halves and their places."""
+    edge = np.searchsorted(keys, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32))
+    for b in np.flatnonzero(np.diff(edge)).tolist():
+        part = slice(int(edge[b]), int(edge[b + 1]))
+        yield b, keys[part].astype(np.uint32), part
+
+
 def _count_block(order: int, blocks: int):
     def count(rows: pa.Table) -> pa.Table:
         block = rows.column("__block")[0].as_py()
@@ -212,27 +212,23 @@ def _count_block(order: int, blocks: int):
 
         words, which = np.unique(tokens, return_inverse=True)
         send(1, address(words, blocks)[0], words, np.bincount(which, train, len(words)))
-        # the lowest bit tells rows that train from others, so that one sort counts
-        keys = np.sort((gram_keys(grams_of(tokens, edges, order), blocks) << np.uint64(1)) | np.tile(train, order - 1).astype(np.uint64))
-        fresh = np.ones(len(keys), bool)
-        fresh[1:] = (keys[1:] ^ keys[:-1]) > np.uint64(1)
-        heads = np.flatnonzero(fresh)
-        counts = np.add.reduceat((keys & np.uint64(1)).astype(np.uint32), heads, dtype=np.uint32) if len(heads) else np.zeros(0, np.uint32)
-        keys = keys[heads] >> np.uint64(1)
-        lows, edge = keys.astype(np.uint32), np.searchsorted(keys, np.arange(blocks + 1, dtype=np.uint64) << np.uint64(32))
-        for b in np.flatnonzero(np.diff(edge)).tolist():
-            own = counts[edge[b] : edge[b + 1]]
+        own_grams = [g[train] for g in grams_of(tokens, edges, order)]
+        keys = np.sort(gram_keys(own_grams, blocks))
+        heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+        counts = np.diff(np.append(heads, len(keys))).astype(np.uint32)
+        for b, lows, part in by_segment(keys[heads], blocks):
+            own = counts[part]
             # most n-grams of a block stand in it once: their counts travel as bytes
-            out.append((block, b, 2, lows[edge[b] : edge[b + 1]].tobytes(), own.astype(np.uint8 if own.max() < 256 else np.uint32).tobytes()))
+            out.append((block, b, 2, pack_lows(lows), own.astype(np.uint8 if own.max() < 256 else np.uint32).tobytes()))
         types = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
         return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=["block", "bucket", "kind", "values", "counts"])
 
     return count
 
 
-def _answer(gather: bool):
+def _answer(probes: int):
     def answer(rows: pa.Table) -> pa.Table:
-        """One bucket: counts of words and levels of n-grams for each block that asked, and what there is of each level."""
+        """One bucket: counts of words for each block that asked, what there is of each level, and the filter's segment."""
         bucket = rows.column("bucket")[0].as_py()
         kinds = np.array(rows.column("kind").to_pylist())
         blocks = np.array(rows.column("block").to_pylist())
@@ -245,89 +241,87 @@ def _answer(gather: bool):
             total = np.bincount(which, np.concatenate([np.frombuffer(counts[i], np.uint32) for i in asked]).astype(np.float64), len(words)).astype(np.int64)
             at = 0
             for i, own in zip(asked, each):
-                out.append((int(blocks[i]), bucket, total[which[at : at + len(own)]].tobytes(), *[None] * 7))
+                out.append((int(blocks[i]), bucket, total[which[at : at + len(own)]].tobytes(), *[None] * 6))
                 at += len(own)
-            out.append((-1, bucket, None, int((total > 0).sum()), int(total.sum()), *[None] * 5))
-        asked = np.flatnonzero(kinds == 2).tolist()
-        if asked:
-            each = [np.frombuffer(values[i], np.uint32) for i in asked]
+            out.append((-1, bucket, None, int((total > 0).sum()), int(total.sum()), *[None] * 4))
+        sent = np.flatnonzero(kinds == 2).tolist()
+        if sent:
+            each = [unpack_lows(values[i]) for i in sent]
             lows, which = np.unique(np.concatenate(each), return_inverse=True)
-            weights = [np.frombuffer(counts[i], np.uint8 if len(counts[i]) == len(own) else np.uint32).astype(np.float64) for i, own in zip(asked, each)]
+            weights = [np.frombuffer(counts[i], np.uint8 if len(counts[i]) == len(own) else np.uint32).astype(np.float64) for i, own in zip(sent, each)]
             total = np.bincount(which, np.concatenate(weights), len(lows))
-            levels = np.where(total > 0, np.log2(np.maximum(total, 1)), -1).astype(np.int64)
+            levels = np.log2(total).astype(np.int64)
             for level in range(int(levels.max()) + 1):
                 own = levels == level
                 if own.any():
-                    out.append((-1, bucket, None, None, None, level, int(own.sum()), int(total[own].sum()), None, None))
-            if gather:
-                held = levels > 0
-                out.append((-1, bucket, *[None] * 6, lows[held].tobytes(), levels[held].astype(np.uint8).tobytes()))
-            told = (read_levels(lows, levels) + 1).astype(np.uint8)
-            at = 0
-            for i, own in zip(asked, each):
-                out.append((int(blocks[i]), bucket, *[None] * 7, told[which[at : at + len(own)]].tobytes()))
-                at += len(own)
-        types = (pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
-        names = ["block", "bucket", "counts", "words", "total", "level", "seen", "occurrences", "lows", "levels"]
+                    out.append((-1, bucket, None, None, None, level, int(own.sum()), int(total[own].sum()), None))
+            out.append((-1, bucket, *[None] * 6, fill_segment(lows, levels, probes).tobytes()))
+        types = (pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+        names = ["block", "bucket", "counts", "words", "total", "level", "seen", "occurrences", "bits"]
         return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=names)
 
     return answer
 
 
-# with the addresses of what is seen twice or more, for a filter in one piece
-_add_up = _answer(gather=True)
+def _ask_block(order: int, blocks: int):
+    def ask(rows: pa.Table) -> pa.Table:
+        """One block's question to the segments: its distinct n-grams."""
+        block = rows.column("__block")[0].as_py()
+        keys = np.unique(gram_keys(grams_of(*tokens_of(*flat_text(rows.column("__text"))), order), blocks))
+        out = [(block, b, pack_lows(lows)) for b, lows, _ in by_segment(keys, blocks)]
+        return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary()))], names=["block", "bucket", "lows"])
 
+    return ask
 
-def _fill_segment(segment_bits: int, lowest: int):
-    def fill(rows: pa.Table) -> pa.Table:
-        lows = np.frombuffer(b"".join(rows.column("lows").to_pylist()), np.uint32)
-        flags = _filled(lows, np.frombuffer(b"".join(rows.column("levels").to_pylist()), np.uint8).astype(np.int64), segment_bits, lowest)
-        return pa.table([pa.array([rows.column("bucket")[0].as_py()], pa.int32()), pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())], names=["bucket", "bits"])
 
-    return fill
+def _probe_segment(probes: int):
+    def probe(asks: pa.Table, segment: pa.Table) -> pa.Table:
+        """A segment's bits read for every block that asked: one byte for each n-gram, its level and one, or 0."""
+        bits = np.frombuffer(segment.column("bits")[0].as_py(), np.uint8) if len(segment) else np.zeros(0, np.uint8)
+        told = [(probe_levels(bits, unpack_lows(x), probes) + 1).astype(np.uint8).tobytes() for x in asks.column("lows").to_pylist()]
+        return pa.table([asks.column("block"), asks.column("bucket"), pa.array(told, pa.binary())], names=["block", "bucket", "levels"])
 
+    return probe
 
-def level_means(told: DataFrame) -> tuple[np.ndarray, list[int]]:
-    """Mean count of the n-grams of each level, and how many there are of it or above."""
-    seen: dict[int, list[int]] = {}
-    for row in told.where("level is not null").groupBy("level").agg(F.sum("seen").alias("n"), F.sum("occurrences").alias("c")).collect():
-        seen[row["level"]] = [row["n"], row["c"]]
-    top = max(seen, default=0)
-    means = np.array([seen[q][1] / seen[q][0] if q in seen else 2.0**q * 1.4 for q in range(top + 1)])
-    return means, [sum(seen.get(r, [0, 0])[0] for r in range(q, top + 1)) for q in range(top + 2)]
 
+def level_means(told: DataFrame) -> np.ndarray:
+    """Mean count of the n-grams of each level."""
+    seen = {row["level"]: row["c"] / row["n"] for row in told.where("level is not null").groupBy("level").agg(F.sum("seen").alias("n"), F.sum("occurrences").alias("c")).collect()}
+    return np.array([seen.get(q, 2.0**q * 1.4) for q in range(256)])
 
-def build_filter(told: DataFrame, buckets: int, filter_bytes: int) -> Filter:
-    """A filter in one piece of ``filter_bytes`` at most, for a look at a small corpus; scoring reads segments instead."""
-    means, at_least = level_means(told)
-    top = len(means) - 1
-    lowest = 1
-    need = lambda low: _bits_for(sum(at_least[low : top + 1]))
-    while need(lowest) > 8 * filter_bytes and lowest < top:
-        lowest += 1
-    whole = min(max(need(lowest), 64.0 * buckets), 8.0 * filter_bytes)
-    segment_bits = max(64, int(whole / buckets) // 64 * 64)
-    bits = np.zeros(buckets * segment_bits // 8, np.uint8)
-    segments = told.where("lows is not null").select("bucket", "lows", "levels").groupBy("bucket").applyInArrow(_fill_segment(segment_bits, lowest), "bucket int, bits binary")
-    for row in segments.toLocalIterator():
-        at = row["bucket"] * segment_bits // 8
-        bits[at : at + segment_bits // 8] = np.frombuffer(row["bits"], np.uint8)
-    return Filter(bits, segment_bits, buckets, lowest, means)
 
+def _blocked(docs: DataFrame, train: Column, id_col: str, text_col: str, blocks: int, *more: Column) -> DataFrame:
+    return docs.select(block_of(blocks, F.col(id_col), F.col(text_col)).alias("__block"), F.col(text_col).cast("string").alias("__text"), train.alias("__train"), *more)
 
-def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
-    """Rows with n_tokens, n_known, train_tokens, base_score and score (log10), learnt where ``train`` holds."""
+
+def count_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, probes: int = PROBES) -> tuple[DataFrame, int]:
+    """What training rows hold, as a written table, and the number of its buckets: word counts for each block, levels, segments (bits)."""
+    blocks = block_count(docs, text_col)
+    bare = _blocked(docs, train, id_col, text_col, blocks)
+    sent = bare.groupBy("__block").applyInArrow(_count_block(order, blocks), _COUNTS)
+    return staged(sent.groupBy("bucket").applyInArrow(_answer(probes), _TOLD), "lm-counts"), blocks
+
+
+def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, probes: int = PROBES, counted: tuple[DataFrame, int] | None = None) -> DataFrame:
+    """Rows with n_tokens, n_known, train_tokens, base_score and score (log10), learnt where ``train`` holds.
+
+    ``counted`` is what ``count_texts`` gave for the same rows, if it is at hand.
+    """
     taken = {f.name for f in NEW_COLUMNS.fields}
     carried = [c for c in docs.columns if c.lower() not in taken]
-    blocks = block_count(docs, text_col)
-    rows = docs.select(block_of(blocks, F.col(id_col), F.col(text_col)).alias("__block"), F.col(text_col).cast("string").alias("__text"), train.alias("__train"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carried)])
+    told, blocks = counted or count_texts(docs, train, id_col, text_col, order, probes)
+    rows = _blocked(docs, train, id_col, text_col, blocks, *[F.col(c).alias(f"c{i}") for i, c in enumerate(carried)])
     bare = rows.select("__block", "__text", "__train")
-    told = staged(bare.groupBy("__block").applyInArrow(_count_block(order, blocks), _COUNTS).groupBy("bucket").applyInArrow(_answer(gather=False), _TOLD), "lm-counts")
+    # from here on there are bits: no count of an n-gram is read
+    segments = told.where("bits is not null").select("bucket", "bits")
+    asks = bare.select("__block", "__text").groupBy("__block").applyInArrow(_ask_block(order, blocks), _ASKS)
+    levels = staged(asks.groupBy("bucket").cogroup(segments.groupBy("bucket")).applyInArrow(_probe_segment(probes), _LEVELS), "lm-levels")
     sizes = told.agg(F.sum("words").alias("v"), F.sum("total").alias("n")).first()
     texts = docs.agg(F.count(F.when(train, 1)).alias("n")).first()["n"]
-    count_of = np.concatenate([[0.0], level_means(told)[0]])
+    count_of = np.concatenate([[0.0], level_means(told)])
     guess = Fitted(np.full((order - 1, BINS), FIRST_GUESS), texts, sizes["v"] or 0, sizes["n"] or 0)
-    replies = told.where("block >= 0").select("block", "bucket", "counts", "levels")
+    nothing = F.lit(None).cast("binary")
+    replies = told.where("counts is not null").select("block", "bucket", "counts", nothing.alias("levels")).unionByName(levels.select("block", "bucket", nothing.alias("counts"), "levels"))
 
     def known(rows: pa.Table, replies: pa.Table):
         data, offsets = flat_text(rows.column("__text"))

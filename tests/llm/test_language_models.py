@@ -50,35 +50,108 @@ def test_small_cases(spark):
     assert len(nothing) == 5 and all(r.train_tokens == 0 and r.base_score == 0 for r in nothing)
 
 
-def test_filter_never_reads_a_count_too_low(spark):
-    rng = np.random.default_rng(2)
-    texts = [" ".join(f"w{i}" for i in np.minimum(rng.zipf(1.3, 300), 500)) for _ in range(40)]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    rows = df.select(ngram_lm.block_of(5, "doc_id").alias("__block"), F.col("text").alias("__text"), F.lit(True).alias("__train"))
-    told = rows.groupBy("__block").applyInArrow(ngram_lm._count_block(3, 5), ngram_lm._COUNTS).groupBy("bucket").applyInArrow(ngram_lm._add_up, ngram_lm._TOLD).cache()
-    model = ngram_lm.build_filter(told, 5, 1 << 20)
-    raw = [t.encode() for t in texts]
-    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
-    tokens, edges = ngram_lm.tokens_of(np.frombuffer(b"".join(raw), np.uint8), offsets)
-    for hashes in ngram_lm.grams_of(tokens, edges, 3):
-        values, counts = np.unique(hashes, return_counts=True)
-        read = model.counts(values)
-        often = counts >= 2
-        assert (read[often] >= model.means[np.log2(counts[often]).astype(int)] - 1e-9).all()
-        # at half filling, a chance hit needs all probes
-        assert (read[~often] > 0).mean() < 0.08
-    told.unpersist()
-
-
-def test_segments_hold_every_level_at_any_size():
+def test_segments_never_read_a_count_too_low():
+    rng = np.random.default_rng(3)
     # a segment grows with what it holds, there is no size from which levels are given up
-    lows = np.unique(np.random.default_rng(3).integers(0, 1 << 32, 300_000, dtype=np.uint32))
-    levels = np.where(np.arange(len(lows)) % 50 == 0, -1, 1)
-    read = ngram_lm.read_levels(lows, levels, lowest=1)
-    assert (read[levels == 1] == 1).all() and (read[levels < 0] >= 0).mean() < 0.03
-    few = np.array([-1, 0, 1, 2, 5, -1])
-    read = ngram_lm.read_levels(np.arange(6, dtype=np.uint32), few, lowest=1)
-    assert (read[few >= 1] >= few[few >= 1]).all()
+    for size in (7, 300, 200_000):
+        lows = np.unique(rng.integers(0, 1 << 32, size, dtype=np.uint32))
+        levels = np.minimum(rng.geometric(0.6, len(lows)) - 1, 20)
+        held = np.arange(len(lows)) % 3 > 0
+        bits = ngram_lm.fill_segment(lows[held], levels[held])
+        read = ngram_lm.probe_levels(bits, lows)
+        assert (read[held] >= levels[held]).all()
+        if size > 1000:
+            # at half filling, a chance hit needs all probes
+            assert (read[~held] >= 0).mean() < 0.03 and (read[held] > levels[held]).mean() < 0.03
+            assert len(bits) < (levels[held] + 1).sum() * 1.2
+    assert (ngram_lm.probe_levels(np.zeros(0, np.uint8), lows) == -1).all() and (ngram_lm.probe_levels(np.zeros(64, np.uint8), lows) == -1).all()
+
+
+def test_packed_numbers():
+    rng = np.random.default_rng(1)
+    for lows in ([0], [(1 << 32) - 1], [3, 1 << 31], np.unique(rng.integers(0, 1 << 32, 5_000)), np.arange(300)):
+        lows = np.array(lows, np.uint32)
+        assert (ngram_lm.unpack_lows(ngram_lm.pack_lows(lows)) == lows).all()
+
+
+def interpolated(rows, train, order=3):
+    """Scores in plain Python: exact counts by levels, shares of the grid by leaving one out, interpolation."""
+    texts = [words(t) for t in rows]
+    unigrams = collections.Counter(w for t, k in zip(texts, train) if k for w in t)
+    total, kinds, n_texts = sum(unigrams.values()), len(unigrams), sum(train)
+
+    def gram(t, i, n):
+        return tuple("start" if i - j < 0 else t[i - j] for j in reversed(range(n)))
+
+    counts = [collections.Counter(gram(t, i, n) for t, k in zip(texts, train) if k for i in range(len(t))) for n in range(2, order + 1)]
+    by_level = collections.defaultdict(list)
+    for c in counts:
+        for value in c.values():
+            by_level[int(math.log2(value))].append(value)
+    mean = {q: sum(v) / len(v) for q, v in by_level.items()}
+    read = lambda n, g: mean[int(math.log2(counts[n - 2][g]))] if counts[n - 2][g] else 0.0
+    bin_of = lambda c: min(int(math.log2(max(c, 1.0))), ngram_lm.BINS - 1)
+
+    def token(t, i, shares, one, sums=None):
+        lower = (max(unigrams[t[i]] - one, 0) + 1) / (total + kinds + 1)
+        seen, context = unigrams[t[i]] > 0, unigrams[t[i - 1]] if i else n_texts
+        for n in range(2, order + 1):
+            known = read(n, gram(t, i, n)) if seen and context > 0 else 0.0
+            seen = known > 0
+            whole = max(context - one, 0.0)
+            if whole > 0:
+                ratio = max(min(known, context) - one, 0.0) / whole
+                if sums is not None:
+                    for s, share in enumerate(ngram_lm.SHARES):
+                        sums[n - 2, bin_of(whole), s] += math.log(lower + (1 - share) * (ratio - lower))
+                share = shares[n - 2][bin_of(whole)]
+                lower = (1 - share) * ratio + share * lower
+            if n < order:
+                before = 0.0
+                if i:
+                    before_context = unigrams[t[i - 2]] if i > 1 else n_texts
+                    before = read(n, gram(t, i - 1, n)) if unigrams[t[i - 1]] > 0 and before_context > 0 else 0.0
+                context = before
+        return lower
+
+    guess = np.full((order - 1, ngram_lm.BINS), ngram_lm.FIRST_GUESS)
+    sums = np.zeros((order - 1, ngram_lm.BINS, len(ngram_lm.SHARES)))
+    for t, k in zip(texts, train):
+        for i in range(len(t) if k else 0):
+            token(t, i, guess, 1.0, sums)
+    shares, used = guess.copy(), sums.any(axis=2)
+    shares[used] = ngram_lm.SHARES[sums.argmax(axis=2)][used]
+    return [sum(math.log10(token(t, i, shares, 0.0)) for i in range(len(t))) for t in texts]
+
+
+def _corpus(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(f"w{w}" for w in np.minimum(rng.zipf(1.4, rng.integers(0, 60)), 40)), i % 4 != 1) for i in range(120)]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string, t boolean")
+
+
+def test_scores_are_the_interpolation_where_no_probe_hits_by_chance(spark):
+    rows, df = _corpus(spark)
+    # so many probes that no chance hit is left
+    got = {r.doc_id: r.score for r in ngram_lm.score_texts(df, F.col("t"), probes=40).collect()}
+    for (i, _, _), want in zip(rows, interpolated([r[1] for r in rows], [r[2] for r in rows])):
+        assert math.isclose(got[i], want, rel_tol=1e-9), i
+
+
+def test_scores_come_from_the_bits(spark):
+    """With empty segments all evidence of n-grams goes, whatever was counted."""
+    rows, df = _corpus(spark)
+    told, blocks = ngram_lm.count_texts(df, F.col("t"))
+    assert told.where("bits is not null").count() > 1
+    zeros = F.when(F.col("bits").isNotNull(), F.unhex(F.expr("repeat('00', octet_length(bits))")))
+    empty = {r.doc_id: r for r in ngram_lm.score_texts(df, F.col("t"), counted=(told.withColumn("bits", zeros), blocks)).collect()}
+    none = {r.doc_id: r for r in ngram_lm.score_texts(df, F.col("t"), counted=(told.withColumn("bits", F.lit(None).cast("binary")), blocks)).collect()}
+    full = {r.doc_id: r for r in ngram_lm.score_texts(df, F.col("t"), counted=(told, blocks)).collect()}
+    assert all(math.isclose(empty[i].score, none[i].score) for i in empty)
+    # the words of the corpus are independent: n-grams tell what training has seen, and no more
+    seen = [i for i, _, t in rows if t]
+    assert sum(full[i].score for i in seen) > sum(empty[i].score for i in seen) + 10
+    assert all(empty[i].score <= full[i].base_score + 1e-9 for i in empty)
 
 
 def test_what_training_has_once_is_known(spark):
@@ -91,8 +164,6 @@ def test_what_training_has_once_is_known(spark):
     got = {r.doc_id: r.score for r in ngram_lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string, t boolean"), F.col("t")).collect()}
     assert all(math.isclose(got[i], got[100 + i], rel_tol=1e-9) for i in range(30))
     assert all(got[100 + i] > got[200 + i] + 1 for i in range(30))
-    levels = np.array([0, -1, 0, 1])
-    assert (ngram_lm.read_levels(np.arange(4, dtype=np.uint32), levels)[levels >= 0] >= levels[levels >= 0]).all()
 
 
 def test_the_grid_of_shares_is_whole():
