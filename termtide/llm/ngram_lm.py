@@ -357,7 +357,8 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     shares = guess.shares.copy()
     sums = np.zeros((order - 1, BINS, len(SHARES)))
     fits = bare.groupBy("__block").cogroup(replies.groupBy("block")).applyInArrow(fit, "n int, b int, s int, value double")
-    for row in fits.groupBy("n", "b", "s").agg(F.sum("value").alias("value")).collect():
+    # written, so that the shuffle files of the fit are freed before the scores' own
+    for row in staged(fits.groupBy("n", "b", "s").agg(F.sum("value").alias("value")), "lm-fit").collect():
         sums[row["n"], row["b"], row["s"]] = row["value"]
     used = sums.any(axis=2)
     shares[used] = SHARES[sums.argmax(axis=2)][used]
