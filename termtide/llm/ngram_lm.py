@@ -90,20 +90,28 @@ def gram_keys(hashes: list[np.ndarray], buckets: int) -> np.ndarray:
     return (bucket.astype(np.uint64) << np.uint64(32)) | lows
 
 
-def _positions(lows: np.ndarray, level: np.ndarray | int, probe: int, bits: int) -> np.ndarray:
-    seed = np.uint64(probe * 0x632BE59BD9B4E019 & 0xFFFFFFFFFFFFFFFF)
-    return (mix64(lows.astype(np.uint64) * np.uint64(BASE) + np.asarray(level, np.uint64) * np.uint64(0xD1B54A32D192ED03) + seed) % np.uint64(bits)).astype(np.int64)
+def _two_hashes(lows: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two 32-bit hashes of (n-gram, level), the second one odd."""
+    h = mix64(lows.astype(np.uint64) * np.uint64(BASE) + np.uint64(level * 0xD1B54A32D192ED03 & 0xFFFFFFFFFFFFFFFF))
+    return h & np.uint64(0xFFFFFFFF), (h >> np.uint64(32)) | np.uint64(1)
+
+
+def _position(one: np.ndarray, two: np.ndarray, probe: int, size: int) -> np.ndarray:
+    """The probe's bit: steps of the second hash from the first, scaled from 32 bits to the size."""
+    return (((one + two * np.uint64(probe)) & np.uint64(0xFFFFFFFF)) * np.uint64(size) >> np.uint64(32)).astype(np.int64)
 
 
 def fill_segment(lows: np.ndarray, levels: np.ndarray, probes: int = PROBES) -> np.ndarray:
     """Packed bits of (n-gram, level) for each level from 0 to the n-gram's own; half of the bits are set at the best filling."""
     pairs = float((levels + 1).sum())
     size = max(64, int(np.ceil(pairs * probes / np.log(2) / 64)) * 64)
+    if size >= 1 << 32:
+        raise ValueError("a segment of so many n-grams needs more buckets")
     flags = np.zeros(size, bool)
     for level in range(int(levels.max(initial=-1)) + 1):
-        own = lows[levels >= level]
+        one, two = _two_hashes(lows[levels >= level], level)
         for probe in range(probes):
-            flags[_positions(own, level, probe, size)] = True
+            flags[_position(one, two, probe, size)] = True
     return np.packbits(flags, bitorder="little")
 
 
@@ -113,9 +121,11 @@ def probe_levels(bits: np.ndarray, lows: np.ndarray, probes: int = PROBES) -> np
     size = 8 * len(bits)
     alive, level = np.arange(len(lows)), 0
     while size and len(alive):
+        one, two = _two_hashes(lows[alive], level)
         for probe in range(probes):
-            at = _positions(lows[alive], level, probe, size)
-            alive = alive[(bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0]
+            at = _position(one, two, probe, size)
+            hit = (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+            alive, one, two = alive[hit], one[hit], two[hit]
         out[alive] = level
         level += 1
     return out
