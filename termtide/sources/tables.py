@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..config import MARKETS
 from ..schemas import ENTITIES, EXPORT, ensure_columns
+from .quoted_csv import read_csv
 
 MARKET_COLUMNS = ("location_code", "language_code")
 
@@ -45,8 +46,15 @@ def read_optional_table(spark: SparkSession, path: str, schema: T.StructType) ->
         return None
 
 
-def read_entities(spark: SparkSession, path: str) -> DataFrame:
-    """Entity export with a header row; quoted fields may span lines."""
+def read_entities(spark: SparkSession, path: str, lone_quotes: bool = False) -> DataFrame:
+    """Entity export with a header row; quoted fields may span lines.
+
+    Large files are read by many tasks. With ``lone_quotes``, quotes may also stand in
+    unquoted fields; each file is then read by one task, as its record ends depend on
+    everything before them.
+    """
+    if not lone_quotes:
+        return read_csv(spark, path, ENTITIES)
     reader = spark.read.schema(ENTITIES).option("header", True).option("multiLine", True)
     return reader.option("quote", '"').option("escape", '"').csv(path)
 
