@@ -142,7 +142,7 @@ def _graph(spark, sf):
 def reachable_pages(spark, sf):
     nodes, edges = _graph(spark, sf)
     seeds = nodes.where("url = 0").withColumn("ord", F.lit(0).cast("bigint"))
-    return op.reachable_pages(nodes, stage(edges, "edges"), seeds, max_depth=4, max_pages=None)
+    return op.reachable_pages(nodes, stage(edges, "edges"), seeds, max_depth=4, max_pages=None).select("url", "depth")
 
 
 @query("crawl_order", f"""WITH {GRAPH}, l0 AS (SELECT p_partkey AS url, p_partkey AS visit_rank FROM part WHERE p_partkey < 3),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import CrawlLimits
 from ..functions import web
-from ..session import stage
+from ..session import buckets
 from .spread import lookup_join, with_index
 
 ID_CHUNK = 10_000
@@ -70,55 +70,57 @@ def reachable_pages(
     seeds: DataFrame,
     max_depth: int = CrawlLimits.max_depth,
     max_pages: int | None = CrawlLimits.max_pages,
+    hosts: Sequence[str] | None = None,
 ) -> DataFrame:
     """Breadth-first visit of ``pages(url)`` over ``edges(src, dst)`` from ``seeds(url, ord)``.
 
-    With ``max_pages`` the visit is first in, first out and stops after that many
-    pages: rows carry ``visit_rank``, ordered by depth, rank of the first page that
-    links there, link. Without it every page within the depth is returned and no
-    order is worked out. Each level is written out before the next one starts.
+    First in, first out: rows (url, depth, ``visit_rank``) are ordered by depth, rank of
+    the first page that links there, link; ``max_pages`` ends the visit after that many.
+    Given ``hosts``, only their urls are visited. Null urls and repeated rows count for nothing.
+
+    Pages, distinct edges (of which a page has no more than its text holds) and levels are
+    tables bucketed by url. A level's links are found without a shuffle of edges, and only
+    what they link to is shuffled, once, to be held against pages and earlier levels.
     """
-    if max_pages is not None:
-        return _visit_in_order(pages, edges, seeds, max_depth, max_pages)
-    known = pages.select("url").distinct()
-    frontier = stage(seeds.select("url").distinct().join(known, "url", "left_semi"), "level")
-    reached = frontier.withColumn("depth", F.lit(0))
-    for depth in range(1, max_depth + 1):
-        step = _follow(edges, frontier).select(F.col("dst").alias("url")).distinct()
-        fresh = step.join(known, "url", "left_semi").join(reached, "url", "left_anti")
-        frontier = stage(fresh, "level")
-        reached = reached.unionByName(frontier.withColumn("depth", F.lit(depth)))
+    with buckets(pages.sparkSession) as tables:
+        wanted = pages.where(F.col("url").isNotNull())
+        if hosts is not None:
+            wanted = wanted.where(web.url_part("url", "host").isin(*hosts))
+        known = tables.write(wanted.select("url").distinct(), "pages", "url")
+        graph = tables.write(edges.select("src", "dst").where("src <> dst").distinct(), "edges", "src")
+        levels: list[DataFrame] = []
+        taken = 0
+        for depth in range(max_depth + 1):
+            found = linked_from(graph, levels[-1]) if levels else seeds.groupBy("url").agg(F.min("ord").alias("parent_rank"))
+            queue = unvisited(found, known, levels)
+            order: list[Column] = [F.col("parent_rank"), F.col("url")]
+            if max_pages is not None:
+                queue = queue.orderBy(*order).limit(max_pages - taken)
+            ranked = with_index(queue, *order, name="_rank")
+            level = ranked.select("url", F.lit(depth).alias("depth"), (F.col("_rank") + taken).alias("visit_rank"))
+            levels.append(tables.write(level, "level", "url"))
+            size = levels[-1].count()
+            taken += size
+            if size == 0 or taken == max_pages:
+                break
+        reached = tables.plain(2)
+        for place in range(3, 2 + len(levels)):
+            reached = reached.unionByName(tables.plain(place))
     return reached
 
 
-def _follow(edges: DataFrame, frontier: DataFrame) -> DataFrame:
-    sources = frontier.withColumnRenamed("url", "src")
-    return lookup_join(edges, sources, on=["src"], how="inner")
+def linked_from(edges: DataFrame, level: DataFrame) -> DataFrame:
+    """Urls that pages of a level link to, with the smallest rank of such a page."""
+    ranks = level.select(F.col("url").alias("src"), "visit_rank")
+    return edges.join(ranks, "src").groupBy(F.col("dst").alias("url")).agg(F.min("visit_rank").alias("parent_rank"))
 
 
-def _visit_in_order(
-    pages: DataFrame, edges: DataFrame, seeds: DataFrame, max_depth: int, max_pages: int
-) -> DataFrame:
-    known = pages.select("url").distinct()
-    queue = seeds.groupBy("url").agg(F.min("ord").alias("parent_rank"))
-    reached: DataFrame | None = None
-    taken = 0
-    for depth in range(max_depth + 1):
-        if reached is not None:
-            queue = _follow(edges, reached.where(F.col("depth") == depth - 1).select("url", "visit_rank"))
-            queue = queue.groupBy(F.col("dst").alias("url")).agg(F.min("visit_rank").alias("parent_rank"))
-            queue = queue.join(reached, "url", "left_anti")
-        order: list[Column] = [F.col("parent_rank"), F.col("url")]
-        chosen = queue.join(known, "url", "left_semi").orderBy(*order).limit(max_pages - taken)
-        ranked = with_index(chosen, *order, name="_rank")
-        level = ranked.select("url", F.lit(depth).alias("depth"), (F.col("_rank") + taken).alias("visit_rank"))
-        level = stage(level, "level")
-        reached = level if reached is None else reached.unionByName(level)
-        found = level.count()
-        taken += found
-        if found == 0 or taken >= max_pages:
-            break
-    return reached
+def unvisited(found: DataFrame, known: DataFrame, levels: Sequence[DataFrame]) -> DataFrame:
+    """Those of ``found`` that are pages and in no earlier level."""
+    left = found.join(known, "url", "left_semi")
+    for level in levels:
+        left = left.join(level, "url", "left_anti")
+    return left
 
 
 def apply_url_policy(urls: DataFrame, rules: DataFrame, agent: str = "*") -> DataFrame:

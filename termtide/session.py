@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,3 +62,36 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Buckets:
+    """Written tables bucketed by a key: joins and groupings by it do not shuffle them again."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.names = spark, []
+        self.count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def write(self, df: DataFrame, label: str, key: str) -> DataFrame:
+        """Write ``df``, whose rows of one key must be few, once in shuffle-partition many buckets."""
+        path = new_folder(self.spark, label)
+        name = "termtide_" + path.rsplit("-", 1)[-1]
+        dealt = df.repartition(self.count, key)
+        dealt.write.bucketBy(self.count, key).option("path", path).format("parquet").saveAsTable(name)
+        self.names.append((name, path))
+        return self.spark.table(name)
+
+    def plain(self, place: int) -> DataFrame:
+        """A written table by its files, which outlives the catalog's entry."""
+        name, path = self.names[place]
+        return self.spark.read.schema(self.spark.table(name).schema).parquet(path)
+
+
+@contextmanager
+def buckets(spark: SparkSession) -> Iterator[Buckets]:
+    """Bucketed tables known to the catalog inside the block; their files stay for the results that read them."""
+    made = Buckets(spark)
+    try:
+        yield made
+    finally:
+        for name, _ in made.names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")

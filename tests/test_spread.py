@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from termtide import session
 from termtide.config import resolve_market
 from termtide.operators import pages, planning, spread
 
@@ -56,6 +57,46 @@ def test_visit_order_is_first_in_first_out(spark):
     assert [(r.url, r.visit_rank) for r in cut] == [("s", 0), ("a", 1), ("b", 2), ("c", 3)]
 
 
+def test_crawl_without_a_limit_has_the_same_columns_and_order(spark):
+    names, edges, seeds = graph(spark)
+    odd = edges.union(edges).union(spark.createDataFrame([("s", None), (None, "a"), ("a", "a")], "src string, dst string"))
+    twice = names.union(names).union(spark.createDataFrame([(None,)], "url string"))
+    none = pages.reachable_pages(twice, odd, seeds, max_depth=4, max_pages=None)
+    some = pages.reachable_pages(names, edges, seeds, max_depth=4, max_pages=200)
+    assert none.schema == some.schema and sorted(none.collect()) == sorted(some.collect())
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("termtide_")]
+    assert pages.reachable_pages(names, edges.limit(0), seeds).count() == 1
+    assert pages.reachable_pages(names.limit(0), edges, seeds).count() == 0
+    assert pages.reachable_pages(names, edges, seeds, max_pages=0).count() == 0
+
+
+def test_crawl_stays_on_its_hosts(spark):
+    urls = ["https://a.example/", "https://a.example/1", "https://b.example/", "https://a.example/2"]
+    names = spark.createDataFrame([(u,) for u in urls], "url string")
+    edges = spark.createDataFrame([(urls[0], urls[1]), (urls[0], urls[2]), (urls[2], urls[3])], "src string, dst string")
+    seeds = spark.createDataFrame([(urls[0], 0)], "url string, ord bigint")
+    assert pages.reachable_pages(names, edges, seeds, max_depth=3).count() == 4
+    own = pages.reachable_pages(names, edges, seeds, max_depth=3, hosts=["a.example"]).collect()
+    assert sorted(r.url for r in own) == urls[:2]
+
+
+def test_crawl_levels_do_not_shuffle_edges_or_pages(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with session.buckets(spark) as tables:
+            names, edges, _ = graph(spark)
+            known, links = tables.write(names, "pages", "url"), tables.write(edges, "edges", "src")
+            levels = [tables.write(spark.createDataFrame([(u, i)], "url string, visit_rank bigint"), "level", "url") for i, u in enumerate("sa")]
+            queue = pages.unvisited(pages.linked_from(links, levels[-1]), known, levels)
+            plan = queue._jdf.queryExecution().executedPlan().toString()
+            # what was found is shuffled once, by the url linked to
+            assert plan.count("Exchange hashpartitioning(") == 1 and "Exchange hashpartitioning(dst" in plan
+            assert [r.url for r in queue.collect()] == ["c"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_url_policy(spark):
     ddl = "host string, agent string, path_prefix string, allow boolean"
     rules = spark.createDataFrame(
