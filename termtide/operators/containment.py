@@ -29,6 +29,11 @@ def entity_set(candidates: DataFrame) -> DataFrame:
 
 def entity_containment(keywords: DataFrame, entities: DataFrame, column: str = "keyword") -> DataFrame:
     """Distinct pairs (lower-cased keyword, contained entity)."""
+    return _hits(keywords, entities, column).distinct()
+
+
+def _hits(keywords: DataFrame, entities: DataFrame, column: str) -> DataFrame:
+    """A pair for every place in a keyword where an entity stands."""
     texts = keywords.select(F.lower(column).alias("keyword")).where(F.length("keyword") >= PREFIX).distinct()
     # Written once: mined entities are used twice here, and a written table has a
     # size the planner knows, so a small set is broadcast and the many positions
@@ -44,15 +49,14 @@ def entity_containment(keywords: DataFrame, entities: DataFrame, column: str = "
     fitting = F.filter("_lengths", lambda n: n <= F.length("keyword") - F.col("_at") + 1)
     spans = with_lengths.select("keyword", "_at", F.explode(fitting).alias("_n"))
     substrings = spans.select("keyword", F.col("keyword").substr(F.col("_at"), F.col("_n")).alias("entity"))
-    hits = lookup_join(substrings, known, on=["entity"], how="inner")
-    return hits.select("keyword", "entity").distinct()
+    return lookup_join(substrings, known, on=["entity"], how="inner").select("keyword", "entity")
 
 
 def longest_entity(keywords: DataFrame, entities: DataFrame, column: str = "keyword") -> DataFrame:
     """The longest contained entity per lower-cased keyword; equal lengths by code point order."""
-    pairs = entity_containment(keywords, entities, column)
     best = F.min(F.struct((-F.length("entity")).alias("n"), F.col("entity")))
-    return pairs.groupBy("keyword").agg(best["entity"].alias("entity"))
+    # a repeated pair changes no minimum, so places need not be made distinct first
+    return _hits(keywords, entities, column).groupBy("keyword").agg(best["entity"].alias("entity"))
 
 
 def with_longest_entity(df: DataFrame, entities: DataFrame | None, column: str = "keyword", into: str = "entity") -> DataFrame:
