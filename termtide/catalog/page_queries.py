@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import web
 from ..operators import pages as op
-from ..session import new_folder, stage
+from ..session import new_folder
 from ..sources import tables
 from . import fixtures as fx, sql
 from .registry import query
@@ -142,7 +142,7 @@ def _graph(spark, sf):
 def reachable_pages(spark, sf):
     nodes, edges = _graph(spark, sf)
     seeds = nodes.where("url = 0").withColumn("ord", F.lit(0).cast("bigint"))
-    return op.reachable_pages(nodes, stage(edges, "edges"), seeds, max_depth=4, max_pages=None).select("url", "depth")
+    return op.reachable_pages(nodes, edges, seeds, max_depth=4, max_pages=None).select("url", "depth")
 
 
 @query("crawl_order", f"""WITH {GRAPH}, l0 AS (SELECT p_partkey AS url, p_partkey AS visit_rank FROM part WHERE p_partkey < 3),
@@ -155,7 +155,7 @@ def crawl_order(spark, sf):
     """First-in first-out visit; the page limit is the crawl's own parameter."""
     nodes, edges = _graph(spark, sf)
     seeds = nodes.where("url < 3").withColumn("ord", F.col("url"))
-    return op.reachable_pages(nodes, stage(edges, "edges"), seeds, max_depth=2)
+    return op.reachable_pages(nodes, edges, seeds, max_depth=2)
 
 
 @query("url_policy", f"""WITH u AS (SELECT page_id, url, {sql.url_part('url', 'host')} AS host, {sql.url_part('url', 'path')}

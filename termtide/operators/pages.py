@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -78,35 +79,35 @@ def reachable_pages(
     the first page that links there, link; ``max_pages`` ends the visit after that many.
     Given ``hosts``, only their urls are visited. Null urls and repeated rows count for nothing.
 
-    Pages, distinct edges (of which a page has no more than its text holds) and levels are
-    tables bucketed by url. A level's links are found without a shuffle of edges, and only
-    what they link to is shuffled, once, to be held against pages and earlier levels.
+    Pages, distinct edges (of which a page has no more than its text holds) and what is
+    visited are tables bucketed by url. A level's links are found without a shuffle of
+    edges, and only what they link to is shuffled to be held against pages and visited urls.
     """
     with buckets(pages.sparkSession) as tables:
         wanted = pages.where(F.col("url").isNotNull())
         if hosts is not None:
             wanted = wanted.where(web.url_part("url", "host").isin(*hosts))
-        known = tables.write(wanted.select("url").distinct(), "pages", "url")
-        graph = tables.write(edges.select("src", "dst").where("src <> dst").distinct(), "edges", "src")
+        known, _ = tables.write(wanted.select("url").distinct(), "pages", "url")
+        graph, _ = tables.write(edges.select("src", "dst").where("src <> dst").distinct(), "edges", "src")
+        order: list[Column] = [F.col("parent_rank"), F.col("url")]
+        visited: list[DataFrame] = []
         levels: list[DataFrame] = []
         taken = 0
         for depth in range(max_depth + 1):
             found = linked_from(graph, levels[-1]) if levels else seeds.groupBy("url").agg(F.min("ord").alias("parent_rank"))
-            queue = unvisited(found, known, levels)
-            order: list[Column] = [F.col("parent_rank"), F.col("url")]
+            queue = unvisited(found, known, visited)
             if max_pages is not None:
                 queue = queue.orderBy(*order).limit(max_pages - taken)
-            ranked = with_index(queue, *order, name="_rank")
-            level = ranked.select("url", F.lit(depth).alias("depth"), (F.col("_rank") + taken).alias("visit_rank"))
-            levels.append(tables.write(level, "level", "url"))
-            size = levels[-1].count()
-            taken += size
-            if size == 0 or taken == max_pages:
-                break
-        reached = tables.plain(2)
-        for place in range(3, 2 + len(levels)):
-            reached = reached.unionByName(tables.plain(place))
-    return reached
+            bucketed, plain = tables.write(queue, "level", "url")
+            visited.append(bucketed)
+            ranked = with_index(plain, *order, name="_rank")
+            levels.append(ranked.select("url", F.lit(depth).alias("depth"), (F.col("_rank") + taken).alias("visit_rank")))
+            if depth < max_depth:
+                size = plain.count()
+                taken += size
+                if size == 0 or taken == max_pages:
+                    break
+    return reduce(DataFrame.unionByName, levels)
 
 
 def linked_from(edges: DataFrame, level: DataFrame) -> DataFrame:
@@ -115,11 +116,11 @@ def linked_from(edges: DataFrame, level: DataFrame) -> DataFrame:
     return edges.join(ranks, "src").groupBy(F.col("dst").alias("url")).agg(F.min("visit_rank").alias("parent_rank"))
 
 
-def unvisited(found: DataFrame, known: DataFrame, levels: Sequence[DataFrame]) -> DataFrame:
+def unvisited(found: DataFrame, known: DataFrame, visited: Sequence[DataFrame]) -> DataFrame:
     """Those of ``found`` that are pages and in no earlier level."""
     left = found.join(known, "url", "left_semi")
-    for level in levels:
-        left = left.join(level, "url", "left_anti")
+    for urls in visited:
+        left = left.join(urls, "url", "left_anti")
     return left
 
 

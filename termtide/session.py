@@ -71,19 +71,17 @@ class Buckets:
         self.spark, self.names = spark, []
         self.count = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def write(self, df: DataFrame, label: str, key: str) -> DataFrame:
-        """Write ``df``, whose rows of one key must be few, once in shuffle-partition many buckets."""
+    def write(self, df: DataFrame, label: str, key: str) -> tuple[DataFrame, DataFrame]:
+        """Write ``df`` in as many buckets as there are shuffle partitions; rows of one key must be few.
+
+        Gives the bucketed table, and the same rows by their files, which outlive the catalog's entry.
+        """
         path = new_folder(self.spark, label)
         name = "termtide_" + path.rsplit("-", 1)[-1]
-        dealt = df.repartition(self.count, key)
-        dealt.write.bucketBy(self.count, key).option("path", path).format("parquet").saveAsTable(name)
-        self.names.append((name, path))
-        return self.spark.table(name)
-
-    def plain(self, place: int) -> DataFrame:
-        """A written table by its files, which outlives the catalog's entry."""
-        name, path = self.names[place]
-        return self.spark.read.schema(self.spark.table(name).schema).parquet(path)
+        self.names.append(name)
+        writer = df.repartition(self.count, key).write.format("parquet").bucketBy(self.count, key)
+        writer.option("path", path).saveAsTable(name)
+        return self.spark.table(name), self.spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
@@ -93,5 +91,5 @@ def buckets(spark: SparkSession) -> Iterator[Buckets]:
     try:
         yield made
     finally:
-        for name, _ in made.names:
+        for name in made.names:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
