@@ -3,8 +3,11 @@
 import base64
 import hashlib
 import html
+import random
 import re
 
+import pytest
+
 from termtide.llm import html_region, markup, warc
 from termtide.llm.queries import QUERIES
 
@@ -129,12 +132,54 @@ def test_records_link_and_digest(spark, sf):
 
 def test_files_round_trip(spark, sf, tmp_path):
     source = warc.responses(spark.read.parquet(f"{sf}/pages.parquet"), "2026-01-01T00:00:00Z")
-    every = source.unionByName(warc.derive(source)).drop("headers")
-    warc.records_to_text(every.withColumn("headers", warc.F.lit(None))).write.option("lineSep", "\r\n\r\n").text(str(tmp_path / "w"))
-    back = warc.read_records(spark, str(tmp_path / "w")).drop("headers")
+    every = source.unionByName(warc.derive(source))
+    warc.records_to_text(every).write.option("lineSep", "\r\n\r\n").text(str(tmp_path / "w"))
+    back = warc.read_records(spark, str(tmp_path / "w"))
+    assert back.columns == warc.RECORD.names
     assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, every.collect()), key=str)
 
 
+def one_by_one(data):
+    """Records of a file's bytes by reading on from each to the next."""
+    at, out = data.find(b"WARC/1.0\r\n"), []
+    while 0 <= at < len(data):
+        top = data.index(b"\r\n\r\n", at)
+        size = int(re.search(rb"Content-Length: (\d+)", data[at:top])[1])
+        out.append((re.search(rb"WARC-Record-ID: (\S+)", data[at:top])[1].decode(), data[top + 4 : top + 4 + size].decode()))
+        at = top + 4 + size + 4
+    return out
+
+
+@pytest.mark.parametrize("split", ["300", "100000000"])
+def test_blocks_that_hold_record_starts(spark, tmp_path, split):
+    rng = random.Random(8)
+    start = "WARC/1.0\r\n"
+    inside = [start, f"text {start}more", "é漢\r\n\r\n", f"{start}WARC-Record-ID: <no>\r\nContent-Length: 40\r\n\r\n", f"{start}Content-Length: 5000\r\n\r\nx", f"{start}Content-Length: 99999999\r\n\r\n", "plain " * 30, "\r\n\r\n", ""]
+    for name in "ab":
+        blocks = ["".join(rng.choice(inside) for _ in range(rng.randrange(5))) for _ in range(80)]
+        records = [f"{start}WARC-Type: resource\r\nWARC-Record-ID: <{name}{i}>\r\nContent-Length: {len(b.encode())}\r\n\r\n{b}\r\n\r\n" for i, b in enumerate(blocks)]
+        (tmp_path / name).write_text(("junk\r\n" if name == "b" else "") + "".join(records), newline="")
+    (tmp_path / "empty").write_text("")
+    expected = [r for name in "ab" for r in one_by_one((tmp_path / name).read_bytes())]
+    assert len(expected) == 160
+    before = {n: spark.conf.get(n) for n in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for n, value in zip(before, (split, "0")):
+            spark.conf.set(n, value)
+        got = [(r.record_id, r.block) for r in warc.read_records(spark, str(tmp_path)).collect()]
+    finally:
+        for n, value in before.items():
+            spark.conf.set(n, value)
+    assert sorted(got) == sorted(expected)
+
+
+def test_records_without_a_usable_length(spark, tmp_path):
+    start = "WARC/1.0\r\n"
+    (tmp_path / "f").write_text(f"{start}WARC-Record-ID: <1>\r\n\r\none\r\n\r\n{start}WARC-Record-ID: <2>\r\ncontent-length: 900\r\n\r\ntwo\r\n\r\n{start}WARC-Record-ID: <3>\r\nContent-Length: x\r\n\r\n\r\n\r\n{start}WARC-Record-ID: <4>", newline="")
+    got = {r.record_id: (r.block, r.content_length) for r in warc.read_records(spark, str(tmp_path)).collect()}
+    assert got == {"<1>": ("one", None), "<2>": ("two", 900), "<3>": ("", None), "<4>": ("", None)}
+
+
 def test_odd_records(spark):
     rows = [("response", "<urn:a>", None, None, None, None, None), ("response", "<urn:b>", "u", "d", None, None, "HTTP/1.1 404 Not Found\r\nContent-Type: text/html\r\n\r\n<p>gone"), ("request", "<urn:c>", "u", "d", None, None, "GET /"),
             ("response", "<urn:d>", "u", "d", None, None, "HTTP/1.0 200 OK\r\ncontent-TYPE: Text/HTML; charset=x\r\n\r\n<title>a<b></title><p>one<p>two")]
