@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..config import FALLBACK_LANGUAGE, LANGUAGES, LanguageSignals
 from ..functions.text import EDGE, WORD, as_column, clean, strip
 from ..schemas import CANDIDATES
+from ..session import stage
 
 # What counts as a quoted span, a question and a capitalized span.
 QUOTED = r"[\"“«]([^\"”»]{3,80})[\"”»]"
@@ -34,6 +35,10 @@ ENTITY_COLUMNS = (
     ("contest_title", "page_title"),
 )
 
+SOURCE = ("source_url", "source_entity_type", "source_entity_id", "lang")
+# more terms than an array can have
+PLACES = 1 << 31
+
 
 def _entries(values: Column, kind: int, term_type: str, method: str) -> Column:
     """Array of strings to an array of term entries that remember their place."""
@@ -119,11 +124,21 @@ def _one_entry(value: Column, kind: int, term_type: str, method: str) -> Column:
     return F.filter(_entries(F.array(value), kind, term_type, method), lambda e: e["term"] != "")
 
 
-def page_occurrences(pages: DataFrame, order: str = "url") -> DataFrame:
-    """Every term occurrence of every page, in one pass over the pages.
+def collapse_terms(df: DataFrame, order: str = "ord") -> DataFrame:
+    """One row per (lower-cased term, type): counts summed, the rest from the first row.
 
-    ``ord`` is the place in the reading order: (row, kind of source, position).
+    Sums and firsts combine before the shuffle, so a term found everywhere
+    arrives as one row per map task.
     """
+    rest = [c for c in CANDIDATES.fieldNames() if c not in ("term_type", "term_count")]
+    grouped = df.groupBy(F.lower("term").alias("_key"), "term_type").agg(
+        F.sum("term_count").alias("term_count"), F.min_by(F.struct(*rest), F.struct(order, *rest)).alias("_first")
+    )
+    return grouped.select("_first.*", "term_type", "term_count").select(*CANDIDATES.fieldNames())
+
+
+def page_rows(pages: DataFrame, order: str = "url") -> DataFrame:
+    """Every page with what its terms have in common and ``entries``, its terms in reading order, in one pass."""
     def text(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(""))
 
@@ -133,22 +148,22 @@ def page_occurrences(pages: DataFrame, order: str = "url") -> DataFrame:
         text("content_type").alias("source_entity_type"),
         F.lit("").alias("source_entity_id"),
         F.substring(text("lang"), 1, 2).alias("lang"),
-        text("title").alias("source_title"),
+        text("title").alias("_title"),
         "h1", "h2", "h3",
         clean(F.concat_ws(" ", text("meta_description"), text("body_text"))).alias("_text"),
     )
     entries = F.concat(
-        _one_entry(F.col("source_title"), KIND["title"], "page_title", "title"),
+        _one_entry(F.col("_title"), KIND["title"], "page_title", "title"),
         *[_heading_parts(c) for c in ("h1", "h2", "h3")],
         quoted_entries(F.col("_text")),
         question_entries(F.col("_text")),
         entity_entries(F.col("_text")),
     )
-    return _occurrences(prepared, entries, F.col("source_title"))
+    return prepared.select("_row", *SOURCE, "_title", F.lit(True).alias("_titled"), entries.alias("entries"))
 
 
-def entity_occurrences(entities: DataFrame, order: str = "entity_id") -> DataFrame:
-    """Every term occurrence of every entity row; description terms have no title."""
+def entity_rows(entities: DataFrame, order: str = "entity_id") -> DataFrame:
+    """Every entity row likewise; terms of its description have no title."""
     prepared = entities.select(
         F.col(order).alias("_row"),
         F.coalesce("public_url", F.lit("")).alias("source_url"),
@@ -165,39 +180,42 @@ def entity_occurrences(entities: DataFrame, order: str = "entity_id") -> DataFra
     ]
     text = F.col("_text")
     entries = F.concat(*named, quoted_entries(text), question_entries(text), entity_entries(text))
-    from_text = F.col("_e.kind") >= KIND["quoted_span"]
-    return _occurrences(prepared, entries, F.when(from_text, "").otherwise(F.col("_title")))
+    return prepared.select("_row", *SOURCE, "_title", F.lit(False).alias("_titled"), entries.alias("entries"))
 
 
-def _occurrences(prepared: DataFrame, entries: Column, source_title: Column) -> DataFrame:
-    rows = prepared.withColumn("_e", F.explode(entries))
-    return rows.select(
-        F.col("_e.term").alias("term"), "source_url", "source_entity_type", "source_entity_id", "lang",
-        F.col("_e.term_type").alias("term_type"), F.lit(1).cast("bigint").alias("term_count"),
-        source_title.alias("source_title"), F.col("_e.extraction_method").alias("extraction_method"),
-        F.struct(F.col("_row"), F.col("_e.kind").alias("kind"), F.col("_e.pos").alias("pos")).alias("ord"),
-    )
+def first_terms(rows: DataFrame) -> DataFrame:
+    """One row per (lower-cased term, type): occurrences counted, the rest from the first one in reading order.
 
-
-def collapse_terms(df: DataFrame, order: str = "ord") -> DataFrame:
-    """One row per (lower-cased term, type): counts summed, the rest from the first row.
-
-    Sums and firsts combine before the shuffle, so a term found everywhere
-    arrives as one row per map task.
+    Rows are read in the order of ``_row``, rows equal in it by a hash of their content. They are
+    written in that order, each with a rising address, so that an occurrence's place is a number
+    and occurrences are hashed and combined map-side without their texts. Only the first of each
+    term is fetched, by its address.
     """
-    rest = [c for c in CANDIDATES.fieldNames() if c not in ("term_type", "term_count")]
-    grouped = df.groupBy(F.lower("term").alias("_key"), "term_type").agg(
-        F.sum("term_count").alias("term_count"), F.min_by(F.struct(*rest), F.struct(order, *rest)).alias("_first")
+    found = stage(rows, "mined")
+    content = F.xxhash64(*[c for c in found.columns if c != "_row"])
+    placed = stage(found.orderBy("_row", content).drop("_row").withColumn("_at", F.monotonically_increasing_id()), "mined-in-order")
+    seen = placed.select("_at", F.posexplode("entries").alias("_pos", "_e"))
+    place = F.col("_at").cast("decimal(19,0)") * F.lit(PLACES).cast("decimal(10,0)") + F.col("_pos").cast("decimal(10,0)")
+    firsts = seen.groupBy(F.lower("_e.term").alias("_key"), F.col("_e.term_type").alias("term_type")).agg(
+        F.count("*").alias("term_count"), F.min(place).alias("_place")
+    )
+    winners = firsts.select(
+        "term_type", "term_count", F.expr(f"_place div {PLACES}").alias("_at"), F.expr(f"_place % {PLACES}").cast("int").alias("_pos")
+    )
+    fetched = winners.join(placed, "_at").withColumn("_e", F.get("entries", F.col("_pos")))
+    titled = F.col("_titled") | (F.col("_e.kind") < KIND["quoted_span"])
+    return fetched.select(
+        F.col("_e.term").alias("term"), *SOURCE, "term_type", "term_count",
+        F.when(titled, F.col("_title")).otherwise("").alias("source_title"), F.col("_e.extraction_method").alias("extraction_method"),
     )
-    return grouped.select("_first.*", "term_type", "term_count").select(*CANDIDATES.fieldNames())
 
 
 def mine_pages(pages: DataFrame, order: str = "url") -> DataFrame:
-    return collapse_terms(page_occurrences(pages, order))
+    return first_terms(page_rows(pages, order))
 
 
 def mine_entities(entities: DataFrame, order: str = "entity_id") -> DataFrame:
-    return collapse_terms(entity_occurrences(entities, order))
+    return first_terms(entity_rows(entities, order))
 
 
 def union_candidates(*families: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from termtide.operators import terms
 from termtide.operators.planning import select_terms
+from termtide.schemas import CANDIDATES
 
 TEXTS = [
     "Prince Hamlet met Ophelia of the North. Why did Hamlet wait so long? \"To Be Or Not\" is a line.",
@@ -55,6 +56,44 @@ def test_collapse_keeps_sums_and_first_rows(spark):
     assert out == {"hamlet": ("u2", 9), "Other": ("u4", 2)}
 
 
+def test_first_terms_by_place(spark):
+    ddl = "url string, lang string, title string, meta_description string, h1 string, h2 string, h3 string, body_text string, content_type string"
+    rows = [
+        ("b", "en", "HAMLET", "", "", "", "", "He met Old Hamlet and Old Hamlet.", "page"), ("a", "en-GB", "", "", "hamlet | Hamlet", "", "", "Then OLD HAMLET left. Old Hamlet!", "book"),
+        (None, None, None, None, None, None, None, "So Old Hamlet", None), ("c", "en", "", "", "", "", "", "", "page"), ("c", "en", "", "", "", "", "", "", "page"),
+        ("d", "en", "Twice", "", "", "", "", "", "page"), ("d", "en", "Twice", "", "", "", "", "", "page"),
+    ]
+    pages = spark.createDataFrame(rows, ddl)
+    for df in (pages.repartition(5), pages.coalesce(1)):
+        found = terms.mine_pages(df)
+        assert found.columns == CANDIDATES.fieldNames() and found.schema["term_count"].dataType.typeName() == "long"
+        got = {(r.term, r.term_type): (r.source_url, r.lang, r.term_count, r.source_title, r.extraction_method) for r in found.collect()}
+        assert got["HAMLET", "page_title"] == ("b", "en", 1, "HAMLET", "title")
+        assert got["hamlet", "heading"] == ("a", "en", 2, "", "h1")
+        # a missing url is read first
+        counted = {t.lower(): v for (t, kind), v in got.items() if kind == "character"}
+        assert counted["old hamlet"][:3] == ("", "", 4) or counted["so old hamlet"][:3] == ("", "", 1)
+        assert got["Twice", "page_title"] == ("d", "en", 2, "Twice", "title")
+    assert terms.mine_pages(pages.limit(0)).collect() == []
+
+
+def test_terms_are_hashed_not_sorted(spark):
+    rows = spark.createDataFrame([(1, "u", "t", "i", "en", "x", True, [(0, 0, "Term", "heading", "h1")])], "_row int, source_url string, source_entity_type string, source_entity_id string, lang string, _title string, _titled boolean, entries array<struct<kind:int,pos:int,term:string,term_type:string,extraction_method:string>>")
+    found = terms.first_terms(rows)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    assert [tuple(r) for r in found.collect()] == [("Term", "u", "t", "i", "en", "heading", 1, "x", "h1")]
+
+
+def test_select_terms_cut(spark):
+    ddl = "term string, source_url string, source_entity_id string, term_type string, term_count bigint"
+    rows = [("Same", "b", "", "heading", 5), ("same ", "a", "", "heading", 5), ("x", None, None, "heading", None), ("y", "u", "", "heading", 2**62), ("low", "u", "", "unknown", 9), ("top", "u", "", "book_title", 1), ("SAME", "u", "", "unknown", 99)]
+    df = spark.createDataFrame(rows, ddl)
+    assert [r.term for r in select_terms(df, 10).collect()] == ["top", "x", "y", "Same", "low"]
+    assert [r.term for r in select_terms(df.repartition(4), 4).collect()] == ["top", "x", "y", "Same"]
+    assert select_terms(df, 0).collect() == [] and select_terms(df.limit(0), 3).collect() == []
+
+
 def test_pages_come_before_entities_and_priorities_hold(spark):
     ddl = ("term string, source_url string, source_entity_type string, source_entity_id string, lang string, term_type string, "
            "term_count bigint, source_title string, extraction_method string")
