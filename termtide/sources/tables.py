@@ -10,6 +10,8 @@ from ..schemas import ENTITIES, EXPORT, ensure_columns
 from .quoted_csv import read_csv
 
 MARKET_COLUMNS = ("location_code", "language_code")
+# compressed Parquet that one part of a dealt out table comes from
+PART_BYTES = 8 << 20
 
 
 def write_table(df: DataFrame, path: str, by_market: bool = False) -> None:
@@ -31,10 +33,27 @@ def spread_few_files(df: DataFrame) -> DataFrame:
     """Rows of a table with fewer files than cores, dealt out to all cores.
 
     A file may be one unsplittable piece, and text work on it would keep one core
-    busy. Tables of many files, which large ones are, stay as they are.
+    busy. The number of parts follows the size of the files, so that what a task holds
+    does not. Tables of many files, which large ones are, stay as they are.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    spark, files = df.sparkSession, df.inputFiles()
+    cores = spark.sparkContext.defaultParallelism
+    if len(files) >= cores:
+        return df
+    return df.repartition(max(cores, -(-_total_bytes(spark, files) // PART_BYTES)))
+
+
+def spread_by_size(df: DataFrame, part_bytes: int) -> DataFrame:
+    """Rows of a table, of however many files, dealt out by size: for work that makes many rows of one."""
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, -(-_total_bytes(spark, df.inputFiles()) // part_bytes)))
+
+
+def _total_bytes(spark: SparkSession, files: list[str]) -> int:
+    """Size of some files, from their listing alone."""
+    if not files:
+        return 0
+    return spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0] or 0
 
 
 def read_optional_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:

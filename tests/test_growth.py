@@ -5,7 +5,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from termtide.sources import raw as raw_io
+from termtide.sources import raw as raw_io, tables
 
 
 def line(keyword, day):
@@ -25,3 +25,14 @@ def test_log_is_compressed_and_read_back(spark, tmp_path):
     assert 5 * size < 2 * sum(map(len, lines))
     back = raw_io.read_raw(spark, folder).select(F.col("request")[0]["keyword"].alias("k"), F.size(F.col("response.tasks")[0]["result"][0]["items"]).alias("n"))
     assert sorted((r.k, r.n) for r in back.collect()) == sorted((f"k{i}", 50) for i in range(300) for _ in range(2))
+
+
+def test_parts_follow_the_size_of_the_files(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t.parquet")
+    spark.range(20000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h")).coalesce(1).write.parquet(path)
+    size = sum(p.stat().st_size for p in Path(path).glob("*.parquet"))
+    cores = spark.sparkContext.defaultParallelism
+    assert tables.spread_few_files(spark.read.parquet(path)).rdd.getNumPartitions() == cores
+    monkeypatch.setattr(tables, "PART_BYTES", size // 40)
+    dealt = tables.spread_few_files(spark.read.parquet(path))
+    assert dealt.rdd.getNumPartitions() in (40, 41) and dealt.count() == 20000
