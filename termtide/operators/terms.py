@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
-from pyspark.ml.feature import NGram
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import FALLBACK_LANGUAGE, LANGUAGES, LanguageSignals
@@ -244,24 +242,31 @@ def repeated_phrases(
 ) -> DataFrame:
     """Word n-grams without a stopword at either end, found in several documents.
 
-    A document yields each phrase once, so counting rows counts documents.
+    A document yields each phrase once, so counting rows counts documents. Stopwords are
+    single words; which words are is found once per word, not once per phrase.
     """
     words = F.regexp_extract_all(F.lower(as_column(text)), F.lit(r"[\p{L}\p{N}_'’]+"), F.lit(0))
     rows = df.select(F.substring(F.coalesce(F.col(lang), F.lit("")), 1, 2).alias("_lang"), words.alias("_words"))
-    for n in sizes:
-        rows = NGram(n=n, inputCol="_words", outputCol=f"_grams{n}").transform(rows)
-    grams = F.array_distinct(F.concat(*[F.col(f"_grams{n}") for n in sizes]))
-    phrases = rows.select("_lang", F.explode(grams).alias("term"))
-
-    def at_an_end(stopwords: Sequence[str]) -> Column:
-        either = "|".join(re.escape(w) for w in stopwords)
-        return F.col("term").rlike(f"^(?:{either}) | (?:{either})$")
-
-    stopped = at_an_end(languages[FALLBACK_LANGUAGE].stopwords)
-    for name, signals in languages.items():
-        if name != FALLBACK_LANGUAGE:
-            stopped = F.when(F.col("_lang") == name, at_an_end(signals.stopwords)).otherwise(stopped)
-    counted = phrases.where(~stopped).groupBy("term").agg(F.count("*").alias("doc_count"))
+    named = [(name, signals.stopwords) for name, signals in languages.items() if name != FALLBACK_LANGUAGE]
+
+    def is_stopword(word: Column) -> Column:
+        found = word.isin(*languages[FALLBACK_LANGUAGE].stopwords)
+        for name, stopwords in named:
+            found = F.when(F.col("_lang") == name, word.isin(*stopwords)).otherwise(found)
+        return found
+
+    rows = rows.select("_words", F.transform("_words", is_stopword).alias("_stops"))
+
+    def phrases_of(n: int) -> Column:
+        """Phrases of ``n`` words; both ends are looked at before a phrase is put together."""
+        starts = F.when(F.size("_words") >= n, F.sequence(F.lit(0), F.size("_words") - n)).otherwise(F.array().cast("array<int>"))
+        if n > 1:
+            starts = F.filter(starts, lambda i: ~F.get("_stops", i) & ~F.get("_stops", i + n - 1))
+        return F.transform(starts, lambda i: F.array_join(F.slice("_words", i + 1, F.lit(n)), " "))
+
+    grams = F.array_distinct(F.concat(*[phrases_of(n) for n in sizes]))
+    phrases = rows.select(F.explode(grams).alias("term"))
+    counted = phrases.groupBy("term").agg(F.count("*").alias("doc_count"))
     return counted.where(F.col("doc_count") >= min_docs).select(
         "term", F.lit("noun_phrase").alias("term_type"), "doc_count", F.lit("repeated_phrase").alias("extraction_method")
     )

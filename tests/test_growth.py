@@ -5,6 +5,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from termtide.operators import terms
 from termtide.sources import raw as raw_io, tables
 
 
@@ -15,6 +16,13 @@ def line(keyword, day):
     })
 
 
+def planned(df, capsys):
+    capsys.readouterr()
+    df.explain(True)
+    text = capsys.readouterr().out
+    return text[text.index("== Optimized Logical Plan =="):text.index("== Physical Plan ==")]
+
+
 def test_log_is_compressed_and_read_back(spark, tmp_path):
     lines = [line(f"k{i}", i % 3 + 1) for i in range(300)]
     raw = raw_io.parse_raw(spark.createDataFrame([(v,) for v in lines], "value string"))
@@ -36,3 +44,14 @@ def test_parts_follow_the_size_of_the_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(tables, "PART_BYTES", size // 40)
     dealt = tables.spread_few_files(spark.read.parquet(path))
     assert dealt.rdd.getNumPartitions() in (40, 41) and dealt.count() == 20000
+
+
+def test_stopwords_are_judged_by_word(spark, capsys):
+    rows = [("The cat of the house sat", "en"), ("the cat of the house ran", "en"), ("Кот и пёс the end", "ru"), ("кот и пёс the end", "ru-RU"), (None, "en"), ("one", None)]
+    found = terms.repeated_phrases(spark.createDataFrame(rows, "t string, lang string"), "t", "lang", sizes=(1, 2, 3, 4))
+    got = {r.term: r.doc_count for r in found.collect()}
+    assert got == {
+        "the": 4, "cat": 2, "of": 2, "house": 2, "кот": 2, "и": 2, "пёс": 2, "end": 2,
+        "cat of the house": 2, "кот и пёс": 2, "пёс the": 2, "the end": 2, "пёс the end": 2, "кот и пёс the": 2,
+    }
+    assert "RLIKE" not in planned(found, capsys).upper()
