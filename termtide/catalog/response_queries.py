@@ -25,38 +25,46 @@ def _null(ddl: str) -> Column:
     return F.lit(None).cast(ddl)
 
 
-def discovery_log(spark, sf):
-    """Envelopes of discovered keywords as JSON lines, with failures and shape variants."""
-    rows = fx.disc(spark, sf)
-    site = F.col("source_endpoint") == "keywords_for_site"
-    variant = F.when(site, F.col("ord") % 2 + 3).otherwise(F.col("ord") % 3)
-    keyword = F.when(F.col("ord") % 50 == 0, "").otherwise(F.col("keyword"))
-    info = F.struct(
-        F.col("search_volume"), F.col("cpc"), F.col("competition"), F.col("competition_level"),
-        F.array("categories").alias("categories"),
-    )
+def _discovery_item(found: Column) -> Column:
+    """A discovered keyword in one of the shapes that endpoints give it."""
+    variant, keyword, categories = found["variant"], found["keyword"], F.array(found["categories"])
+    numbers = [found[c].alias(c) for c in ("search_volume", "cpc", "competition", "competition_level")]
+    info = F.struct(*numbers, categories.alias("categories"))
     info_type = "struct<search_volume:bigint,cpc:double,competition:double,competition_level:string,categories:array<string>>"
     no_info = F.struct(*[_null(t).alias(n) for n, t in (
         ("search_volume", "bigint"), ("cpc", "double"), ("competition", "double"), ("competition_level", "string"), ("categories", "array<string>"))])
-    props = F.struct("keyword_difficulty")
+    props = F.struct(found["keyword_difficulty"].alias("keyword_difficulty"))
     data = F.struct(keyword.alias("keyword"), info.alias("keyword_info"), props.alias("keyword_properties"))
     no_data = F.struct(
         _null("string").alias("keyword"), _null(info_type).alias("keyword_info"), _null("struct<keyword_difficulty:double>").alias("keyword_properties")
     )
     inline = variant == 4
-    item = F.struct(
+    return F.struct(
         F.when(variant != 1, keyword).alias("keyword"),
         F.when(variant == 1, data).when(variant == 2, no_data).alias("keyword_data"),
         F.when(variant.isin(0, 2, 3), info).when(inline, no_info).alias("keyword_info"),
         F.when(variant.isin(0, 2), props).alias("keyword_properties"),
-        *[F.when(inline, F.col(c)).alias(c) for c in ("search_volume", "cpc", "competition", "competition_level")],
-        F.when(inline, F.array("categories")).alias("categories"),
+        *[F.when(inline, found[c]).alias(c) for c in ("search_volume", "cpc", "competition", "competition_level")],
+        F.when(inline, categories).alias("categories"),
     )
+
+
+def discovery_log(spark, sf):
+    """Envelopes of discovered keywords as JSON lines, with failures and shape variants."""
     # one call returns a bounded page of items: at most 1000 orders' worth here
     chunk = F.floor(F.col("l_orderkey") / 1000)
+    rows = fx.disc(spark, sf)
+    variant = F.when(F.col("source_endpoint") == "keywords_for_site", F.col("ord") % 2 + 3).otherwise(F.col("ord") % 3)
+    keyword = F.when(F.col("ord") % 50 == 0, "").otherwise(F.col("keyword"))
+    # only plain columns are collected; the wider shapes are made of them afterwards
+    found = F.struct(
+        variant.cast("int").alias("variant"), keyword.alias("keyword"), "search_volume", "cpc", "competition", "competition_level",
+        "keyword_difficulty", "categories",
+    )
     calls = rows.groupBy("source_term", "source_endpoint", "location_code", "language_code", chunk.alias("chunk")).agg(
-        F.collect_list(item).alias("items"), F.date_trunc("quarter", F.max("collected_at")).alias("collected_at")
+        F.collect_list(found).alias("found"), F.date_trunc("quarter", F.max("collected_at")).alias("collected_at")
     )
+    calls = calls.withColumn("items", F.transform("found", _discovery_item))
     g = F.col("chunk") * 7 + F.col("location_code") * 3 + F.substring("source_term", 7, 3).cast("int")
     endpoint = F.col("source_endpoint")
     request = F.struct(

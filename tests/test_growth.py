@@ -1,10 +1,12 @@
 """What a log and a task hold must not grow faster than the input."""
 
 import json
+import re
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from termtide.catalog import response_queries
 from termtide.operators import terms
 from termtide.sources import raw as raw_io, tables
 
@@ -46,6 +48,20 @@ def test_parts_follow_the_size_of_the_files(spark, tmp_path, monkeypatch):
     assert dealt.rdd.getNumPartitions() in (40, 41) and dealt.count() == 20000
 
 
+def test_blank_lines_drop_out_and_lines_are_made_once(spark, capsys):
+    rows = spark.createDataFrame([("a",), ("",), (None,), ("  ",), ("b",)], "k string")
+    made = F.when(F.trim("k") != "", F.to_json(F.struct(F.concat(F.lit("/v3/"), "k").alias("endpoint")))).otherwise(F.col("k"))
+    raw = raw_io.parse_raw(rows.select(made.alias("value")))
+    assert sorted(r.endpoint for r in raw.collect()) == ["/v3/a", "/v3/b"]
+    assert planned(raw, capsys).count("StructsToJson") == 1
+
+
+def test_narrow_rows_are_collected(spark, sf, capsys):
+    plan = planned(response_queries.discovery_log(spark, sf), capsys)
+    collected = re.findall(r"collect_list\((.*?), 0, 0\)", plan)
+    assert collected and not any("keyword_properties" in c for c in collected)
+
+
 def test_stopwords_are_judged_by_word(spark, capsys):
     rows = [("The cat of the house sat", "en"), ("the cat of the house ran", "en"), ("Кот и пёс the end", "ru"), ("кот и пёс the end", "ru-RU"), (None, "en"), ("one", None)]
     found = terms.repeated_phrases(spark.createDataFrame(rows, "t string, lang string"), "t", "lang", sizes=(1, 2, 3, 4))
