@@ -130,12 +130,17 @@ def disc(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def metrics(spark: SparkSession, sf: str, newest_first: bool = True) -> DataFrame:
-    """Volume metrics per keyword and market, with a monthly series of 3 to 16 months."""
+    """Volume metrics per keyword and market, with a monthly series of 3 to 16 months.
+
+    Rows are grouped by spelling first, so that a normal form is worked out per spelling, not per row.
+    """
     rows = disc(spark, sf)
     month = F.year("collected_at") * 12 + F.month("collected_at") - 1
-    grouped = rows.groupBy(normalize_keyword("keyword").alias("keyword"), "location_code", "language_code").agg(
-        F.sum("l_quantity").cast("bigint").alias("q"), F.count("*").alias("n"), F.max(month).alias("base"),
-        F.max("collected_at").alias("collected_at"),
+    spelled = rows.groupBy("keyword", "location_code", "language_code").agg(
+        F.sum("l_quantity").alias("q"), F.count("*").alias("n"), F.max(month).alias("base"), F.max("collected_at").alias("collected_at")
+    )
+    grouped = spelled.groupBy(normalize_keyword("keyword").alias("keyword"), "location_code", "language_code").agg(
+        F.sum("q").cast("bigint").alias("q"), F.sum("n").alias("n"), F.max("base").alias("base"), F.max("collected_at").alias("collected_at")
     )
     q = F.col("q")
 

@@ -172,7 +172,7 @@ def flatten_volume(spark, sf):
     """Volume responses of a log on disk that holds result pages as well: only their folders are read."""
     log = new_folder(spark, "log")
     raw_io.append_raw(volume_raw(spark, sf), log)
-    raw_io.append_raw(serp_raw(spark, sf), log)
+    raw_io.append_raw(serp_pages(spark, sf), log)
     rows = op.flatten_volume(raw_io.read_raw(spark, log))
     return rows.select(
         "keyword", "location_code", "language_code", "search_volume", F.size("monthly_searches").cast("bigint").alias("n_months"),
@@ -203,8 +203,8 @@ def pct_trend(spark, sf):
 EVENT_TYPES = {"purchase": "shopping", "error": "people_also_ask", "view": "organic", "click": "video", "signup": "local_pack"}
 
 
-def serp_raw(spark, sf):
-    """Events as result pages: one per user and run of 1000 events."""
+def serp_pages(spark, sf):
+    """Events as envelopes of result pages: one per user and run of 1000 events. A log takes them as they are."""
     part = fx.table(spark, sf, "part").select((F.col("p_partkey")).alias("_part"), "p_name")
     events = fx.table(spark, sf, "events").withColumn("_part", F.col("user_id") % fx.parts(spark, sf)).join(part, "_part")
     kind = F.when(F.lit(False), "")
@@ -214,15 +214,20 @@ def serp_raw(spark, sf):
     item = F.struct("event_id", kind.alias("type"), domain.alias("domain"))
     # a run of event ids bounds the page
     pages = events.groupBy("user_id", "p_name", F.floor(F.col("event_id") / 1000).alias("run")).agg(
-        F.sort_array(F.collect_list(item)).alias("items"), F.max(F.date_trunc("second", "ts")).alias("collected_at")
+        F.sort_array(F.collect_list(item)).alias("found"), F.max(F.date_trunc("second", "ts")).alias("collected_at")
     )
-    task = F.struct(F.lit(20000).alias("status_code"), F.array(F.struct("items")).alias("result"))
-    envelope = F.struct(
+    items = F.transform("found", lambda i: F.struct(i["type"].alias("type"), i["domain"].alias("domain")))
+    task = F.struct(F.lit(20000).alias("status_code"), F.array(F.struct(items.alias("items"))).alias("result"))
+    return pages.select(
         F.lit("/v3/serp/organic/live/advanced").alias("endpoint"), F.array(F.struct(F.col("p_name").alias("keyword"))).alias("request"),
         F.struct(F.lit(20000).alias("status_code"), F.array(task).alias("tasks")).alias("response"),
         F.col("collected_at").cast("timestamp").alias("collected_at"),
     )
-    return raw_io.parse_raw(pages.select(F.to_json(envelope).alias("value")))
+
+
+def serp_raw(spark, sf):
+    """The result pages as parsed JSON lines."""
+    return raw_io.parse_raw(serp_pages(spark, sf).select(F.to_json(F.struct("*")).alias("value")))
 
 
 SERP = """page_items AS (SELECT user_id, p_name AS keyword, event_id, event_id // 1000 AS run, date_trunc('second', ts) AS ts,
@@ -264,7 +269,7 @@ def serp_stage(spark, sf):
     """The stage run twice on the table that it rewrites; the shortlist's length is its own parameter."""
     master, log = new_folder(spark, "master"), new_folder(spark, "log")
     write_version(scored(spark, sf).withColumn("keyword", F.col("keyword_normalized")), master)
-    raw_io.append_raw(serp_raw(spark, sf), log)
+    raw_io.append_raw(serp_pages(spark, sf), log)
     for _ in range(2):
         rows = stages.refresh_serp(spark, master, log, 2000)
     return rows.select(*KEY, "opportunity_score", "serp_intent", "serp_features", "serp_top_domains")
@@ -359,7 +364,7 @@ def _logged(spark, sf, times=1):
 def stream_intake(spark, sf):
     """The discovery logs of a folder that has others, too, taken in as a stream and flattened on the way."""
     sink, checkpoint, log = new_folder(spark, "discovered"), new_folder(spark, "stream"), _logged(spark, sf)
-    raw_io.append_raw(serp_raw(spark, sf), log)
+    raw_io.append_raw(serp_pages(spark, sf), log)
     intake.run_available(intake.stream_raw(spark, log, logs=KNOWN_LOGS), sink, checkpoint, op.discovered)
     return spark.read.schema(DISCOVERED).parquet(sink).drop("collected_at")
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import DEFAULT_SCORING, ScoringConfig
 from ..operators import cluster, enrich, merge, report, responses, terms
 from ..operators.score import rank_order, score
+from ..schemas import SERP_ENVELOPE
 from ..session import stage
 from ..sources import raw as raw_io, tables
 from ..sources.versions import read_current, write_version
@@ -48,8 +49,10 @@ SERP_SHORTLIST, TREND_SHORTLIST = 25, 50
 def refresh_serp(spark: SparkSession, master: str, log: str, n: int = SERP_SHORTLIST) -> DataFrame:
     """Merge logged result pages of the ``n`` best keywords into the versioned master table and write it again."""
     rows = read_current(spark, master)
-    found = responses.flatten_serp(raw_io.read_raw(spark, log, logs=responses.SERP_ENDPOINTS))
-    write_version(enrich.attach_serp(rows, _asked_for(found, rows, n)), master)
+    logged = raw_io.read_raw(spark, log, logs=responses.SERP_ENDPOINTS, shape=SERP_ENVELOPE)
+    # pages of other keywords are left before their items are looked at
+    asked = _asked_for(logged.withColumn("keyword", F.get("request", F.lit(0))["keyword"]), rows, n)
+    write_version(enrich.attach_serp(rows, responses.flatten_serp(asked)), master)
     return read_current(spark, master)
 
 

@@ -116,6 +116,14 @@ ENVELOPE = _struct(
     _fields("endpoint", STRING), _fields("request", T.ArrayType(_REQUEST)), _fields("response", _RESPONSE), _fields("collected_at", TIME)
 )
 
+# What of an envelope says which result page it holds: parsing all the other fields costs as much again.
+_PAGE_RESULT = _struct(_fields("items", T.ArrayType(_struct(_fields("type domain", STRING)))))
+_PAGE_TASK = _struct(_fields("status_code", INT), _fields("result", T.ArrayType(_PAGE_RESULT)))
+SERP_ENVELOPE = _struct(
+    _fields("endpoint", STRING), _fields("request", T.ArrayType(_struct(_fields("keyword", STRING)))),
+    _fields("response", _struct(_fields("status_code", INT), _fields("tasks", T.ArrayType(_PAGE_TASK)))), _fields("collected_at", TIME),
+)
+
 # The export's columns in order.
 EXPORT_COLUMNS = (
     "keyword",

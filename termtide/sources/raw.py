@@ -38,24 +38,28 @@ def _folders(path: str, logs: Sequence[str], days: Sequence[str]) -> str:
     return f"{path}/{one('log', logs)}/{one('dt', days)}"
 
 
-def read_raw(spark: SparkSession, path: str, logs: Sequence[str] = (), days: Sequence[str] = ()) -> DataFrame:
+def read_raw(
+    spark: SparkSession, path: str, logs: Sequence[str] = (), days: Sequence[str] = (), shape: T.StructType = ENVELOPE
+) -> DataFrame:
     """All logged envelopes under a path with their ``log`` and day (``dt``), or those of some; blank lines drop out.
 
     Both are partition columns: a filter on them is a filter on folders, and given logs or
     days only their folders are listed. Older files beside the folders are read as well,
-    their log and day come from the lines. A missing path is empty.
+    their log and day come from the lines. A missing path is empty. A ``shape`` with only the
+    fields that the caller needs saves making the others; it has endpoint and time.
     """
-    foldered = _found(spark.read.schema(LOGGED).option("basePath", path), _folders(path, logs, days))
-    beside = _found(spark.read.schema(ENVELOPE).option("recursiveFileLookup", "true"), f"{path}/{_BESIDE}")
+    logged = T.StructType(shape.fields + LOGGED.fields[-2:])
+    foldered = _found(spark.read.schema(logged).option("basePath", path), _folders(path, logs, days))
+    beside = _found(spark.read.schema(shape).option("recursiveFileLookup", "true"), f"{path}/{_BESIDE}")
     if foldered is None and beside is None:
         # the path of a single file, or nothing
-        beside = _found(spark.read.schema(ENVELOPE).option("pathGlobFilter", "[^_.]*"), path)
+        beside = _found(spark.read.schema(shape).option("pathGlobFilter", "[^_.]*"), path)
     if beside is not None:
         beside = _named(beside)
         for column, values in (("log", logs), ("dt", days)):
             beside = beside.where(F.col(column).isin(*values)) if values else beside
     parts = [p for p in (foldered, beside) if p is not None]
-    return reduce(DataFrame.unionByName, parts) if parts else empty(spark, LOGGED)
+    return reduce(DataFrame.unionByName, parts) if parts else empty(spark, logged)
 
 
 def _found(reader, path: str) -> DataFrame | None:

@@ -1,13 +1,17 @@
 """What a log and a task hold must not grow faster than the input."""
 
+import gzip
 import json
 import re
+from datetime import datetime
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from termtide.catalog import response_queries
-from termtide.operators import terms
+from termtide.catalog import fixtures, response_queries
+from termtide.operators import responses, terms
+from termtide.plans import stages
+from termtide.schemas import SERP_ENVELOPE
 from termtide.sources import raw as raw_io, tables
 
 
@@ -71,3 +75,60 @@ def test_stopwords_are_judged_by_word(spark, capsys):
         "cat of the house": 2, "кот и пёс": 2, "пёс the": 2, "the end": 2, "пёс the end": 2, "кот и пёс the": 2,
     }
     assert "RLIKE" not in planned(found, capsys).upper()
+
+
+def event_tables(spark, folder):
+    """Events of a few users, some in two runs, and parts of which one has no name."""
+    kinds = ["purchase", "error", "view", "click", "signup"]
+    events = [(i * 37, datetime(2024, 1, 1 + i % 9, 3, 4, 5, 678), i * 7 % 11 or None, kinds[i * 3 % 5]) for i in range(80)]
+    spark.createDataFrame(events, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string").write.parquet(f"{folder}/events.parquet")
+    spark.createDataFrame([(0, "red ring"), (1, None), (2, "tin bolt")], "p_partkey bigint, p_name string").write.parquet(f"{folder}/part.parquet")
+    return folder
+
+
+def test_result_pages_go_into_a_log_as_they_are(spark, tmp_path, capsys):
+    sf = event_tables(spark, str(tmp_path))
+    pages, parsed = response_queries.serp_pages(spark, sf), response_queries.serp_raw(spark, sf)
+    assert "JsonToStructs" not in planned(pages, capsys) and "from_json" not in planned(pages, capsys)
+    logs = []
+    for name, rows in (("direct", pages), ("parsed", parsed)):
+        raw_io.append_raw(rows, f"{tmp_path}/{name}")
+        found = Path(f"{tmp_path}/{name}").rglob("part-*")
+        logs.append(sorted((p.parent.name, v) for p in found for v in gzip.open(p, "rt").read().splitlines()))
+    assert logs[0] == logs[1] and len(logs[0]) > 20
+
+
+def test_result_pages_are_read_by_the_fields_that_they_need(spark, tmp_path, monkeypatch):
+    log, master = f"{tmp_path}/log", f"{tmp_path}/master"
+    lines = [
+        {"endpoint": "/v3/serp/organic/live/advanced", "request": [{"keyword": f"k{i % 3}", "depth": 10}], "collected_at": f"2024-01-0{i % 4 + 1}T00:00:00Z",
+         "response": {"status_code": 40000 if i == 5 else 20000, "tasks": [{"status_code": 20000, "status_message": "Ok", "result": [{"keyword": "k", "items": [
+             {"type": ("video", "organic", "")[(i + j) % 3], "domain": f"d{j}.example", "keyword_info": {"cpc": 1.5}} for j in range(i)] or None}, None]}]}}
+        for i in range(9)
+    ]
+    odd = [{"endpoint": "/v3/serp/organic/live", "collected_at": "2024-01-01T00:00:00Z"}, {"endpoint": "/v3/serp/organic/live", "request": [{"keyword": "k0"}]}]
+    raw_io.append_raw(raw_io.parse_raw(spark.createDataFrame([(json.dumps(v),) for v in lines + odd], "value string")), log)
+    Path(f"{tmp_path}/old-20240105.jsonl").write_text(json.dumps({**lines[4], "collected_at": None}) + "\n")
+    for path in (log, str(tmp_path)):
+        wide = responses.flatten_serp(raw_io.read_raw(spark, path, logs=["organic"]))
+        narrow = responses.flatten_serp(raw_io.read_raw(spark, path, logs=["organic"], shape=SERP_ENVELOPE))
+        assert wide.schema == narrow.schema and sorted(map(str, wide.collect())) == sorted(map(str, narrow.collect()))
+    assert narrow.count() >= 1 and raw_io.read_raw(spark, f"{tmp_path}/none", shape=SERP_ENVELOPE).count() == 0
+    shapes, read = [], raw_io.read_raw
+    monkeypatch.setattr(raw_io, "read_raw", lambda *a, **k: shapes.append(k.get("shape")) or read(*a, **k))
+    taken, flatten = [], responses.flatten_serp
+    monkeypatch.setattr(responses, "flatten_serp", lambda raw: taken.extend(raw.select("request.keyword").distinct().collect()) or flatten(raw))
+    scored = [(f"k{i}", f"k{i}", 1, "en", 1.0 - i / 10, True, 5.0, 0.0) for i in range(4)]
+    columns = "keyword string, keyword_normalized string, location_code int, language_code string, opportunity_score double, passes_filters boolean, search_volume double, competition double"
+    stages.write_version(spark.createDataFrame(scored, columns), master)
+    rows = {r.keyword: r.serp_features for r in stages.refresh_serp(spark, master, log, 2).collect()}
+    assert shapes == [SERP_ENVELOPE] and rows["k2"] is None and rows["k3"] is None and rows["k1"] == "organic|video"
+    # items of other keywords' pages are not looked at
+    assert sorted(r.keyword for r in taken) == [["k0"], ["k1"]]
+
+
+def test_normal_forms_are_made_per_spelling(spark, sf, capsys):
+    plan = planned(fixtures.metrics(spark, sf), capsys)
+    # the grouping that reads the rows goes by the spelling itself
+    assert re.search(r"Aggregate \[keyword#\d+, location_code#\d+, language_code#\d+\], \[[^\n]*sum\(l_quantity", plan)
+    assert "regexp_replace" in plan
