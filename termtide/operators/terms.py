@@ -17,9 +17,11 @@ QUESTION_WORDS = (
     "why", "how", "who", "what", "when", "where", "did", "is", "was",
     "почему", "как", "кто", "что", "когда", "где",
 )
-QUESTION = rf"(?iu)(?<!{WORD})((?:{'|'.join(QUESTION_WORDS)})(?!{WORD})[^.?!]{{5,80}}\??)"
+# what a match may begin with is looked at first: most places of a text need no look behind them
+QUESTION_START = r"(?=[DHIWdhiw\x{130}-\x{4ff}])"
+QUESTION = rf"{QUESTION_START}(?iu)(?<!{WORD})((?:{'|'.join(QUESTION_WORDS)})(?!{WORD})[^.?!]{{5,80}}\??)"
 NAME = r"[A-Z][\p{L}\p{N}_'’]+"
-CAPITALIZED = rf"(?U){EDGE}({NAME}(?:\s+(?:of|the|and|de|van|von)?\s*{NAME}){{0,4}}){EDGE}"
+CAPITALIZED = rf"(?U)(?=[A-Z])(?<!{WORD})({NAME}(?:\s+(?:of|the|and|de|van|von)?\s*{NAME}){{0,4}}){EDGE}"
 MIN_TERM, MAX_TERM, MIN_SINGLE = 3, 90, 4
 
 # Order in which one source row yields its terms.

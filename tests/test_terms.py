@@ -4,6 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from termtide.functions.text import EDGE, WORD
 from termtide.operators import terms
 from termtide.operators.planning import select_terms
 from termtide.schemas import CANDIDATES
@@ -114,3 +115,16 @@ def test_repeated_phrases(spark):
     df = spark.createDataFrame(rows, "i int, t string, lang string")
     found = {r.term: r.doc_count for r in terms.repeated_phrases(df, "t", "lang").collect()}
     assert found == {"green light": 2, "зелёный свет": 2}
+
+
+def test_patterns_pass_over_places_where_no_match_can_begin(spark):
+    """The patterns as the contract words them, and ours, that look at the first letter before they look behind it."""
+    asked = rf"(?iu)(?<!{WORD})((?:{'|'.join(terms.QUESTION_WORDS)})(?!{WORD})[^.?!]{{5,80}}\??)"
+    named = rf"(?U){EDGE}({terms.NAME}(?:\s+(?:of|the|and|de|van|von)?\s*{terms.NAME}){{0,4}}){EDGE}"
+    odd = ["İs it so, then", "ıs it so, then", "waſ it so, then", "ſis it so", "éis it so", "ГДЕ он живёт", "огде он живёт", "КАК-то раз было", "1Why not so", "_Why not so",
+           "ÉAb Éa xAb Ab_ A'b. 'Ab' _Ab ́Ab 9Ab", "The Cat of The\nDog", "ПОЧЕМУ ПОЧЕМУ ПОЧЕМУ", "whý not so fast", "\U0001d400Why not so"]
+    texts = spark.createDataFrame([(t,) for line in TEXTS + odd for t in (line, line.upper(), line.lower(), f"x{line}")], "t string")
+    for plain, ours in ((asked, terms.QUESTION), (named, terms.CAPITALIZED)):
+        assert re.match(r"(?:\(\?[a-zA-Z]+\))?\(\?=\[", ours)
+        found = texts.select("t", terms._all(F.col("t"), plain).alias("plain"), terms._all(F.col("t"), ours).alias("ours")).collect()
+        assert [r.plain for r in found] == [r.ours for r in found] and sum(len(r.ours) for r in found) > 30
