@@ -22,25 +22,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import stage
+from ..session import freed_shuffles, stage
 
 BLOCK_BYTES = 8 << 20
 SLICE_BYTES = 2 << 20
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """A written copy in the shared folder; the shuffle files of the job that wrote it are freed."""
-    conf = df.sparkSession.conf
-    before = conf.get(CLEANUP, None)
-    conf.set(CLEANUP, "true")
-    try:
+    with freed_shuffles(df.sparkSession):
         return stage(df, label)
-    finally:
-        if before is None:
-            conf.unset(CLEANUP)
-        else:
-            conf.set(CLEANUP, before)
 
 
 def block_count(df: DataFrame, text: str, block_bytes: int = BLOCK_BYTES) -> int:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..config import KNOWN_LOGS
 from ..schemas import ENVELOPE, empty
+from ..session import freed_shuffles
 
 # an envelope with the folders that it lies in
 LOGGED = T.StructType(ENVELOPE.fields + [T.StructField("log", T.StringType()), T.StructField("dt", T.StringType())])
@@ -112,11 +113,25 @@ def day_stamp(time: str) -> Column:
     return F.date_format(time, "yyyyMMdd")
 
 
-def append_raw(raw: DataFrame, path: str) -> None:
-    """Append envelopes, foldered by log name and date stamp.
+def logged_lines(raw: DataFrame) -> DataFrame:
+    """Envelopes as the lines (``value``) that a log has, with the log and day of their folder and their time."""
+    fields = [c for c in raw.columns if c not in ("log", "dt")]
+    line = F.to_json(F.struct(*fields))
+    return raw.select(line.alias("value"), log_name("endpoint").alias("log"), day_stamp("collected_at").alias("dt"), "collected_at")
+
+
+def append_lines(lines: DataFrame, path: str) -> None:
+    """Append ``logged_lines``, foldered by log name and date stamp.
 
     Rebalancing gathers small folders into few files and splits a folder that
-    most rows go to over several tasks.
+    most rows go to over several tasks. It moves lines, which are a fraction of parsed
+    envelopes, and its files go once they are written. Sorted lines pack more tightly.
     """
-    placed = raw.withColumns({"log": log_name("endpoint"), "dt": day_stamp("collected_at")})
-    placed.hint("rebalance", "log", "dt").write.mode("append").partitionBy("log", "dt").json(path, compression=CODEC)
+    balanced = lines.select("value", "log", "dt").hint("rebalance", "log", "dt").sortWithinPartitions("log", "dt", "value")
+    with freed_shuffles(lines.sparkSession):
+        balanced.write.mode("append").partitionBy("log", "dt").text(path, compression=CODEC)
+
+
+def append_raw(raw: DataFrame, path: str) -> None:
+    """Append envelopes to a log, as lines in folders by log name and date stamp."""
+    append_lines(logged_lines(raw), path)

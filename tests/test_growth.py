@@ -3,11 +3,13 @@
 import gzip
 import json
 import re
+from collections import Counter
 from datetime import datetime
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from termtide import session
 from termtide.catalog import fixtures, response_queries
 from termtide.operators import responses, terms
 from termtide.plans import stages
@@ -132,3 +134,79 @@ def test_normal_forms_are_made_per_spelling(spark, sf, capsys):
     # the grouping that reads the rows goes by the spelling itself
     assert re.search(r"Aggregate \[keyword#\d+, location_code#\d+, language_code#\d+\], \[[^\n]*sum\(l_quantity", plan)
     assert "regexp_replace" in plan
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+
+def test_append_gives_back_what_moved_its_lines(spark, tmp_path, capsys):
+    raw = raw_io.parse_raw(spark.createDataFrame([(line(f"k{i % 7}", i % 3 + 1),) for i in range(60)], "value string"))
+    before = shuffle_files(spark)
+    raw_io.append_raw(raw, str(tmp_path / "log"))
+    assert shuffle_files(spark) <= before
+    # lines are moved, not envelopes
+    made = raw_io.logged_lines(raw)
+    assert made.columns == ["value", "log", "dt", "collected_at"] and dict(made.dtypes)["value"] == "string"
+    again = [v for v in Path(tmp_path / "log").rglob("part-*")]
+    assert sum(len(gzip.open(p, "rt").read().splitlines()) for p in again) == 60
+    for p in again:
+        found = gzip.open(p, "rt").read().splitlines()
+        assert found == sorted(found) and all(json.loads(v)["collected_at"][:10].replace("-", "") == p.parent.name[3:] for v in found)
+
+
+def test_a_passing_stage_goes_with_its_block(spark):
+    before = shuffle_files(spark)
+    rows = spark.range(1000).withColumn("k", F.col("id") % 7).groupBy("k").agg(F.count("*").alias("n"))
+    with session.passing_stage(rows, "t") as kept:
+        path = Path(kept.inputFiles()[0].removeprefix("file:")).parent
+        assert shuffle_files(spark) <= before and path.exists()
+        assert kept.columns == rows.columns and sum(r.n for r in kept.collect()) == 1000
+    assert not path.exists()
+    try:
+        with session.passing_stage(rows, "t") as kept:
+            path = Path(kept.inputFiles()[0].removeprefix("file:")).parent
+            raise KeyError
+    except KeyError:
+        assert not path.exists()
+
+
+def line_tables(spark, folder):
+    """Line items of odd names: quotes, and the very text that an empty list of items has."""
+    brands, names = ['Brand#12 "items":[]', "Brand#3", "Brand#25", None], ['a "b" \\ c', '{"items":[]}', "tin\nbolt", None]
+    parts = [(i, names[i % 4], brands[i // 4], "LARGE" if i % 3 else None, i * 7 if i % 5 else None) for i in range(16)]
+    spark.createDataFrame(parts, "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int").write.parquet(f"{folder}/part.parquet")
+    spark.createDataFrame([(0, 24), (1, 3), (2, None)], "s_suppkey bigint, s_nationkey int").write.parquet(f"{folder}/supplier.parquet")
+    lines = [
+        (i % 9 * 400, i % 17, i % 3, i % 4, float(i % 5) if i % 11 else None, 1.0, i % 7 / 100, i % 3 / 100, "ANR"[i % 3], "O", datetime(2024, 1 + i % 12, 2))
+        for i in range(300)
+    ]
+    columns = ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+               "l_returnflag string, l_linestatus string, l_shipdate timestamp")
+    spark.createDataFrame(lines, columns).write.parquet(f"{folder}/lineitem.parquet")
+    return folder
+
+
+def test_items_are_collected_as_the_text_of_their_line(spark, tmp_path, capsys):
+    sf = line_tables(spark, str(tmp_path))
+    log = response_queries.discovery_log(spark, sf)
+    assert re.findall(r"collect_list\(item#\d+, 0, 0\)", planned(log, capsys))
+    rows = fixtures.disc(spark, sf).collect()
+    got = [json.loads(r.value) for r in log.collect()]
+    results = [t["result"][0]["items"] for g in got for t in g["response"]["tasks"] if "result" in t]
+    plain = [i.get("keyword") or i.get("keyword_data", {}).get("keyword") for items in results for i in items]
+    assert len(rows) > 250 and sum(len(r) for r in results) > 100 and any('"items":[]' in (k or "") for k in plain)
+    assert any('"items":[]' in g["request"][0].get("keyword", "") for g in got)
+    # flattened, the rows come back whatever their texts are
+    flat = responses.discovered(raw_io.parse_raw(log)).collect()
+    key = lambda x: (x.keyword, x.source_endpoint, x.location_code, x.cpc, x.search_volume, x.competition, x.competition_level)
+    assert len(flat) > 50 and not Counter(map(key, flat)) - Counter(map(key, rows))
+
+
+def test_a_log_appended_twice_leaves_no_lines_beside_it(spark, tmp_path):
+    sf, folder = line_tables(spark, str(tmp_path)), Path(session.shared_folder(spark).removeprefix("file:")) / "termtide"
+    before, files = set(folder.glob("*")) if folder.exists() else set(), shuffle_files(spark)
+    log = response_queries._logged(spark, sf, times=2)
+    assert [p.name for p in set(folder.glob("*")) - before] == [log.rsplit("/", 1)[-1]] and shuffle_files(spark) <= files
+    assert raw_io.read_raw(spark, log).count() == 2 * response_queries.discovery_log(spark, sf).count()
