@@ -210,3 +210,15 @@ def test_a_log_appended_twice_leaves_no_lines_beside_it(spark, tmp_path):
     log = response_queries._logged(spark, sf, times=2)
     assert [p.name for p in set(folder.glob("*")) - before] == [log.rsplit("/", 1)[-1]] and shuffle_files(spark) <= files
     assert raw_io.read_raw(spark, log).count() == 2 * response_queries.discovery_log(spark, sf).count()
+
+
+def test_a_stream_takes_in_a_log_with_nothing_left_of_its_making(spark, tmp_path):
+    sf, folder = line_tables(spark, str(tmp_path)), Path(session.shared_folder(spark).removeprefix("file:")) / "termtide"
+    events = [(i * 37, datetime(2024, 1, 1 + i % 9), i % 11, "view") for i in range(50)]
+    spark.createDataFrame(events, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string").write.parquet(f"{sf}/events.parquet")
+    before, files = set(folder.glob("*")), shuffle_files(spark)
+    rows = response_queries.stream_intake(spark, sf)
+    made = {p.name.split("-")[0] for p in set(folder.glob("*")) - before}
+    assert made == {"discovered", "stream", "log"} and shuffle_files(spark) <= files
+    wanted = responses.discovered(response_queries.discovery_raw(spark, sf)).drop("collected_at")
+    assert rows.count() > 50 and sorted(map(str, rows.collect())) == sorted(map(str, wanted.collect()))
