@@ -108,8 +108,8 @@ def term_type_counts(spark, sf):
     return op.term_type_counts(fx.candidates(spark, sf))
 
 
-# compressed documents whose phrases one task counts
-PHRASE_BYTES = 4 << 20
+# compressed documents whose phrases one task sends, and counts
+SENT_BYTES, PHRASE_BYTES = 8 << 20, 4 << 20
 STOPS = sql.texts(sql.LANGUAGES["en"].stopwords)
 
 
@@ -125,8 +125,8 @@ STOPS = sql.texts(sql.LANGUAGES["en"].stopwords)
     SELECT term, 'noun_phrase' AS term_type, count(*) AS doc_count, 'repeated_phrase' AS extraction_method FROM k WHERE term IS NOT NULL GROUP BY term HAVING count(*) >= 2""")
 def repeated_phrases(spark, sf):
     """Small parts: a task counts the phrases of few documents, so that its table of them fits its memory."""
-    docs = tables.spread_by_size(spark.read.parquet(f"{sf}/documents.parquet"), PHRASE_BYTES)
-    return op.repeated_phrases(docs, "text", "lang")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    return op.repeated_phrases(tables.spread_by_size(docs, SENT_BYTES), "text", "lang", parts=tables.parts_by_size(docs, PHRASE_BYTES))
 
 
 PRIORITY = """CASE term_type WHEN 'book_title' THEN 0 WHEN 'author' THEN 1 WHEN 'page_title' THEN 2 WHEN 'character' THEN 3 WHEN 'heading' THEN 4

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -241,12 +242,19 @@ def repeated_phrases(
     languages: Mapping[str, LanguageSignals] = LANGUAGES,
     sizes: tuple[int, ...] = (2, 3, 4),
     min_docs: int = 2,
+    parts: int | None = None,
 ) -> DataFrame:
     """Word n-grams without a stopword at either end, found in several documents.
 
     A document yields each phrase once, so counting rows counts documents. Stopwords are
     single words; which words are is found once per word, not once per phrase.
+
+    Phrases that begin at one word are sent as one row: the longest of them, which the others
+    begin, and which of them a document has not sent yet. Rows meet in ``parts`` by what the shortest
+    phrase is, and are told apart and counted there.
     """
+    sizes = tuple(sorted(set(sizes)))
+    mark = {n: chr(ord("a") + k) for k, n in enumerate(sizes)}
     words = F.regexp_extract_all(F.lower(as_column(text)), F.lit(r"[\p{L}\p{N}_'’]+"), F.lit(0))
     rows = df.select(F.substring(F.coalesce(F.col(lang), F.lit("")), 1, 2).alias("_lang"), words.alias("_words"))
     named = [(name, signals.stopwords) for name, signals in languages.items() if name != FALLBACK_LANGUAGE]
@@ -257,18 +265,46 @@ def repeated_phrases(
             found = F.when(F.col("_lang") == name, word.isin(*stopwords)).otherwise(found)
         return found
 
-    rows = rows.select("_words", F.transform("_words", is_stopword).alias("_stops"))
+    rows = rows.select(F.transform("_words", is_stopword).alias("_stops"), F.transform("_words", lambda w: F.concat(F.lit(" "), w)).alias("_words"))
+
+    def is_phrase(i: Column, n: int) -> Column:
+        """Whether ``n`` words from a place on are one; null beyond the text's end."""
+        if n == 1:
+            return F.lit(True)
+        return ~F.get("_stops", i + n - 1) & ~F.get("_stops", i) if 1 in sizes else ~F.get("_stops", i + n - 1)
 
-    def phrases_of(n: int) -> Column:
-        """Phrases of ``n`` words; both ends are looked at before a phrase is put together."""
-        starts = F.when(F.size("_words") >= n, F.sequence(F.lit(0), F.size("_words") - n)).otherwise(F.array().cast("array<int>"))
-        if n > 1:
-            starts = F.filter(starts, lambda i: ~F.get("_stops", i) & ~F.get("_stops", i + n - 1))
-        return F.transform(starts, lambda i: F.array_join(F.slice("_words", i + 1, F.lit(n)), " "))
+    def longest(i: Column) -> Column:
+        """The longest phrase from a place on, each word after a space, then which shorter ones there are."""
+        found = F.when(F.lit(False), "")
+        for n in sizes[::-1]:
+            shorter = [F.when(is_phrase(i, m), mark[m]).otherwise("") for m in sizes if m < n]
+            found = found.when(is_phrase(i, n), F.concat(*[F.get("_words", i + j) for j in range(n)], F.lit(f"\t{mark[n]}"), *shorter))
+        return found
 
-    grams = F.array_distinct(F.concat(*[phrases_of(n) for n in sizes]))
-    phrases = rows.select(F.explode(grams).alias("term"))
-    counted = phrases.groupBy("term").agg(F.count("*").alias("doc_count"))
+    places = F.when(F.size("_words") > 0, F.sequence(F.lit(0), F.size("_words") - 1)).otherwise(F.array().cast("array<int>"))
+    if 1 not in sizes:
+        places = F.filter(places, lambda i: ~F.get("_stops", i))
+    # sorted, phrases that begin alike stand together: no word has a character before the space
+    ordered = rows.select(F.sort_array(F.array_compact(F.transform(places, longest))).alias("_found"))
+    pairs = ordered.select(F.explode(F.transform("_found", lambda x, i: F.struct(x.alias("own"), F.get("_found", i - 1).alias("last")))).alias("_p"))
+
+    def words_of(name: str) -> Column:
+        return F.substring_index(f"_p.{name}", "\t", 1)
+
+    def begin(name: str, n: int) -> Column:
+        return F.substring_index(words_of(name), " ", n + 1)
+
+    marks = F.substring_index("_p.own", "\t", -1)
+    fresh = [F.when(F.contains(marks, F.lit(mark[n])) & ~begin("own", n).eqNullSafe(begin("last", n)), 1 << k).otherwise(0) for k, n in enumerate(sizes)]
+    head = begin("own", sizes[0])
+    sent = pairs.select(head.alias("_head"), F.substring(words_of("own"), F.length(head) + 1, F.length("_p.own")).alias("_tail"), reduce(Column.__add__, fresh).alias("_fresh"))
+    # in order, like rows stand together and are packed together
+    sent = sent.where("_fresh > 0").sortWithinPartitions("_head", "_tail")
+    met = sent.repartition(parts, "_head") if parts else sent.repartition("_head")
+    kinds = [F.when(F.col("_fresh").bitwiseAND(F.lit(1 << k)) > 0, F.substring_index("_tail", " ", n - sizes[0] + 1)) for k, n in enumerate(sizes)]
+    phrases = met.select("_head", F.explode(F.array(*kinds)).alias("_rest")).where(F.col("_rest").isNotNull())
+    counted = phrases.groupBy("_head", "_rest").agg(F.count("*").alias("doc_count"))
+    term = F.concat(F.substring(F.col("_head"), 2, 2**31 - 1), "_rest")
     return counted.where(F.col("doc_count") >= min_docs).select(
-        "term", F.lit("noun_phrase").alias("term_type"), "doc_count", F.lit("repeated_phrase").alias("extraction_method")
+        term.alias("term"), F.lit("noun_phrase").alias("term_type"), "doc_count", F.lit("repeated_phrase").alias("extraction_method")
     )

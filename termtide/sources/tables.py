@@ -45,8 +45,13 @@ def spread_few_files(df: DataFrame) -> DataFrame:
 
 def spread_by_size(df: DataFrame, part_bytes: int) -> DataFrame:
     """Rows of a table, of however many files, dealt out by size: for work that makes many rows of one."""
+    return df.repartition(parts_by_size(df, part_bytes))
+
+
+def parts_by_size(df: DataFrame, part_bytes: int) -> int:
+    """Number of parts of some size that a table's files come to; at least one for each core."""
     spark = df.sparkSession
-    return df.repartition(max(spark.sparkContext.defaultParallelism, -(-_total_bytes(spark, df.inputFiles()) // part_bytes)))
+    return max(spark.sparkContext.defaultParallelism, -(-_total_bytes(spark, df.inputFiles()) // part_bytes))
 
 
 def _total_bytes(spark: SparkSession, files: list[str]) -> int:

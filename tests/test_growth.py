@@ -2,6 +2,7 @@
 
 import gzip
 import json
+import random
 import re
 from collections import Counter
 from datetime import datetime
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from termtide import session
 from termtide.catalog import fixtures, response_queries
+from termtide.config import LANGUAGES
 from termtide.operators import responses, terms
 from termtide.plans import stages
 from termtide.schemas import SERP_ENVELOPE
@@ -222,3 +224,30 @@ def test_a_stream_takes_in_a_log_with_nothing_left_of_its_making(spark, tmp_path
     assert made == {"discovered", "stream", "log"} and shuffle_files(spark) <= files
     wanted = responses.discovered(response_queries.discovery_raw(spark, sf)).drop("collected_at")
     assert rows.count() > 50 and sorted(map(str, rows.collect())) == sorted(map(str, wanted.collect()))
+
+
+def brute_phrases(rows, sizes, min_docs):
+    found = Counter()
+    for text, lang in rows:
+        stops = LANGUAGES["ru" if (lang or "")[:2] == "ru" else "en"].stopwords
+        words = re.findall(r"[\w'’]+", (text or "").lower())
+        ends = lambda w: len(w) == 1 or not (w[0] in stops or w[-1] in stops)
+        found.update({" ".join(words[i : i + n]) for n in sizes for i in range(len(words) - n + 1) if ends(words[i : i + n])})
+    return {k: v for k, v in found.items() if v >= min_docs}
+
+
+def test_phrases_of_one_beginning_are_sent_as_one_row(spark, capsys):
+    draw = random.Random(5)
+    vocabulary = ["the", "of", "a", "cat", "cats", "ca", "house", "o'neil", "’x", "1984", "_", "кот", "и", "пёс", "é", "𐐷x"]
+    rows = [(draw.choice([" ", ", ", "\n"]).join(draw.choices(vocabulary, k=draw.randrange(40))), draw.choice(["en", "ru", "ru-RU", "fr", None])) for _ in range(150)]
+    rows += [("cat " * 30, "en"), ("cat", "en"), ("", "en"), (None, None), *rows[:20]]
+    df = spark.createDataFrame(rows, "t string, lang string").repartition(3)
+    for sizes, min_docs, parts in (((2, 3, 4), 2, None), ((4, 2), 3, 7), ((3,), 1, 2), ((1, 3, 2), 2, 5)):
+        found = terms.repeated_phrases(df, "t", "lang", sizes=sizes, min_docs=min_docs, parts=parts)
+        got = found.collect()
+        assert len({r.term for r in got}) == len(got) > 20
+        assert {r.term: r.doc_count for r in got} == brute_phrases(rows, sizes, min_docs)
+    found = terms.repeated_phrases(df, "t", "lang", parts=5)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    # rows meet once, by what the shortest phrase is; a beginning is one row, not one for each size
+    assert re.findall(r"Exchange hashpartitioning\((\w+)#", text) == ["_head"]
