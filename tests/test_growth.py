@@ -4,6 +4,7 @@ import gzip
 import json
 import random
 import re
+import time
 from collections import Counter
 from datetime import datetime
 from pathlib import Path
@@ -15,8 +16,9 @@ from termtide.catalog import fixtures, response_queries
 from termtide.config import LANGUAGES
 from termtide.operators import responses, terms
 from termtide.plans import stages
-from termtide.schemas import SERP_ENVELOPE
+from termtide.schemas import CALL_ENVELOPE, SERP_ENVELOPE
 from termtide.sources import raw as raw_io, tables
+from termtide.streaming import intake
 
 
 def line(keyword, day):
@@ -143,11 +145,19 @@ def shuffle_files(spark):
     return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
 
 
+def given_back(spark, before):
+    """Whether no shuffle files are left but those before; they go a moment after the job."""
+    until = time.time() + 20
+    while not shuffle_files(spark) <= before and time.time() < until:
+        time.sleep(0.2)
+    return shuffle_files(spark) <= before
+
+
 def test_append_gives_back_what_moved_its_lines(spark, tmp_path, capsys):
     raw = raw_io.parse_raw(spark.createDataFrame([(line(f"k{i % 7}", i % 3 + 1),) for i in range(60)], "value string"))
     before = shuffle_files(spark)
     raw_io.append_raw(raw, str(tmp_path / "log"))
-    assert shuffle_files(spark) <= before
+    assert given_back(spark, before)
     # lines are moved, not envelopes
     made = raw_io.logged_lines(raw)
     assert made.columns == ["value", "log", "dt", "collected_at"] and dict(made.dtypes)["value"] == "string"
@@ -163,7 +173,7 @@ def test_a_passing_stage_goes_with_its_block(spark):
     rows = spark.range(1000).withColumn("k", F.col("id") % 7).groupBy("k").agg(F.count("*").alias("n"))
     with session.passing_stage(rows, "t") as kept:
         path = Path(kept.inputFiles()[0].removeprefix("file:")).parent
-        assert shuffle_files(spark) <= before and path.exists()
+        assert given_back(spark, before) and path.exists()
         assert kept.columns == rows.columns and sum(r.n for r in kept.collect()) == 1000
     assert not path.exists()
     try:
@@ -210,7 +220,7 @@ def test_a_log_appended_twice_leaves_no_lines_beside_it(spark, tmp_path):
     sf, folder = line_tables(spark, str(tmp_path)), Path(session.shared_folder(spark).removeprefix("file:")) / "termtide"
     before, files = set(folder.glob("*")) if folder.exists() else set(), shuffle_files(spark)
     log = response_queries._logged(spark, sf, times=2)
-    assert [p.name for p in set(folder.glob("*")) - before] == [log.rsplit("/", 1)[-1]] and shuffle_files(spark) <= files
+    assert [p.name for p in set(folder.glob("*")) - before] == [log.rsplit("/", 1)[-1]] and given_back(spark, files)
     assert raw_io.read_raw(spark, log).count() == 2 * response_queries.discovery_log(spark, sf).count()
 
 
@@ -221,7 +231,7 @@ def test_a_stream_takes_in_a_log_with_nothing_left_of_its_making(spark, tmp_path
     before, files = set(folder.glob("*")), shuffle_files(spark)
     rows = response_queries.stream_intake(spark, sf)
     made = {p.name.split("-")[0] for p in set(folder.glob("*")) - before}
-    assert made == {"discovered", "stream", "log"} and shuffle_files(spark) <= files
+    assert made == {"discovered", "stream", "log"} and given_back(spark, files)
     wanted = responses.discovered(response_queries.discovery_raw(spark, sf)).drop("collected_at")
     assert rows.count() > 50 and sorted(map(str, rows.collect())) == sorted(map(str, wanted.collect()))
 
@@ -251,3 +261,49 @@ def test_phrases_of_one_beginning_are_sent_as_one_row(spark, capsys):
     text = found._jdf.queryExecution().executedPlan().toString()
     # rows meet once, by what the shortest phrase is; a beginning is one row, not one for each size
     assert re.findall(r"Exchange hashpartitioning\((\w+)#", text) == ["_head"]
+
+
+def test_a_log_is_read_with_its_lines(spark, tmp_path):
+    """The same envelopes as without, and the text that each was parsed from; a stream does as a table does."""
+    log = str(tmp_path / "log")
+    lines = [line(f"k{i % 4}", i % 3 + 1) for i in range(12)]
+    raw_io.append_raw(raw_io.parse_raw(spark.createDataFrame([(v,) for v in lines], "value string")), log)
+    odd = ['{"endpoint": "/v3/serp/organic/live", "request": [{"keyword": "k"}], "more": 1}', "", "  ", "not json", '{"request": 5, "endpoint": "/v3/x/live"}']
+    Path(f"{log}/old-20240105.jsonl").write_text("\n".join(odd) + "\n")
+    for path, some in ((log, {}), (log, {"logs": ["keyword_ideas"], "days": ["20240602"]}), (f"{log}/old-20240105.jsonl", {}), (f"{tmp_path}/none", {})):
+        plain, with_line = raw_io.read_raw(spark, path, **some), raw_io.read_raw(spark, path, line=True, **some)
+        assert sorted(with_line.columns) == sorted([*plain.columns, "line"])
+        assert sorted(map(str, plain.collect())) == sorted(map(str, with_line.select(*plain.columns).collect()))
+    rows = raw_io.read_raw(spark, log, shape=CALL_ENVELOPE, line=True)
+    assert "response" not in rows.columns and rows.count() == 15
+    assert all(json.loads(r.line)["request"][0]["keyword"] == r.request[0].keyword for r in rows.where("dt like '202406%'").collect())
+    sink, checkpoint = str(tmp_path / "sink"), str(tmp_path / "cp")
+    intake.run_available(raw_io.stream_raw(spark, log, shape=CALL_ENVELOPE, line=True), sink, checkpoint)
+    assert sorted(map(str, spark.read.schema(rows.schema).parquet(sink).collect())) == sorted(map(str, rows.collect()))
+
+
+def test_kept_responses_are_told_by_their_lines(spark, tmp_path, capsys):
+    """One response for each key, the earliest, of equally early ones the same whatever came first; nothing of the response is parsed."""
+    calls = [line("k", 3), line("k", 2), line("k", 2).replace("k 7", "other"), line("k", 2), line("q", 4), json.dumps({"endpoint": "/v3/labs/keyword_ideas/live", "request": [{"keyword": "t"}]})]
+    found = []
+    for order in (calls, calls[::-1]):
+        log, sink, checkpoint = (session.new_folder(spark, n) for n in ("log", "sink", "cp"))
+        for call in order:
+            raw_io.append_raw(raw_io.parse_raw(spark.createDataFrame([(call,)], "value string")), log)
+            intake.dedupe_available(intake.stream_raw(spark, log, shape=CALL_ENVELOPE, line=True), sink, checkpoint)
+        raw = raw_io.read_raw(spark, log, shape=CALL_ENVELOPE, line=True)
+        kept = intake.kept_responses(raw, intake.kept_keys(spark, sink))
+        assert kept.columns == [*raw.columns, *[c for c in intake.REUSE_COLUMNS if c not in raw.columns]]
+        found.append(sorted((r.subject, r.bucket, str(r.collected_at), r.line) for r in kept.collect()))
+    assert found[0] == found[1] and [(s, b, t[:10]) for s, b, t, _ in found[0][:2]] == [("k", "2024-06", "2024-06-02"), ("q", "2024-06", "2024-06-04")]
+    wide = raw_io.read_raw(spark, log)
+    whole = intake.kept_responses(wide, intake.kept_keys(spark, sink))
+    assert whole.columns == [*wide.columns, *[c for c in intake.REUSE_COLUMNS if c not in wide.columns]]
+
+
+def test_the_deduped_log_is_read_by_its_calls(spark, tmp_path, monkeypatch):
+    sf, read, taken = line_tables(spark, str(tmp_path)), raw_io.read_raw, []
+    monkeypatch.setattr(raw_io, "read_raw", lambda *a, **k: taken.append(k) or read(*a, **k))
+    rows = response_queries.stream_dedupe(spark, sf).collect()
+    assert len({tuple(r)[:5] for r in rows}) == len(rows) > 10 and {r.responses for r in rows} == {1}
+    assert taken == [{"shape": CALL_ENVELOPE, "line": True}]
