@@ -287,19 +287,21 @@ def repeated_phrases(
     # sorted, phrases that begin alike stand together: no word has a character before the space
     ordered = rows.select(F.sort_array(F.array_compact(F.transform(places, longest))).alias("_found"))
     pairs = ordered.select(F.explode(F.transform("_found", lambda x, i: F.struct(x.alias("own"), F.get("_found", i - 1).alias("last")))).alias("_p"))
+    new = pairs.where(~F.col("_p.own").eqNullSafe(F.col("_p.last")))
+    # what is used several times is a column of its own, made once
+    texts = new.select(
+        F.substring_index("_p.own", "\t", 1).alias("_own"), F.substring_index("_p.last", "\t", 1).alias("_last"), F.substring_index("_p.own", "\t", -1).alias("_marks")
+    )
+    begun = texts.select("*", F.substring_index("_own", " ", sizes[0] + 1).alias("_head"))
 
-    def words_of(name: str) -> Column:
-        return F.substring_index(f"_p.{name}", "\t", 1)
-
-    def begin(name: str, n: int) -> Column:
-        return F.substring_index(words_of(name), " ", n + 1)
+    def fresh(n: int) -> Column:
+        """Whether the phrase of ``n`` words is one that the row before did not begin with."""
+        own = F.col("_head") if n == sizes[0] else F.substring_index("_own", " ", n + 1)
+        return F.contains("_marks", F.lit(mark[n])) & ~own.eqNullSafe(F.substring_index("_last", " ", n + 1))
 
-    marks = F.substring_index("_p.own", "\t", -1)
-    fresh = [F.when(F.contains(marks, F.lit(mark[n])) & ~begin("own", n).eqNullSafe(begin("last", n)), 1 << k).otherwise(0) for k, n in enumerate(sizes)]
-    head = begin("own", sizes[0])
-    sent = pairs.select(head.alias("_head"), F.substring(words_of("own"), F.length(head) + 1, F.length("_p.own")).alias("_tail"), reduce(Column.__add__, fresh).alias("_fresh"))
+    flags = reduce(Column.__add__, [F.when(fresh(n), 1 << k).otherwise(0) for k, n in enumerate(sizes)])
     # in order, like rows stand together and are packed together
-    sent = sent.where("_fresh > 0").sortWithinPartitions("_head", "_tail")
+    sent = begun.select("_head", F.substring("_own", F.length("_head") + 1, F.length("_own")).alias("_tail"), flags.alias("_fresh")).sortWithinPartitions("_head", "_tail")
     met = sent.repartition(parts, "_head") if parts else sent.repartition("_head")
     kinds = [F.when(F.col("_fresh").bitwiseAND(F.lit(1 << k)) > 0, F.substring_index("_tail", " ", n - sizes[0] + 1)) for k, n in enumerate(sizes)]
     phrases = met.select("_head", F.explode(F.array(*kinds)).alias("_rest")).where(F.col("_rest").isNotNull())
